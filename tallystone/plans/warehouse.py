@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -16,18 +17,19 @@ class Warehouse:
 
     What several layers read is staged (written once, read back with column pruning): the silver
     table, the monthly spend, the lookups and the dimensions. Everything else stays a query.
-    ``agencies`` and ``vendors`` are the dimensions of an earlier load, if there was one.
+    ``published`` may hold the dimensions of an earlier load, ``dim_agency`` and ``dim_vendor``.
     """
 
-    def __init__(
-        self,
-        bronze: DataFrame,
-        agencies: DataFrame | None = None,
-        vendors: DataFrame | None = None,
-    ):
+    def __init__(self, bronze: DataFrame | None, published: Mapping[str, DataFrame] | None = None):
         self.bronze = bronze
-        self._agencies = agencies
-        self._vendors = vendors
+        self.published = published or {}
+
+    @classmethod
+    def from_tables(cls, published: Mapping[str, DataFrame] | None = None, **tables: DataFrame) -> Warehouse:
+        """Start from layers that are already written, by attribute name (``silver``, ``anomaly``, ...)."""
+        warehouse = cls(None, published)
+        warehouse.__dict__.update(tables)  # where cached_property keeps its values
+        return warehouse
 
     # ---- silver and gold ----
 
@@ -86,12 +88,12 @@ class Warehouse:
     @cached_property
     def dim_agency(self) -> Staged:
         candidates = serving.agency_candidates(self.stage_silver, self.stage_agency_category, self.stage_anomaly)
-        return stage(serving.upsert_dim_agency(candidates, self._agencies), "dim-agency")
+        return stage(serving.upsert_dim_agency(candidates, self.published.get("dim_agency")), "dim-agency")
 
     @cached_property
     def dim_vendor(self) -> Staged:
         candidates = serving.vendor_candidates(self.stage_silver, self.stage_vendor_monthly, self.stage_anomaly)
-        return stage(serving.upsert_dim_vendor(candidates, self._vendors), "dim-vendor")
+        return stage(serving.upsert_dim_vendor(candidates, self.published.get("dim_vendor")), "dim-vendor")
 
     @cached_property
     def fact(self) -> DataFrame:
