@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
 from math import ceil
 
 from pyspark.ml.feature import Bucketizer
@@ -11,11 +10,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallystone.operators.lookup import attach
 from tallystone.sources.tables import stage
 
-# Upper bound of what one window task is given to sort, and of the number of buckets (and so of
-# the per-bucket counts that come to the driver).
+# What one window task is given to sort, and how many ranges there can be at most.
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 4_000
-ID_BUCKETS = 4_096
 
 
 def percent_rank(df: DataFrame, value: str, name: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -26,17 +23,17 @@ def percent_rank(df: DataFrame, value: str, name: str, rows_per_bucket: int = RO
     Range limits come from approximate quantiles, which only affects how even the ranges are.
     """
     counted = stage(df.groupBy(value).agg(F.count(F.lit(1)).alias("n")), "rank-values")
-    size = counted.df.agg(F.sum("n"), F.sum(F.when(F.col(value).isNull(), F.col("n")))).first()
-    rows, nulls = size[0] or 0, size[1] or 0
-    values = counted.df.filter(F.col(value).isNotNull())
-
-    buckets = min(max(1, ceil(counted.rows / rows_per_bucket)), MAX_BUCKETS)
-    ranged = _range_buckets(values, value, buckets)
-    offsets = _offsets(ranged, "bucket", F.sum("n"), start=nulls)
-    below = Window.partitionBy("bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = ranged.select(
-        value,
-        ((F.coalesce(F.sum("n").over(below), F.lit(0)) + offsets) / F.lit(max(rows - 1, 1))).alias(name),
+    size = counted.df.agg(
+        F.count(value).alias("values"),
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col(value).isNull(), F.col("n"))).alias("nulls"),
+    ).first()
+    buckets = min(max(1, ceil(size["values"] / rows_per_bucket)), MAX_BUCKETS)
+    ranged = _range_buckets(counted.df.filter(F.col(value).isNotNull()), value, buckets)
+    within = Window.partitionBy("bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("n").over(within), F.lit(0)) + F.col("before") + F.lit(size["nulls"] or 0)
+    ranks = _with_offsets(ranged, F.sum("n")).select(
+        value, (below / F.lit(max((size["rows"] or 0) - 1, 1))).alias(name)
     )
     # One value may be shared by a large part of the rows, hence not a plain join back.
     ranked = attach(df, stage(ranks, "ranks"), value)
@@ -50,9 +47,12 @@ def dense_ids(keys: DataFrame, key: str, name: str, start: int = 0) -> DataFrame
     a bucket, after as many as the earlier buckets hold.
     """
     bucketed = keys.withColumn("bucket", F.conv(F.substring(key, 1, 3), 16, 10).cast("int"))
-    offsets = _offsets(bucketed, "bucket", F.count(F.lit(1)), start=start, buckets=ID_BUCKETS)
     position = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
-    return bucketed.withColumn(name, (position + offsets).cast("bigint")).drop("bucket")
+    return (
+        _with_offsets(bucketed, F.count(F.lit(1)))
+        .withColumn(name, (position + F.col("before") + start).cast("bigint"))
+        .drop("bucket", "before")
+    )
 
 
 def _range_buckets(df: DataFrame, value: str, buckets: int) -> DataFrame:
@@ -69,9 +69,16 @@ def _range_buckets(df: DataFrame, value: str, buckets: int) -> DataFrame:
     return bucketed.withColumn("bucket", F.col("bucket").cast("int")).drop("position")
 
 
-def _offsets(df: DataFrame, bucket: str, size: Column, start: int, buckets: int | None = None) -> Column:
-    """What lies before each row's bucket, as a lookup in a literal array of at most ``MAX_BUCKETS`` entries."""
-    sizes = {row[0]: row[1] for row in df.groupBy(bucket).agg(size).collect()}
-    length = buckets or max(sizes, default=0) + 1
-    before = list(accumulate((sizes.get(i, 0) for i in range(length)), initial=start))
-    return F.element_at(F.lit(before), F.col(bucket) + 1)
+def _with_offsets(df: DataFrame, size: Column) -> DataFrame:
+    """Add ``before``: the total size of all lower buckets.
+
+    There is one row per bucket, at most 4,096, so their running sum may run in one task and be
+    broadcast.
+    """
+    lower = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        df.groupBy("bucket")
+        .agg(size.alias("size"))
+        .select("bucket", F.coalesce(F.sum("size").over(lower), F.lit(0)).alias("before"))
+    )
+    return df.join(F.broadcast(offsets), "bucket")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,7 +11,7 @@ from tallystone.functions import flags, money, rules, text
 from tallystone.functions.dates import yyyymm
 from tallystone.operators.lookup import attach
 from tallystone.operators.ranking import dense_ids
-from tallystone.sources.tables import Staged, stage
+from tallystone.sources.tables import Staged
 
 # ---- stage tables -----------------------------------------------------------------------
 
@@ -92,23 +93,22 @@ def _with_average(staged: DataFrame) -> DataFrame:
 
 def agency_candidates(*tables: DataFrame) -> DataFrame:
     """Distinct trimmed agency names of all tables, blanks dropped."""
-    return _names("agency_name", tables).select(text.normalize_agency(F.col("agency_name")).alias("agency_name")).distinct()
+    return _names("agency_name", tables, agency_name=text.normalize_agency(F.col("agency_name")))
 
 
 def vendor_candidates(*tables: DataFrame) -> DataFrame:
     """Distinct vendors of all tables with their natural key."""
     name = F.col("vendor_name")
-    return (
-        _names("vendor_name", tables)
-        .select(text.vendor_key(name).alias("vendor_key"), text.normalize_vendor(name).alias("vendor_name_clean"))
-        .distinct()
+    return _names("vendor_name", tables, vendor_name_clean=text.normalize_vendor(name)).select(
+        F.md5("vendor_name_clean").alias("vendor_key"), "vendor_name_clean"
     )
 
 
-def _names(column: str, tables) -> DataFrame:
-    # Distinct per table first: what meets in the union is already as small as the dimension.
-    per_table = (t.select(column).filter(~text.is_blank(F.col(column))).distinct() for t in tables)
-    return reduce(DataFrame.unionByName, per_table)
+def _names(column: str, tables: Sequence[DataFrame], **normalised: Column) -> DataFrame:
+    # The distinct combines on the map side: what is shuffled is already as small as the dimension.
+    present = [table.select(column).filter(~text.is_blank(F.col(column))) for table in tables]
+    names = reduce(DataFrame.unionByName, present)
+    return names.select(*[name.alias(alias) for alias, name in normalised.items()]).distinct()
 
 
 def upsert_dim_agency(candidates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -125,9 +125,8 @@ def _upsert(candidates: DataFrame, existing: DataFrame | None, natural_key: str,
     if existing is not None:
         unseen = candidates.join(existing.select(natural_key), natural_key, "left_anti")
         last_id = existing.agg(F.max(id_name)).first()[0] or 0
-    unseen = stage(unseen.withColumn("md5_key", md5), "dim-new").df
     added = (
-        dense_ids(unseen, "md5_key", id_name, start=last_id)
+        dense_ids(unseen.withColumn("md5_key", md5), "md5_key", id_name, start=last_id)
         .select(id_name, *candidates.columns)
         .withColumn("created_at", F.current_timestamp())
     )

@@ -6,7 +6,6 @@ compared with another engine's floating-point sums.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,7 +18,7 @@ from tallystone.plans.warehouse import Warehouse
 from tallystone.sources import bronze as bronze_files
 from tallystone.sources.columns import gold_columns
 from tallystone.sources.fixture import spend_bronze
-from tallystone.sources.tables import export_csv, read_table, shared_folder, stage, write_table
+from tallystone.sources.tables import export_csv, read_table, scratch_path, stage, write_table
 from tallystone.sources.versions import current_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,10 +56,6 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_columns(_silver(spark, sf_dir))
 
 
-def _scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/tallystone/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
 def _rounded(name: str, digits: int) -> Column:
     return F.round(name, digits).alias(name)
 
@@ -74,7 +69,7 @@ def _round_stats(df: DataFrame) -> DataFrame:
 
 def _drop_csv_files(spark: SparkSession, sf_dir: str) -> str:
     """The raw rows as two CSV drops with different headers and column orders; returns the drop folder."""
-    folder = _scratch(spark, "drop")
+    folder = scratch_path(spark, "drop")
     rows = stage(_raw(spark, sf_dir), "raw").df
     drops = {
         "purchase_card_20240201_000000.csv": (0, "ObjectID Agency Vendor Category Transaction_Date Amount Description"),
@@ -104,20 +99,20 @@ def read_bronze_csv(spark, sf_dir):
 
 @query
 def land_bronze(spark, sf_dir):
-    target = _scratch(spark, "bronze")
+    target = scratch_path(spark, "bronze")
     return bronze_files.land_bronze(spark, f"{_drop_csv_files(spark, sf_dir)}/*", target)
 
 
 @query
 def read_table_columns(spark, sf_dir):
-    path = _scratch(spark, "silver")
+    path = scratch_path(spark, "silver")
     write_table(_silver(spark, sf_dir), path)
     return read_table(spark, path).select("transaction_id", "transaction_date", "amount")
 
 
 @query
 def write_table_by_month(spark, sf_dir):
-    path = _scratch(spark, "silver-by-month")
+    path = scratch_path(spark, "silver-by-month")
     write_table(_silver(spark, sf_dir), path, partition_by=["yyyymm"])
     return (
         read_table(spark, path)
@@ -128,7 +123,7 @@ def write_table_by_month(spark, sf_dir):
 
 @query
 def export_csv_round_trip(spark, sf_dir):
-    path = _scratch(spark, "vendor-monthly-csv")
+    path = scratch_path(spark, "vendor-monthly-csv")
     monthly = gold.vendor_monthly_spend(_cleaned(spark, sf_dir))
     export_csv(monthly, path)
     exported = spark.read.option("header", True).option("escape", '"').schema(
@@ -468,7 +463,7 @@ def anomaly_reason(spark, sf_dir):
 @query
 def full_reload(spark, sf_dir):
     """Publish a checked version of the whole star and count what readers see."""
-    root = _scratch(spark, "corp")
+    root = scratch_path(spark, "corp")
     warehouse = _warehouse(spark, sf_dir)
     jobs.reload_star(spark, warehouse, root)
     return reports.row_counts(current_tables(spark, root, list(warehouse.star())))

@@ -270,7 +270,7 @@ SELECTS = {
     "read_bronze_csv": "select * from raw",
     "land_bronze": "select *, case when cast(transaction_id as bigint) % 2 = 0 then '20240201_000000' else '20240301_000000' end as snapshot from raw",
     "read_table_columns": "select transaction_id, transaction_date, amount from silver",
-    "write_table_by_month": "select yyyymm, count(*) as row_count, sum(amount) as amount from silver group by yyyymm",
+    "write_table_by_month": "select yyyymm, count(*) as row_count, cast(sum(amount) as decimal(28,2)) as amount from silver group by yyyymm",
     "export_csv_round_trip": "select * from stage_vendor_monthly",
     "stage_silver": "select * from stage_silver",
     "stage_vendor_monthly": "select * from stage_vendor_monthly",

@@ -85,14 +85,19 @@ class Warehouse:
 
     # ---- star ----
 
+    @property
+    def _flagged_names(self) -> DataFrame:
+        """Names in the anomaly table. It keeps every cleaned row, so it need not be built for its names."""
+        return self.__dict__.get("anomaly", self.cleaned)
+
     @cached_property
     def dim_agency(self) -> Staged:
-        candidates = serving.agency_candidates(self.stage_silver, self.stage_agency_category, self.stage_anomaly)
+        candidates = serving.agency_candidates(self.stage_silver, self.stage_agency_category, self._flagged_names)
         return stage(serving.upsert_dim_agency(candidates, self.published.get("dim_agency")), "dim-agency")
 
     @cached_property
     def dim_vendor(self) -> Staged:
-        candidates = serving.vendor_candidates(self.stage_silver, self.stage_vendor_monthly, self.stage_anomaly)
+        candidates = serving.vendor_candidates(self.stage_silver, self.stage_vendor_monthly, self._flagged_names)
         return stage(serving.upsert_dim_vendor(candidates, self.published.get("dim_vendor")), "dim-vendor")
 
     @cached_property

@@ -5,9 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -57,32 +57,35 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app].name
 
 
-@dataclass(frozen=True)
 class Staged:
-    """A table written to the shared folder, with the size it was seen to have while being written."""
+    """A table written to the shared folder, whose size can be asked for before it is broadcast."""
 
-    df: DataFrame
-    rows: int
-    bytes: int
+    def __init__(self, df: DataFrame):
+        self.df = df
+
+    @cached_property
+    def bytes(self) -> int:
+        """Estimated size in memory: text bytes plus 16 per field. One small job on the written table."""
+        texts = [f.name for f in self.df.schema.fields if f.dataType == T.StringType()]
+        width = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(16 * len(self.df.columns)))
+        return self.df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
     def select(self, *columns) -> Staged:
-        """Fewer columns of the same rows; the size stays a valid upper bound."""
-        return Staged(self.df.select(*columns), self.rows, self.bytes)
+        """Other columns of the same rows, measured by themselves."""
+        return Staged(self.df.select(*columns))
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/tallystone/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> Staged:
     """Write a DataFrame to the shared folder once and read it back.
 
     For results with several consumers: the work runs once, later plans prune columns and
-    push filters into the Parquet scan, and a lost executor costs no recomputation. The size
-    estimate (text bytes plus 16 per field) comes with the write, without another job.
+    push filters into the Parquet scan, and a lost executor costs no recomputation.
     """
-    spark = df.sparkSession
-    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    width = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(16 * len(df.columns)))
-    seen = Observation()
-    path = f"{shared_folder(spark)}/tallystone/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(width.cast("bigint")).alias("bytes"))
-    observed.write.parquet(path)
-    size = seen.get
-    return Staged(spark.read.schema(df.schema).parquet(path), size["rows"], size["bytes"] or 0)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return Staged(df.sparkSession.read.schema(df.schema).parquet(path))
