@@ -13,6 +13,8 @@ from tallystone.sources.tables import stage
 # What one window task is given to sort, and how many ranges there can be at most.
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 4_000
+# First three hex digits of an md5.
+ID_BUCKETS = 16**3
 
 
 def percent_rank(df: DataFrame, value: str, name: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -32,7 +34,7 @@ def percent_rank(df: DataFrame, value: str, name: str, rows_per_bucket: int = RO
     ranged = _range_buckets(counted.df.filter(F.col(value).isNotNull()), value, buckets)
     within = Window.partitionBy("bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("n").over(within), F.lit(0)) + F.col("before") + F.lit(size["nulls"] or 0)
-    ranks = _with_offsets(ranged, F.sum("n")).select(
+    ranks = _with_offsets(ranged, F.sum("n"), buckets).select(
         value, (below / F.lit(max((size["rows"] or 0) - 1, 1))).alias(name)
     )
     # One value may be shared by a large part of the rows, hence not a plain join back.
@@ -40,16 +42,20 @@ def percent_rank(df: DataFrame, value: str, name: str, rows_per_bucket: int = RO
     return ranked.withColumn(name, F.coalesce(name, F.lit(0.0)))
 
 
-def dense_ids(keys: DataFrame, key: str, name: str, start: int = 0) -> DataFrame:
+def dense_ids(
+    keys: DataFrame, key: str, name: str, start: int = 0, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """Number unique md5 keys ``start + 1, start + 2, ...`` in key order.
 
     md5 is uniform, so its first three hex digits make 4,096 even buckets; rows are numbered within
-    a bucket, after as many as the earlier buckets hold.
+    a bucket, after as many as the lower buckets hold. Few keys are one bucket. ``keys`` is read
+    three times, so pass a written table.
     """
-    bucketed = keys.withColumn("bucket", F.conv(F.substring(key, 1, 3), 16, 10).cast("int"))
+    buckets = 1 if keys.count() <= rows_per_bucket else ID_BUCKETS
+    bucket = F.lit(0) if buckets == 1 else F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
     position = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
     return (
-        _with_offsets(bucketed, F.count(F.lit(1)))
+        _with_offsets(keys.withColumn("bucket", bucket), F.count(F.lit(1)), buckets)
         .withColumn(name, (position + F.col("before") + start).cast("bigint"))
         .drop("bucket", "before")
     )
@@ -69,12 +75,14 @@ def _range_buckets(df: DataFrame, value: str, buckets: int) -> DataFrame:
     return bucketed.withColumn("bucket", F.col("bucket").cast("int")).drop("position")
 
 
-def _with_offsets(df: DataFrame, size: Column) -> DataFrame:
+def _with_offsets(df: DataFrame, size: Column, buckets: int) -> DataFrame:
     """Add ``before``: the total size of all lower buckets.
 
     There is one row per bucket, at most 4,096, so their running sum may run in one task and be
     broadcast.
     """
+    if buckets == 1:
+        return df.withColumn("before", F.lit(0))
     lower = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.groupBy("bucket")

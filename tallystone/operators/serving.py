@@ -11,7 +11,7 @@ from tallystone.functions import flags, money, rules, text
 from tallystone.functions.dates import yyyymm
 from tallystone.operators.lookup import attach
 from tallystone.operators.ranking import dense_ids
-from tallystone.sources.tables import Staged
+from tallystone.sources.tables import Staged, stage
 
 # ---- stage tables -----------------------------------------------------------------------
 
@@ -125,8 +125,10 @@ def _upsert(candidates: DataFrame, existing: DataFrame | None, natural_key: str,
     if existing is not None:
         unseen = candidates.join(existing.select(natural_key), natural_key, "left_anti")
         last_id = existing.agg(F.max(id_name)).first()[0] or 0
+    # Written first: numbering reads the keys three times, and md5 is only worked out for distinct ones.
+    unseen = stage(unseen.withColumn("md5_key", md5), "unseen-keys").df
     added = (
-        dense_ids(unseen.withColumn("md5_key", md5), "md5_key", id_name, start=last_id)
+        dense_ids(unseen, "md5_key", id_name, start=last_id)
         .select(id_name, *candidates.columns)
         .withColumn("created_at", F.current_timestamp())
     )

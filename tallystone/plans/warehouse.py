@@ -23,11 +23,13 @@ class Warehouse:
     def __init__(self, bronze: DataFrame | None, published: Mapping[str, DataFrame] | None = None):
         self.bronze = bronze
         self.published = published or {}
+        self._given: frozenset[str] = frozenset()
 
     @classmethod
     def from_tables(cls, published: Mapping[str, DataFrame] | None = None, **tables: DataFrame) -> Warehouse:
         """Start from layers that are already written, by attribute name (``silver``, ``anomaly``, ...)."""
         warehouse = cls(None, published)
+        warehouse._given = frozenset(tables)
         warehouse.__dict__.update(tables)  # where cached_property keeps its values
         return warehouse
 
@@ -85,19 +87,27 @@ class Warehouse:
 
     # ---- star ----
 
-    @property
-    def _flagged_names(self) -> DataFrame:
-        """Names in the anomaly table. It keeps every cleaned row, so it need not be built for its names."""
-        return self.__dict__.get("anomaly", self.cleaned)
+    def _name_sources(self, monthly: str) -> list[DataFrame]:
+        """Tables that can hold names the dimension needs: silver, a monthly table and the anomalies.
+
+        A monthly table built here from silver already has every name of silver, and so do the
+        anomalies built from it; only tables that came from elsewhere have to be scanned as well.
+        """
+        sources = [getattr(self, f"stage_{monthly}")]
+        if monthly in self._given:
+            sources.append(self.stage_silver)
+        if "anomaly" in self._given:
+            sources.append(self.stage_anomaly)
+        return sources
 
     @cached_property
     def dim_agency(self) -> Staged:
-        candidates = serving.agency_candidates(self.stage_silver, self.stage_agency_category, self._flagged_names)
+        candidates = serving.agency_candidates(*self._name_sources("agency_category"))
         return stage(serving.upsert_dim_agency(candidates, self.published.get("dim_agency")), "dim-agency")
 
     @cached_property
     def dim_vendor(self) -> Staged:
-        candidates = serving.vendor_candidates(self.stage_silver, self.stage_vendor_monthly, self._flagged_names)
+        candidates = serving.vendor_candidates(*self._name_sources("vendor_monthly"))
         return stage(serving.upsert_dim_vendor(candidates, self.published.get("dim_vendor")), "dim-vendor")
 
     @cached_property

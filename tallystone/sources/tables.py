@@ -60,19 +60,22 @@ def shared_folder(spark: SparkSession) -> str:
 class Staged:
     """A table written to the shared folder, whose size can be asked for before it is broadcast."""
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, whole: Staged | None = None):
         self.df = df
+        self._whole = whole
 
     @cached_property
     def bytes(self) -> int:
         """Estimated size in memory: text bytes plus 16 per field. One small job on the written table."""
+        if self._whole is not None:
+            return self._whole.bytes
         texts = [f.name for f in self.df.schema.fields if f.dataType == T.StringType()]
         width = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(16 * len(self.df.columns)))
         return self.df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
     def select(self, *columns) -> Staged:
-        """Other columns of the same rows, measured by themselves."""
-        return Staged(self.df.select(*columns))
+        """Fewer columns of the same rows; the whole table's size is taken as an upper bound."""
+        return Staged(self.df.select(*columns), self._whole or self)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
