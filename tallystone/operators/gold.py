@@ -78,7 +78,7 @@ def transaction_anomaly(
     The statistics are aggregated first and joined back; a window over each category would put
     most of the data on a few tasks.
     """
-    joined = df.transform(join_category_stats, stats, **sizing).transform(join_first_seen, first_seen, **sizing)
+    joined = df.transform(join_first_seen, first_seen, **sizing).transform(join_category_stats, stats, **sizing)
     amount = money.amount_num(F.col("amount"))
     return joined.select(
         "transaction_id",

@@ -23,22 +23,28 @@ def attach(
 ) -> DataFrame:
     """Equi-join ``facts`` with a staged lookup that has one row per ``key``; ``how`` is left or inner.
 
-    A lookup of known small size is broadcast and the facts are not shuffled at all. A larger one
-    is split: the few lookup rows of heavy keys are broadcast, so the rows of a hot key never meet
-    in one task, and only the remaining rows are shuffled on the key. NULL keys match nothing and
-    are not shuffled either. The split changes where rows go, never the result.
+    A lookup of known small size is broadcast and the facts are not shuffled at all. With a larger
+    one, the facts' rows per key are counted first. If some keys are heavy, their few lookup rows
+    are broadcast, so the rows of a hot key never meet in one task, and only the other rows are
+    shuffled on the key. NULL keys match nothing and stay where they are as well. The split changes
+    where rows go, never the result.
+
+    Facts are read up to three times then, so attach large lookups first and small ones on top.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"attach supports left and inner joins, not {how!r}")
     if lookup.bytes <= broadcast_bytes:
         return facts.join(F.broadcast(lookup.df), key, how)
 
-    per_key = stage(facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
-    total = per_key.df.agg(F.sum("n")).first()[0] or 0
-    heavy = F.broadcast(per_key.df.filter(F.col("n") * heavy_keys >= total).select(key))
+    per_key = stage(facts.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "rows-per-key").df
+    total = per_key.agg(F.sum("n")).first()[0] or 0
+    is_heavy = F.col("n") * heavy_keys >= total
+    if per_key.filter(is_heavy).isEmpty():
+        return facts.join(lookup.df, key, how)
+
+    heavy = F.broadcast(per_key.filter(is_heavy & F.col(key).isNotNull()).select(key))
     heavy_lookup = F.broadcast(lookup.df.join(heavy, key, "left_semi").withColumn("is_heavy", F.lit(True)))
     light_lookup = lookup.df.join(heavy, key, "left_anti")
-
     hot = facts.join(heavy_lookup, key, how)
     if how == "left":
         hot = hot.filter(F.col("is_heavy") | F.col(key).isNull())

@@ -172,8 +172,8 @@ def load_fact(staged_silver: DataFrame, dim_agency: Staged, dim_vendor: Staged)
     complete = staged_silver.dropna(subset=["transaction_id", "transaction_date", "amount"])
     return (
         complete.transform(derive_period)
-        .transform(_with_agency, dim_agency)
         .transform(_with_vendor, dim_vendor)
+        .transform(_with_agency, dim_agency)
         .select(
             "transaction_id", "agency_id", "vendor_id", "transaction_date", "year", "month", "yyyymm",
             "amount", "mcc_description", "description", "category_group", "amount_bucket",
@@ -201,7 +201,7 @@ def load_anomaly(
 ) -> DataFrame:
     """Flagged transactions with ids, boolean flags and the strongest reason."""
     joined = (
-        staged.dropna(subset=["transaction_id"]).transform(_with_agency, dim_agency).transform(_with_vendor, dim_vendor)
+        staged.dropna(subset=["transaction_id"]).transform(_with_vendor, dim_vendor).transform(_with_agency, dim_agency)
     )
     outlier, new_vendor = F.col("is_outlier") == 1, F.col("is_new_vendor_month") == 1
     high = flags.is_high_amount(F.col("amount"), high_amount)
