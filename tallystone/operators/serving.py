@@ -148,10 +148,11 @@ def _with_agency(df: DataFrame, dim_agency: Staged) -> DataFrame:
 
 
 def _with_vendor(df: DataFrame, dim_vendor: Staged) -> DataFrame:
+    """Vendors are matched on the normalised name: the same matches as on its md5, without a hash per row."""
     return attach(
-        df.withColumn("vendor_key", text.vendor_key(F.col("vendor_name"))),
-        dim_vendor.select("vendor_key", "vendor_id", "vendor_name_clean"),
-        "vendor_key",
+        df.withColumn("vendor_name_clean", text.normalize_vendor(F.col("vendor_name"))),
+        dim_vendor.select("vendor_name_clean", "vendor_id"),
+        "vendor_name_clean",
         how="inner",
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallystone.functions import dates, flags, money, text
 from tallystone.operators import gold, integrity, reports, risk, serving, silver
 from tallystone.operators.ranking import percent_rank
-from tallystone.plans import jobs
+from tallystone.plans import jobs, namespaces
 from tallystone.plans.warehouse import Warehouse
 from tallystone.sources import bronze as bronze_files
 from tallystone.sources.columns import gold_columns
@@ -469,6 +469,17 @@ def full_reload(spark, sf_dir):
     return reports.row_counts(current_tables(spark, root, list(warehouse.star())))
 
 
+@query
+def sql_over_published_views(spark, sf_dir):
+    """An analyst's SQL over the views of a published star."""
+    root = scratch_path(spark, "corp")
+    jobs.reload_star(spark, _warehouse(spark, sf_dir), root)
+    namespaces.register(namespaces.published_warehouse(spark, root))
+    return spark.sql(
+        "select k.yyyymm, k.txn_count, m.month_start from bi_v_exec_kpi k join bi_v_dim_month m using (yyyymm)"
+    )
+
+
 @query
 def check_integrity(spark, sf_dir):
     return integrity.star_violations(_warehouse(spark, sf_dir).star())
@@ -538,6 +549,17 @@ def preview_view(spark, sf_dir):
     return reports.preview_view(_warehouse(spark, sf_dir).v_vendor_monthly_spend, ["yyyymm", "vendor_name_clean"])
 
 
+@query
+def preview_agency_category(spark, sf_dir):
+    view = _warehouse(spark, sf_dir).v_agency_category_spend
+    return reports.preview_view(view, ["yyyymm", "agency_name", "category_group"])
+
+
+@query
+def preview_transaction_anomaly(spark, sf_dir):
+    return reports.preview_view(_warehouse(spark, sf_dir).v_transaction_anomaly, ["transaction_id"])
+
+
 @query
 def top_vendors(spark, sf_dir):
     return reports.top_vendors(_warehouse(spark, sf_dir).v_vendor_monthly_spend)
@@ -592,6 +614,12 @@ def month_slice_vendor_risk(spark, sf_dir):
     return reports.month_slice(w.v_vendor_risk_scores, w.v_dim_month)
 
 
+@query
+def month_slice_one_month(spark, sf_dir):
+    w = _warehouse(spark, sf_dir)
+    return reports.month_slice(w.v_vendor_risk_scores, w.v_dim_month, yyyymm=199603)
+
+
 @query
 def date_slice(spark, sf_dir):
     w = _warehouse(spark, sf_dir)

@@ -72,13 +72,22 @@ def run_serving(spark: SparkSession, data: str) -> str:
 
 
 def reload_star(spark: SparkSession, warehouse: Warehouse, root: str) -> str:
-    """Publish the warehouse's star as one version."""
-    stamps = {"fact_transactions_clean": "ingested_at"}
+    """Publish the warehouse's star as one version. The risk mart is derived from the written anomaly mart."""
+
+    def risk_mart(written):
+        return serving.vendor_risk_monthly(written["transaction_anomaly"], warehouse.dim_vendor)
+
+    fact = serving.audit_column(warehouse.fact, "ingested_at")
     tables = {
-        name: serving.audit_column(df, stamps.get(name, "created_at")) for name, df in warehouse.marts().items()
+        "dim_agency": warehouse.dim_agency.df,
+        "dim_vendor": warehouse.dim_vendor.df,
+        "fact_transactions_clean": fact,
+        "vendor_monthly_spend": serving.audit_column(warehouse.mart_vendor_monthly),
+        "agency_category_spend": serving.audit_column(warehouse.mart_agency_category),
+        "transaction_anomaly": serving.audit_column(warehouse.mart_anomaly),
+        "vendor_risk_scores": lambda written: serving.audit_column(risk_mart(written)),
     }
-    dims = {"dim_agency": warehouse.dim_agency.df, "dim_vendor": warehouse.dim_vendor.df}
-    return publish(spark, root, dims | tables, integrity.check_integrity, FACT_PARTITIONS)
+    return publish(spark, root, tables, integrity.check_integrity, FACT_PARTITIONS)
 
 
 def main() -> None:

@@ -353,6 +353,8 @@ union all select 'transaction_anomaly', count(*) from mart_anomaly
 union all select 'vendor_risk_scores', count(*) from mart_vendor_risk
 union all select 'dim_agency', count(*) from dim_agency
 union all select 'dim_vendor', count(*) from dim_vendor""",
+    "sql_over_published_views": """select k.yyyymm, k.txn_count, m.month_start
+from v_exec_kpi k join v_dim_month m on m.yyyymm = k.yyyymm""",
     "check_integrity": """select 'fact_transactions_clean' as table_name, 'unique transaction_id' as rule,
   count(*) as offenders
 from (select transaction_id from fact group by transaction_id having count(*) > 1) having count(*) > 0""",
@@ -375,6 +377,9 @@ union all select 'stage_vendor_monthly', count(*) from stage_vendor_monthly
 union all select 'stage_agency_category', count(*) from stage_agency_category
 union all select 'stage_anomaly', count(*) from stage_anomaly""",
     "preview_view": "select * from v_vendor_monthly_spend order by yyyymm, vendor_name_clean limit 10",
+    "preview_agency_category": """select * from v_agency_category_spend
+order by yyyymm, agency_name, category_group limit 10""",
+    "preview_transaction_anomaly": "select * from v_transaction_anomaly order by transaction_id limit 10",
     "top_vendors": """select vendor_name_clean, cast(sum(total_spend) as decimal(28,2)) as spend
 from v_vendor_monthly_spend group by vendor_name_clean order by spend desc, vendor_name_clean limit 10""",
     "top_risk_scores": """select * from v_vendor_risk_scores
@@ -399,6 +404,8 @@ from v_vendor_monthly_spend k join v_dim_month m on m.yyyymm = k.yyyymm""",
 from v_agency_category_spend k join v_dim_month m on m.yyyymm = k.yyyymm""",
     "month_slice_vendor_risk": f"""select k.*, {_MONTH}
 from v_vendor_risk_scores k join v_dim_month m on m.yyyymm = k.yyyymm""",
+    "month_slice_one_month": f"""select k.*, {_MONTH}
+from v_vendor_risk_scores k join v_dim_month m on m.yyyymm = k.yyyymm where k.yyyymm = 199603""",
     "date_slice": """select k.*, d.year_month, d.dow_0_sun, d.is_weekend, d.month_start
 from v_transaction_anomaly k join v_dim_date d on d.date = k.transaction_date""",
 }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame
 
@@ -33,6 +34,16 @@ class Warehouse:
         warehouse.__dict__.update(tables)  # where cached_property keeps its values
         return warehouse
 
+    def _build(self, *layers: str) -> None:
+        """Build layers that do not depend on each other at the same time.
+
+        Each is a job or two over narrow or small data; one by one they would leave a cluster idle.
+        """
+        missing = [name for name in layers if name not in self.__dict__]
+        if missing:
+            with ThreadPoolExecutor(len(missing)) as pool:
+                list(pool.map(partial(getattr, self), missing))
+
     # ---- silver and gold ----
 
     @cached_property
@@ -41,7 +52,10 @@ class Warehouse:
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        return gold_columns(self.silver)
+        """The columns gold needs. Unless the whole silver table exists already, only these are written."""
+        if "silver" in self.__dict__:
+            return gold_columns(self.silver)
+        return stage(gold_columns(silver.build_silver(self.bronze)), "cleaned").df
 
     @cached_property
     def vendor_monthly(self) -> DataFrame:
@@ -61,6 +75,8 @@ class Warehouse:
 
     @cached_property
     def anomaly(self) -> DataFrame:
+        self._build("cleaned")
+        self._build("category_stats", "vendor_monthly")
         return gold.transaction_anomaly(self.cleaned, self.category_stats, self.first_seen)
 
     @cached_property
@@ -110,8 +126,16 @@ class Warehouse:
         candidates = serving.vendor_candidates(*self._name_sources("vendor_monthly"))
         return stage(serving.upsert_dim_vendor(candidates, self.published.get("dim_vendor")), "dim-vendor")
 
+    def _build_dimensions(self) -> None:
+        if {"vendor_monthly", "agency_category"} - set(self.__dict__):
+            self._build("cleaned")
+        self._build("vendor_monthly", "agency_category")
+        self._build("dim_agency", "dim_vendor")
+
     @cached_property
     def fact(self) -> DataFrame:
+        self._build("silver")
+        self._build_dimensions()
         return serving.load_fact(self.stage_silver, self.dim_agency, self.dim_vendor)
 
     @cached_property
@@ -124,6 +148,8 @@ class Warehouse:
 
     @cached_property
     def mart_anomaly(self) -> DataFrame:
+        self._build("anomaly")
+        self._build_dimensions()
         return serving.load_anomaly(self.stage_anomaly, self.dim_agency, self.dim_vendor)
 
     @cached_property
@@ -141,7 +167,8 @@ class Warehouse:
         }
 
     def star(self) -> dict[str, DataFrame]:
-        return {"dim_agency": self.dim_agency.df, "dim_vendor": self.dim_vendor.df, **self.marts()}
+        marts = self.marts()  # first: the fact needs the whole silver table
+        return {"dim_agency": self.dim_agency.df, "dim_vendor": self.dim_vendor.df, **marts}
 
     # ---- views ----
 
@@ -171,7 +198,8 @@ class Warehouse:
 
     @cached_property
     def v_exec_kpi(self) -> DataFrame:
-        return views.v_exec_kpi(self.v_vendor_monthly_spend, self.v_transaction_anomaly)
+        anomalies = self.v_transaction_anomaly  # first: builds what both need at once
+        return views.v_exec_kpi(self.v_vendor_monthly_spend, anomalies)
 
     @cached_property
     def kpi_totals(self) -> DataFrame:

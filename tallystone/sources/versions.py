@@ -13,22 +13,30 @@ from tallystone.sources.tables import read_table, write_table
 _LOG = "_versions"
 
 
+# A table, or how to derive it from the tables written before it.
+Publishable = DataFrame | Callable[[Mapping[str, DataFrame]], DataFrame]
+
+
 def publish(
     spark: SparkSession,
     root: str,
-    tables: Mapping[str, DataFrame],
+    tables: Mapping[str, Publishable],
     check: Callable[[Mapping[str, DataFrame]], None],
     partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> str:
-    """Write all tables to a new version folder, check the written tables, then switch to it.
+    """Write all tables in order to a new version folder, check the written tables, then switch to it.
 
     The switch is one record appended to the version log. When a write or a check fails nothing is
     appended, and readers keep the previous version.
     """
     version = uuid.uuid4().hex
-    for name, df in tables.items():
-        write_table(df, f"{root}/{version}/{name}", (partition_by or {}).get(name, ()), mode="errorifexists")
-    check({name: read_table(spark, f"{root}/{version}/{name}") for name in tables})
+    written: dict[str, DataFrame] = {}
+    for name, table in tables.items():
+        path = f"{root}/{version}/{name}"
+        df = table if isinstance(table, DataFrame) else table(written)
+        write_table(df, path, (partition_by or {}).get(name, ()), mode="errorifexists")
+        written[name] = read_table(spark, path)
+    check(written)
     sequence = (_last(spark, root) or (0,))[0] + 1
     record = spark.range(1).select(F.lit(sequence).alias("sequence"), F.lit(version).alias("version"))
     record.withColumn("published_at", F.current_timestamp()).write.mode("append").parquet(f"{root}/{_LOG}")
