@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
 from math import ceil
 
 from pyspark.ml.feature import Bucketizer
@@ -30,63 +31,47 @@ def percent_rank(df: DataFrame, value: str, name: str, rows_per_bucket: int = RO
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col(value).isNull(), F.col("n"))).alias("nulls"),
     ).first()
-    buckets = min(max(1, ceil(size["values"] / rows_per_bucket)), MAX_BUCKETS)
+    buckets = min(max(2, ceil(size["values"] / rows_per_bucket)), MAX_BUCKETS)
     ranged = _range_buckets(counted.df.filter(F.col(value).isNotNull()), value, buckets)
     within = Window.partitionBy("bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("n").over(within), F.lit(0)) + F.col("before") + F.lit(size["nulls"] or 0)
-    ranks = _with_offsets(ranged, F.sum("n"), buckets).select(
-        value, (below / F.lit(max((size["rows"] or 0) - 1, 1))).alias(name)
-    )
+    below = F.coalesce(F.sum("n").over(within), F.lit(0)) + _in_lower_buckets(ranged, F.sum("n"), size["nulls"] or 0)
+    ranks = ranged.select(value, (below / F.lit(max((size["rows"] or 0) - 1, 1))).alias(name))
     # One value may be shared by a large part of the rows, hence not a plain join back.
     ranked = attach(df, stage(ranks, "ranks"), value)
     return ranked.withColumn(name, F.coalesce(name, F.lit(0.0)))
 
 
-def dense_ids(
-    keys: DataFrame, key: str, name: str, start: int = 0, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def dense_ids(keys: DataFrame, key: str, name: str, start: int = 0) -> DataFrame:
     """Number unique md5 keys ``start + 1, start + 2, ...`` in key order.
 
     md5 is uniform, so its first three hex digits make 4,096 even buckets; rows are numbered within
-    a bucket, after as many as the lower buckets hold. Few keys are one bucket. ``keys`` is read
-    three times, so pass a written table.
+    a bucket, after as many as the lower buckets hold. ``keys`` is read twice: pass a written table.
     """
-    buckets = 1 if keys.count() <= rows_per_bucket else ID_BUCKETS
-    bucket = F.lit(0) if buckets == 1 else F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
+    bucketed = keys.withColumn("bucket", F.conv(F.substring(key, 1, 3), 16, 10).cast("int"))
     position = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
-    return (
-        _with_offsets(keys.withColumn("bucket", bucket), F.count(F.lit(1)), buckets)
-        .withColumn(name, (position + F.col("before") + start).cast("bigint"))
-        .drop("bucket", "before")
-    )
+    before = _in_lower_buckets(bucketed, F.count(F.lit(1)), start)
+    return bucketed.withColumn(name, (position + before).cast("bigint")).drop("bucket")
 
 
 def _range_buckets(df: DataFrame, value: str, buckets: int) -> DataFrame:
-    limits = []
+    """Add ``bucket``, an evenly filled range of the value; equal values share one."""
     as_double = df.withColumn("position", F.col(value).cast("double"))
-    if buckets > 1:
-        shares = [i / buckets for i in range(1, buckets)]
-        limits = sorted(set(as_double.approxQuantile("position", shares, 1 / (4 * buckets))))
-    if not limits:
-        return df.withColumn("bucket", F.lit(0))
+    shares = [i / buckets for i in range(1, buckets)]
+    limits = sorted(set(as_double.approxQuantile("position", shares, 1 / (4 * buckets))))
     # Binary search in the JVM; monotone in the value, so ranges never overlap.
     splits = [float("-inf"), *limits, float("inf")]
+    if len(splits) == 2:
+        return df.withColumn("bucket", F.lit(0))
     bucketed = Bucketizer(splits=splits, inputCol="position", outputCol="bucket").transform(as_double)
     return bucketed.withColumn("bucket", F.col("bucket").cast("int")).drop("position")
 
 
-def _with_offsets(df: DataFrame, size: Column, buckets: int) -> DataFrame:
-    """Add ``before``: the total size of all lower buckets.
+def _in_lower_buckets(df: DataFrame, size: Column, start: int) -> Column:
+    """``start`` plus the total size of all buckets below a row's own.
 
-    There is one row per bucket, at most 4,096, so their running sum may run in one task and be
-    broadcast.
+    Only one number per bucket comes to the driver, at most 4,096; they go back as a literal array.
     """
-    if buckets == 1:
-        return df.withColumn("before", F.lit(0))
-    lower = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.groupBy("bucket")
-        .agg(size.alias("size"))
-        .select("bucket", F.coalesce(F.sum("size").over(lower), F.lit(0)).alias("before"))
-    )
-    return df.join(F.broadcast(offsets), "bucket")
+    sizes = {row["bucket"]: row["size"] for row in df.groupBy("bucket").agg(size.alias("size")).collect()}
+    before = accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=start)
+    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
+    return F.element_at(offsets, F.col("bucket") + 1)

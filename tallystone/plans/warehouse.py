@@ -71,12 +71,14 @@ class Warehouse:
 
     @cached_property
     def first_seen(self) -> Staged:
-        return stage(gold.vendor_first_seen(self.vendor_monthly), "first-seen")
+        """From the monthly spend when that exists already, as it is far smaller."""
+        source = self.vendor_monthly if "vendor_monthly" in self.__dict__ else self.cleaned
+        return stage(gold.vendor_first_seen(source), "first-seen")
 
     @cached_property
     def anomaly(self) -> DataFrame:
         self._build("cleaned")
-        self._build("category_stats", "vendor_monthly")
+        self._build("category_stats", "first_seen")
         return gold.transaction_anomaly(self.cleaned, self.category_stats, self.first_seen)
 
     @cached_property
@@ -148,7 +150,10 @@ class Warehouse:
 
     @cached_property
     def mart_anomaly(self) -> DataFrame:
-        self._build("anomaly")
+        if "anomaly" not in self.__dict__:
+            self._build("cleaned")
+            self._build("category_stats", "vendor_monthly", "agency_category")
+            self._build("first_seen", "dim_agency", "dim_vendor")
         self._build_dimensions()
         return serving.load_anomaly(self.stage_anomaly, self.dim_agency, self.dim_vendor)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallystone.sources.tables import read_table, write_table
 
-_LOG = "_versions"
+_LOG = "versions"
 
 
 # A table, or how to derive it from the tables written before it.
