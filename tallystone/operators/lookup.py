@@ -13,13 +13,18 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HEAVY_KEYS = 20_000
 
 
+def fits_broadcast(lookup: Staged, limit: int | None = None) -> bool:
+    return lookup.bytes <= (BROADCAST_BYTES if limit is None else limit)
+
+
 def attach(
     facts: DataFrame,
     lookup: Staged,
     key: str,
     how: str = "left",
-    broadcast_bytes: int = BROADCAST_BYTES,
-    heavy_keys: int = HEAVY_KEYS,
+    broadcast_bytes: int | None = None,
+    heavy_keys: int | None = None,
+    stage_facts: bool = False,
 ) -> DataFrame:
     """Equi-join ``facts`` with a staged lookup that has one row per ``key``; ``how`` is left or inner.
 
@@ -29,16 +34,19 @@ def attach(
     shuffled on the key. NULL keys match nothing and stay where they are as well. The split changes
     where rows go, never the result.
 
-    Facts are read up to three times then, so attach large lookups first and small ones on top.
+    Facts are read up to three times then: attach large lookups first and small ones on top, and
+    let ``stage_facts`` write facts that are costly to derive.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"attach supports left and inner joins, not {how!r}")
-    if lookup.bytes <= broadcast_bytes:
+    if fits_broadcast(lookup, broadcast_bytes):
         return facts.join(F.broadcast(lookup.df), key, how)
 
+    if stage_facts:
+        facts = stage(facts, "facts").df
     per_key = stage(facts.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "rows-per-key").df
     total = per_key.agg(F.sum("n")).first()[0] or 0
-    is_heavy = F.col("n") * heavy_keys >= total
+    is_heavy = F.col("n") * (HEAVY_KEYS if heavy_keys is None else heavy_keys) >= total
     if per_key.filter(is_heavy).isEmpty():
         return facts.join(lookup.df, key, how)
 

@@ -226,7 +226,8 @@ def vendor_risk_monthly(anomaly: DataFrame, dim_vendor: Staged) -> DataFrame:
     sums = anomaly.groupBy("yyyymm", "vendor_id").agg(
         F.count_if("is_outlier").alias("outlier_txn"), F.count_if("is_new_vendor").alias("new_vendor_txn")
     )
-    named = attach(sums, dim_vendor.select("vendor_id", "vendor_name_clean"), "vendor_id", how="inner")
+    names = dim_vendor.select("vendor_id", "vendor_name_clean")
+    named = attach(sums, names, "vendor_id", how="inner", stage_facts=True)
     return named.select(
         "yyyymm",
         "vendor_id",

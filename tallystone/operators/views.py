@@ -62,14 +62,18 @@ def v_dim_month(dim_date: DataFrame) -> DataFrame:
     return dim_date.groupBy("yyyymm").agg(*[F.min(name).alias(name) for name in attributes])
 
 
-def v_exec_kpi(vendor_monthly_view: DataFrame, anomaly_view: DataFrame) -> DataFrame:
-    """Spend, transactions, active vendors and flag counts per month, in month order."""
+def v_exec_kpi(vendor_monthly_view: DataFrame, anomaly: DataFrame) -> DataFrame:
+    """Spend, transactions, active vendors and flag counts per month, in month order.
+
+    Only month and flags of the anomalies are counted, so the mart serves as well as its view: every
+    id of a published mart resolves, and its names are not needed.
+    """
     spend = vendor_monthly_view.groupBy("yyyymm", "year", "month").agg(
         F.sum("total_spend").alias("total_spend"),
         F.sum("txn_count").alias("txn_count"),
         F.count_distinct("vendor_name_clean").alias("active_vendors"),
     )
-    flagged = anomaly_view.groupBy("yyyymm").agg(
+    flagged = anomaly.groupBy("yyyymm").agg(
         F.count_if("is_outlier").alias("outlier_txn"), F.count_if("is_new_vendor").alias("new_vendor_txn")
     )
     # One row per calendar month of years 1 to 9999: never more than 119,988 small rows to broadcast.

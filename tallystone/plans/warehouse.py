@@ -9,6 +9,7 @@ from functools import cached_property, partial
 from pyspark.sql import DataFrame
 
 from tallystone.operators import gold, reports, risk, serving, silver, views
+from tallystone.operators.lookup import fits_broadcast
 from tallystone.sources.columns import gold_columns
 from tallystone.sources.tables import Staged, stage
 
@@ -44,6 +45,13 @@ class Warehouse:
             with ThreadPoolExecutor(len(missing)) as pool:
                 list(pool.map(partial(getattr, self), missing))
 
+    def _settled(self, df: DataFrame, label: str, lookup: Staged) -> DataFrame:
+        """Write a table that was joined with a lookup too large to broadcast.
+
+        Such a join reads its input several times; written, it happens once for all that builds on it.
+        """
+        return df if fits_broadcast(lookup) else stage(df, label).df
+
     # ---- silver and gold ----
 
     @cached_property
@@ -79,7 +87,8 @@ class Warehouse:
     def anomaly(self) -> DataFrame:
         self._build("cleaned")
         self._build("category_stats", "first_seen")
-        return gold.transaction_anomaly(self.cleaned, self.category_stats, self.first_seen)
+        flagged = gold.transaction_anomaly(self.cleaned, self.category_stats, self.first_seen)
+        return self._settled(flagged, "anomaly", self.first_seen)
 
     @cached_property
     def vendor_risk(self) -> DataFrame:
@@ -138,11 +147,13 @@ class Warehouse:
     def fact(self) -> DataFrame:
         self._build("silver")
         self._build_dimensions()
-        return serving.load_fact(self.stage_silver, self.dim_agency, self.dim_vendor)
+        fact = serving.load_fact(self.stage_silver, self.dim_agency, self.dim_vendor)
+        return self._settled(fact, "fact", self.dim_vendor)
 
     @cached_property
     def mart_vendor_monthly(self) -> DataFrame:
-        return serving.load_vendor_monthly(self.stage_vendor_monthly, self.dim_vendor)
+        mart = serving.load_vendor_monthly(self.stage_vendor_monthly, self.dim_vendor)
+        return self._settled(mart, "mart-vendor-monthly", self.dim_vendor)
 
     @cached_property
     def mart_agency_category(self) -> DataFrame:
@@ -155,7 +166,8 @@ class Warehouse:
             self._build("category_stats", "vendor_monthly", "agency_category")
             self._build("first_seen", "dim_agency", "dim_vendor")
         self._build_dimensions()
-        return serving.load_anomaly(self.stage_anomaly, self.dim_agency, self.dim_vendor)
+        mart = serving.load_anomaly(self.stage_anomaly, self.dim_agency, self.dim_vendor)
+        return self._settled(mart, "mart-anomaly", self.dim_vendor)
 
     @cached_property
     def mart_vendor_risk(self) -> DataFrame:
@@ -203,8 +215,8 @@ class Warehouse:
 
     @cached_property
     def v_exec_kpi(self) -> DataFrame:
-        anomalies = self.v_transaction_anomaly  # first: builds what both need at once
-        return views.v_exec_kpi(self.v_vendor_monthly_spend, anomalies)
+        anomaly = self.mart_anomaly  # first: builds what both need at once
+        return views.v_exec_kpi(self.v_vendor_monthly_spend, anomaly)
 
     @cached_property
     def kpi_totals(self) -> DataFrame:
