@@ -10,8 +10,9 @@ from tallystone.functions import dates, money, text
 from tallystone.functions.rules import FIELD_ALIASES
 from tallystone.sources.columns import optional_field, require_fields, resolve_fields
 
-# Folder-stamp of the file a row came from, where there is one (see sources.bronze).
+# Where a row came from, if known (see sources.bronze): its snapshot's stamp and its file.
 SNAPSHOT = "snapshot"
+FILE_ID = "file_id"
 
 SILVER_COLUMNS = [
     "transaction_id", "agency_name", "vendor_name", "mcc_description", "transaction_date_raw",
@@ -22,16 +23,16 @@ SILVER_COLUMNS = [
 
 
 def project_raw(df: DataFrame) -> DataFrame:
-    """The seven logical fields as text, whatever their headers; the snapshot stamp is kept if present.
+    """The seven logical fields as text, whatever their headers; snapshot and file are kept if present.
 
     A table that already has the logical names (a landed bronze table) passes unchanged.
     """
-    stamp = [F.col(SNAPSHOT)] if SNAPSHOT in df.columns else []
+    origin = [name for name in (SNAPSHOT, FILE_ID) if name in df.columns]
     if set(FIELD_ALIASES) <= set(df.columns):
-        return df.select(*FIELD_ALIASES, *stamp)
+        return df.select(*FIELD_ALIASES, *origin)
     fields = resolve_fields(df.columns)
     require_fields(fields, df.columns)
-    return df.select(*[optional_field(name).alias(field) for field, name in fields.items()], *stamp)
+    return df.select(*[optional_field(name).alias(field) for field, name in fields.items()], *origin)
 
 
 def type_money_and_time(df: DataFrame) -> DataFrame:
