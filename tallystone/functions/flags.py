@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tallystone.functions import rules
-from tallystone.functions.money import is_high_amount
 
 
 def is_outlier(amount: Column, mean: Column, std: Column, sigmas: float = rules.OUTLIER_SIGMAS) -> Column:
@@ -18,6 +17,10 @@ def is_new_vendor_month(month_start: Column, first_seen: Column) -> Column:
     return F.coalesce((month_start == first_seen).cast("int"), F.lit(0))
 
 
+def is_high_amount(amount: Column, limit: float = rules.HIGH_AMOUNT) -> Column:
+    return amount >= limit
+
+
 def anomaly_reason(outlier: Column, new_vendor: Column, high_amount: Column) -> Column:
     """Strongest reason of a flagged transaction, NULL when nothing is flagged."""
     return (
@@ -59,14 +62,3 @@ def risk_score_raw(
 
 def risk_score(raw: Column, cap: float = rules.MAX_RISK) -> Column:
     return F.least(F.lit(float(cap)), raw)
-
-
-__all__ = [
-    "anomaly_reason",
-    "is_high_amount",
-    "is_new_vendor_month",
-    "is_outlier",
-    "monthly_risk_score",
-    "risk_score",
-    "risk_score_raw",
-]

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-from tallystone.functions.rules import AMOUNT_BUCKETS, HIGH_AMOUNT, MONEY, TOP_BUCKET
+from tallystone.functions.rules import AMOUNT_BUCKETS, MONEY, TOP_BUCKET
 
 
 def clean_amount(raw: Column) -> Column:
@@ -33,10 +33,6 @@ def amount_bucket(
     return label.otherwise(top)
 
 
-def is_high_amount(amount: Column, limit: float = HIGH_AMOUNT) -> Column:
-    return amount >= limit
-
-
 def exact_average(total: Column, count: Column) -> Column:
     """``total / count`` in decimal(18,2), rounded half-up on whole cents.
 

@@ -20,6 +20,7 @@ from tallystone.sources.columns import gold_columns
 from tallystone.sources.fixture import spend_bronze
 from tallystone.sources.tables import export_csv, read_table, scratch_path, stage, write_table
 from tallystone.sources.versions import current_tables
+from tallystone.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +104,15 @@ def land_bronze(spark, sf_dir):
     return bronze_files.land_bronze(spark, f"{_drop_csv_files(spark, sf_dir)}/*", target)
 
 
+@query
+def land_arrivals(spark, sf_dir):
+    """The same drops, discovered by the file stream."""
+    target = scratch_path(spark, "bronze")
+    drop, checkpoint = _drop_csv_files(spark, sf_dir), scratch_path(spark, "arrivals")
+    arrivals.land_arrivals(spark, f"{drop}/*", target, checkpoint).awaitTermination()
+    return bronze_files.read_bronze(spark, target)
+
+
 @query
 def read_table_columns(spark, sf_dir):
     path = scratch_path(spark, "silver")

@@ -1,7 +1,7 @@
-"""The table-writing jobs: silver, gold, risk and the star reload.
+"""The table-writing jobs: landing, silver, gold, risk and the star reload.
 
 Each reads what the previous one wrote, writes Parquet once and exports CSV from what it wrote.
-Folder layout under the data folder: ``silver/``, ``gold/``, ``corp/``.
+Folder layout under the data folder: ``bronze/``, ``silver/``, ``gold/``, ``corp/``.
 """
 
 from __future__ import annotations
@@ -13,29 +13,38 @@ from pyspark.sql import DataFrame, SparkSession
 from tallystone.operators import gold, integrity, risk, serving
 from tallystone.operators.silver import build_silver
 from tallystone.plans.warehouse import Warehouse
-from tallystone.sources.bronze import read_bronze_csv
+from tallystone.sources.bronze import read_bronze, read_bronze_csv
 from tallystone.sources.columns import gold_columns
 from tallystone.sources.tables import export_csv, read_table, stage, write_table
 from tallystone.sources.versions import current_tables, publish
+from tallystone.streaming.arrivals import land_arrivals
 
 FACT_PARTITIONS = {"fact_transactions_clean": ["yyyymm"], "transaction_anomaly": ["yyyymm"]}
 DIMENSIONS = ["dim_agency", "dim_vendor"]
+# How tables are exported besides Parquet. A single file is written by one task: for small data only.
+CSV_EXPORTS = ("none", "many", "single")
 
 
-def _save(df: DataFrame, path: str, csv: bool, single_file: bool = False) -> DataFrame:
+def _save(df: DataFrame, path: str, csv: str) -> DataFrame:
     write_table(df, f"{path}.parquet")
     written = read_table(df.sparkSession, f"{path}.parquet")
-    if csv:
-        export_csv(written, f"{path}_csv", single_file)
+    if csv != "none":
+        export_csv(written, f"{path}_csv", single_file=csv == "single")
     return written
 
 
-def run_silver(spark: SparkSession, bronze: str, data: str, csv: bool = True) -> DataFrame:
-    """Bronze CSV files to ``silver/spend_clean``."""
-    return _save(build_silver(read_bronze_csv(spark, bronze)), f"{data}/silver/spend_clean", csv)
+def run_land(spark: SparkSession, drop: str, data: str) -> None:
+    """CSV files that arrived in the drop folder since the last run to ``bronze``."""
+    land_arrivals(spark, drop, f"{data}/bronze", f"{data}/bronze_arrivals").awaitTermination()
 
 
-def run_gold(spark: SparkSession, data: str, csv: bool = True) -> dict[str, DataFrame]:
+def run_silver(spark: SparkSession, bronze: str | None, data: str, csv: str = "many") -> DataFrame:
+    """Bronze CSV files, or else the landed bronze table, to ``silver/spend_clean``."""
+    rows = read_bronze_csv(spark, bronze) if bronze else read_bronze(spark, f"{data}/bronze")
+    return _save(build_silver(rows), f"{data}/silver/spend_clean", csv)
+
+
+def run_gold(spark: SparkSession, data: str, csv: str = "many") -> dict[str, DataFrame]:
     """Silver to the three gold tables."""
     cleaned = gold_columns(read_table(spark, f"{data}/silver/spend_clean.parquet"))
     monthly = _save(gold.vendor_monthly_spend(cleaned), f"{data}/gold/vendor_monthly_spend", csv)
@@ -50,7 +59,7 @@ def run_gold(spark: SparkSession, data: str, csv: bool = True) -> dict[str, Data
     }
 
 
-def run_risk(spark: SparkSession, data: str, csv: bool = True) -> DataFrame:
+def run_risk(spark: SparkSession, data: str, csv: str = "many") -> DataFrame:
     """Gold anomalies to ``gold/vendor_risk_scores``."""
     anomaly = read_table(spark, f"{data}/gold/transaction_anomaly.parquet")
     return _save(risk.vendor_risk_all_time(anomaly), f"{data}/gold/vendor_risk_scores", csv)
@@ -92,22 +101,24 @@ def reload_star(spark: SparkSession, warehouse: Warehouse, root: str) -> str:
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["silver", "gold", "risk", "serving", "all"])
-    parser.add_argument("--data", required=True, help="folder for silver/, gold/ and corp/")
-    parser.add_argument("--bronze", help="folder or glob of raw CSV files (silver and all)")
-    parser.add_argument("--no-csv", action="store_true", help="write Parquet only")
+    parser.add_argument("job", choices=["land", "silver", "gold", "risk", "serving", "all"])
+    parser.add_argument("--data", required=True, help="folder for bronze/, silver/, gold/ and corp/")
+    parser.add_argument("--drop", help="folder that CSV files are dropped into (land, and all if given)")
+    parser.add_argument("--bronze", help="folder or glob of raw CSV files, instead of the landed table (silver and all)")
+    parser.add_argument("--csv", choices=CSV_EXPORTS, default="many", help="CSV files per exported table")
     args = parser.parse_args()
-    if args.job in ("silver", "all") and not args.bronze:
-        parser.error("--bronze is required")
+    if args.job == "land" and not args.drop:
+        parser.error("--drop is required")
 
     spark = SparkSession.builder.appName(f"tallystone {args.job}").getOrCreate()
-    csv = not args.no_csv
+    if args.job == "land" or (args.job == "all" and args.drop):
+        run_land(spark, args.drop, args.data)
     if args.job in ("silver", "all"):
-        run_silver(spark, args.bronze, args.data, csv)
+        run_silver(spark, args.bronze, args.data, args.csv)
     if args.job in ("gold", "all"):
-        run_gold(spark, args.data, csv)
+        run_gold(spark, args.data, args.csv)
     if args.job in ("risk", "all"):
-        run_risk(spark, args.data, csv)
+        run_risk(spark, args.data, args.csv)
     if args.job in ("serving", "all"):
         print("published", run_serving(spark, args.data))
     spark.stop()

@@ -262,13 +262,16 @@ def oracle(select: str) -> str:
 _STATS_4DP = "round(mean_amount, 4) as mean_amount, round(std_amount, 4) as std_amount"
 _RISK_COLUMNS = """vendor_name, total_txn, cast(total_amount as double) as total_spend, avg_amount, outlier_txn,
   outlier_rate, new_vendor_txn, has_outlier, is_new_vendor_month_flag"""
+_LANDED = """select *, case when cast(transaction_id as bigint) % 2 = 0 then '20240201_000000'
+  else '20240301_000000' end as snapshot from raw"""
 _SUNDAY_FIRST = "cast(dayofweek(transaction_ts) + 1 as integer)"
 _MONTH = "m.year_month, m.month_start"
 
 SELECTS = {
     # sources
     "read_bronze_csv": "select * from raw",
-    "land_bronze": "select *, case when cast(transaction_id as bigint) % 2 = 0 then '20240201_000000' else '20240301_000000' end as snapshot from raw",
+    "land_bronze": _LANDED,
+    "land_arrivals": _LANDED,
     "read_table_columns": "select transaction_id, transaction_date, amount from silver",
     "write_table_by_month": "select yyyymm, count(*) as row_count, cast(sum(amount) as decimal(28,2)) as amount from silver group by yyyymm",
     "export_csv_round_trip": "select * from stage_vendor_monthly",
