@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystone.llm import packing, token_counts
+from tallystone.llm import mixing, near_dedup, packing, token_counts
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -24,10 +24,60 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_best_fit_packing, op4_token_counts]
+    found = [op3_best_fit_packing, op4_token_counts, op7_mixing, op9_minhash_near_dedup]
     return {f.__name__: f for f in found}
 
 
+OP7_SQL = r"""
+with docs as (
+    select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+           ('0x' || substr(md5('7:' || coalesce(doc_id::varchar, 'null')), 1, 15))::bigint as place
+    from documents
+), sources as (
+    select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) - 1 as turn
+    from docs group by source
+), caps as (
+    select source, source_size, 2.0::double * source_size as cap,
+           (case turn % 3 when 0 then 5 when 1 then 2 else 1 end)::double as weight
+    from sources
+), levels as (
+    -- the water level if the sources before this one, by cap over weight, are at their caps
+    select cap / weight as own_level, turn_key,
+           (1.5::double * sum(source_size) over () - coalesce(sum(cap) over lower, 0))
+             / sum(weight) over (order by cap / weight, turn_key rows between current row and unbounded following) as level
+    from (select *, coalesce(source, chr(1114111)) as turn_key from caps)
+    window lower as (order by cap / weight, turn_key rows between unbounded preceding and 1 preceding)
+), targets as (
+    select source, source_size,
+           round(least(weight * coalesce((select level from levels where level <= own_level
+                                              order by own_level, turn_key limit 1), 1e300), cap), 6) as target
+    from caps
+), goals as (
+    select source, source_size, target, case when source_size > 0 then round(target)::bigint // source_size else 0 end as epochs,
+           round(target)::bigint as goal
+    from targets
+), ordered as (
+    select d.*, source_size, target, epochs, goal - epochs * source_size as rest,
+           sum(size) over (partition by d.source order by place) as through,
+           sum(size) over (partition by d.source, place) as here
+    from docs d join goals g on d.source is not distinct from g.source
+)
+select doc_id, size, source_size, target,
+       (epochs * size + case when through <= rest then size
+                             when through - here < rest then size * (rest - (through - here)) // here
+                             else 0 end)::bigint as taken
+from ordered
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": OP7_SQL}
