@@ -75,3 +75,21 @@ def _in_lower_buckets(df: DataFrame, size: Column, start: int) -> Column:
     before = accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=start)
     offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
     return F.element_at(offsets, F.col("bucket") + 1)
+
+
+def row_numbers(df: DataFrame, order: list[Column], name: str, rows_per_range: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``row_number() over (order by ...)`` (bigint, from 1) without putting all rows in one task.
+
+    Rows are written in ranges of the order, each with its range's number; only the ranges' sizes, one
+    per ``rows_per_range`` rows, come to the driver. Up to that many rows are numbered in one task.
+    ``df`` is read twice: pass a written table.
+    """
+    ranges = ceil(df.count() / rows_per_range)
+    if ranges <= 1:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("bigint"))
+    ranged = stage(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges").df
+    sizes = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}
+    before = accumulate((sizes.get(i, 0) for i in range(ranges - 1)), initial=0)
+    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
+    position = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(name, position + F.element_at(offsets, F.col("_range") + 1)).drop("_range")
