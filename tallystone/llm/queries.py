@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystone.llm import mixing, near_dedup, packing, token_counts
+from tallystone.llm import mixing, near_dedup, packing, token_counts, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -16,6 +16,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The chain's order: what a text's quality tells comes before the verdict on toxicity.
+TOXICITY_CHAIN = ("quality", "toxic")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    models = toxicity.train_chain(documents, _table(spark, sf_dir, "labels"), TOXICITY_CHAIN)
+    return toxicity.predict_chain(documents, models, TOXICITY_CHAIN)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -33,7 +43,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_best_fit_packing, op4_token_counts, op7_mixing, op9_minhash_near_dedup]
+    found = [op2_toxicity, op3_best_fit_packing, op4_token_counts, op7_mixing, op9_minhash_near_dedup]
     return {f.__name__: f for f in found}
 
 
