@@ -181,19 +181,19 @@ def mixed_documents(
     The one document per source at which the partial round ends gets a row with its first words.
     Documents without words are not in the mix.
     """
-    named = ["_size", "_place"]
-    rows = df.withColumns({"_size": word_count(text_column), "_place": sampling_order(id_column, seed)})
-    slim = rows.select(F.col(source_column).cast("string").alias("source"), *[F.col(n).alias(n[1:]) for n in named])
-    plan = mixing_plan(stage(slim, "mixing-rows").df, weights, share, max_epochs)
-    plan = plan.select("source", *[F.col(c).alias(f"_{c}") for c in ("epochs", "cut_place", "cut_words", "cut_size")])
-    joined = _with_plan(rows, plan, source_column)
-    part = F.expr("_size * _cut_words div _cut_size")
-    extra = F.when(F.col("_place") < F.col("_cut_place"), F.col("_size")).when(F.col("_place") == F.col("_cut_place"), part)
-    words = F.concat(
-        F.array_repeat(F.col("_size"), F.col("_epochs").cast("int")), F.array(F.coalesce(extra, F.lit(0).cast("bigint")))
+    # The row goes along whole, so its columns' names clash with none of those used here.
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.col(source_column).cast("string").alias("source"),
+        word_count(text_column).alias("size"),
+        sampling_order(id_column, seed).alias("place"),
     )
-    repeated = joined.withColumn("_words", F.explode(words)).filter("_words > 0")
-    pieces = F.regexp_extract_all(F.col(text_column), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_words").cast("int")), "")
-    text = F.when(F.col("_words") == F.col("_size"), F.col(text_column)).otherwise(cut)
-    return repeated.withColumn(text_column, text).select(*df.columns)
+    plan = mixing_plan(stage(rows.drop("row"), "mixing-rows").df, weights, share, max_epochs)
+    joined = _with_plan(rows, plan, "source").withColumn("taken", taken())
+    whole = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(F.lit(0)).cast("int")
+    words = F.concat(F.array_repeat("size", whole), F.array(F.col("taken") - whole * F.col("size")))
+    repeated = joined.withColumn("words", F.explode(words)).filter("words > 0")
+    pieces = F.regexp_extract_all(F.col("row")[text_column], F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
+    text = F.when(F.col("words") == F.col("size"), F.col("row")[text_column]).otherwise(cut)
+    return repeated.select(F.col("row").withField(text_column, text).alias("row")).select("row.*")

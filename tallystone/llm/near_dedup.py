@@ -207,3 +207,15 @@ def near_duplicates(
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     found = rows.select("doc_id", "n_shingles", component.alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def without_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, with one document of each group of near duplicates, the smallest id.
+
+    Repeated rows of one id and text become one row. Rows with a null id link with nothing and stay.
+    """
+    found = near_duplicates(df, id_column, text_column).filter("kept and doc_id is not null")
+    kept = found.select(F.col("doc_id").alias(id_column)).distinct()
+    named = df.filter(F.col(id_column).isNotNull()).join(kept, id_column, "left_semi")
+    single = named.dropDuplicates([id_column, text_column])
+    return single.select(*df.columns).union(df.filter(F.col(id_column).isNull()))

@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from tallystone.llm import mixing, near_dedup, packing, token_counts, toxicity
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tallystone.llm import (
+    chat,
+    fingerprints,
+    language,
+    license_scan,
+    mixing,
+    near_dedup,
+    packing,
+    token_counts,
+    top_k,
+    toxicity,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -20,6 +31,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 TOXICITY_CHAIN = ("quality", "toxic")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     models = toxicity.train_chain(documents, _table(spark, sf_dir, "labels"), TOXICITY_CHAIN)
@@ -34,16 +49,46 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = chat.conversations(_table(spark, sf_dir, "conversations"))
+    return chat.format_preferences(chat.reply_pairs(talks))
+
+
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    prototypes = language.learn_prototypes(documents.filter(~language.held_out()))
+    return language.identify(documents, prototypes)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_toxicity, op3_best_fit_packing, op4_token_counts, op7_mixing, op9_minhash_near_dedup]
+    found = [
+        op1_license_scan,
+        op2_toxicity,
+        op3_best_fit_packing,
+        op4_token_counts,
+        op5_preference_formatting,
+        op6_document_fingerprints,
+        op7_mixing,
+        op8_language_id,
+        op9_minhash_near_dedup,
+        op10_exact_top_k,
+    ]
     return {f.__name__: f for f in found}
 
 
@@ -89,5 +134,60 @@ from ordered
 """
 
 
+OP10_SQL = """
+with usable as (
+    select vec_id, min([floor(x::double * 64) for x in embedding]) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len([x for x in embedding if x is not null and isfinite(x)]) = len(embedding)
+    group by vec_id
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+    from usable q join usable c on q.vec_id <> c.vec_id
+    where q.vec_id % 20 = 0
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+_RENDERED = "array_to_string(['<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10) for t in {}], '')"
+# Every turn's own rendering is 24 characters longer than its role and text; the text starts 13 in.
+_SPANS = """(
+        select coalesce(string_agg(reach, ',' order by i), '') from (
+            select i, role, sum(len(role) + len(text) + 24) over (order by i) as stop,
+                   (stop - len(text) - 11)::varchar || '-' || (stop - 1)::varchar as reach
+            from (select unnest(range(1, len({0}) + 1)) as i, unnest({0}).role as role, unnest({0}).text as text)
+        ) where role = 'assistant')"""
+OP5_SQL = f"""
+with turns as (
+    select distinct conv_id, turn, coalesce(role, 'user') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null and turn is not null
+), talks as (
+    select conv_id, list({{'role': role, 'text': text}} order by turn, role, text) as turns from turns group by conv_id
+), spots as (
+    select *, [i for i in range(1, len(turns) + 1) if turns[i].role = 'assistant'] as spots from talks
+), picked as (
+    select *, (('0x' || substr(md5(conv_id::varchar), 1, 8))::bigint % len(spots) + 1)::int as pick
+    from spots where len(spots) > 0
+), pairs as (
+    select conv_id as pair_id, turns[1:spots[-1]] as c,
+           turns[1:spots[pick] - 1] || [{{'role': 'assistant', 'text':
+               case when len(spots) > 1 then turns[spots[pick % len(spots) + 1]].text
+                    when spots[pick] > 1 then turns[spots[pick] - 1].text else '' end}}] as r
+    from picked
+), prefixes as (
+    select *, coalesce(list_min([i for i in range(1, least(len(c), len(r)) + 1) if c[i] <> r[i]]) - 1,
+                       least(len(c), len(r)))::int as prompt_turns
+    from pairs
+), cut as (
+    select pair_id, prompt_turns, c[1:prompt_turns] as p, c[prompt_turns + 1:] as c, r[prompt_turns + 1:] as r from prefixes
+)
+select pair_id, prompt_turns, {_RENDERED.format('p')} as prompt, {_RENDERED.format('c')} as chosen,
+       {_RENDERED.format('r')} as rejected, {_SPANS.format('c')} as chosen_spans, {_SPANS.format('r')} as rejected_spans
+from cut
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": OP7_SQL}
+    return {"op5_preference_formatting": OP5_SQL, "op7_mixing": OP7_SQL, "op10_exact_top_k": OP10_SQL}

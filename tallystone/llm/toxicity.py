@@ -202,8 +202,8 @@ def train_chain(
     return models
 
 
-def _scores(models: list[LinearModel], column: pa.Array) -> np.ndarray:
-    """Probabilities per row and category, category by category along the chain."""
+def _scores(models: list[LinearModel], column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities per row and category, category by category along the chain; whether a row has words."""
     out = np.zeros((len(column), len(models)))
     filled = np.zeros(len(column), bool)
 
@@ -216,10 +216,14 @@ def _scores(models: list[LinearModel], column: pa.Array) -> np.ndarray:
     for first, numbers, bounds in features(column):
         at = slice(first, first + len(bounds) - 1)
         out[at] = chain(numbers, bounds)
-        filled[at] = True
-    if not filled.all():
-        out[~filled] = chain(np.empty(0, np.int64), np.zeros(2, np.int64))
-    return out
+        filled[at] = np.diff(bounds) > 0
+    out[~filled] = chain(np.empty(0, np.int64), np.zeros(2, np.int64))
+    return out, filled
+
+
+def _positive(models: list[LinearModel], column: pa.Array, at: int, threshold: float) -> np.ndarray:
+    p, filled = _scores(models, column)
+    return filled & (p[:, at] >= threshold)
 
 
 def predict_chain(
@@ -240,8 +244,8 @@ def predict_chain(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = _scores(models, batch.column(1))
-            hit = (p[:, at] >= threshold) & ~np.array([not (x or "").strip() for x in batch.column(1).to_pylist()], dtype=bool)
+            p, filled = _scores(models, batch.column(1))
+            hit = filled & (p[:, at] >= threshold)
             arrays = [batch.column(0), *[pa.array(p[:, j]) for j in range(len(categories))], pa.array(hit)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *[f"p_{c}" for c in categories], f"is_{verdict}"])
 
@@ -250,13 +254,14 @@ def predict_chain(
     return map_in_arrow(rows, score, schema)
 
 
-def verdict_column(df: DataFrame, models: list[LinearModel], verdict_at: int, text_column: str = "text", threshold: float = THRESHOLD):
-    """A boolean column: whether a row's text is positive; for filtering a table that keeps its columns."""
-    ship(df.sparkSession)
+def without_toxic(
+    df: DataFrame, models: list[LinearModel], categories: Sequence[str], verdict: str = "toxic", threshold: float = THRESHOLD, text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``df``, all columns, whose text is not positive; null and blank texts stay."""
+    at, place = list(categories).index(verdict), df.columns.index(text_column)
 
-    @F.arrow_udf("boolean")
-    def positive(column: pa.Array) -> pa.Array:
-        p = _scores(models, column)
-        return pa.array(p[:, verdict_at] >= threshold)
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~_positive(models, batch.column(place), at, threshold)))
 
-    return positive(F.col(text_column)) & (F.coalesce(F.trim(F.col(text_column)), F.lit("")) != "")
+    return map_in_arrow(df, keep, df.schema)

@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -27,7 +27,7 @@ def ship(spark: SparkSession) -> None:
     _shipped[application] = folder
 
 
-def map_in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_in_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """``DataFrame.mapInArrow`` for a function that uses this package."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
