@@ -22,6 +22,9 @@ PERCENT = 75
 COORDINATES = 48
 MATCHES = 20
 
+# 64-bit words of the bitmap that stands for a set when a list's members are compared in pairs.
+BITMAP_WORDS = 16
+
 _random = np.random.Generator(np.random.PCG64(48_020))
 _MULTIPLIERS = _random.integers(0, 2**64, 1024, dtype=np.uint64) | np.uint64(1)
 _SALTS = _random.integers(0, 2**64, 1024, dtype=np.uint64)
@@ -67,42 +70,62 @@ def _signatures(df: DataFrame, coordinates: int, words: int) -> DataFrame:
 
 
 def _sets(df: DataFrame, words: int) -> DataFrame:
-    """``node, members``: the distinct shingle hashes of a text, ascending, as bytes."""
+    """``node, members, bitmap``: the distinct shingle hashes of a text, ascending, as bytes, and their low bits."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             members: list[bytes] = [b""] * len(batch)
+            bits = np.zeros((len(batch), BITMAP_WORDS * 64), np.uint8)
             for first, hashes, firsts in rows_of_words(batch.column(1)):
                 shingles, bounds = shingle_hashes(hashes, firsts, words)
                 for i in range(len(bounds) - 1):
-                    members[first + i] = np.unique(shingles[bounds[i] : bounds[i + 1]]).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(members, pa.binary())], names=["node", "members"])
+                    distinct = np.unique(shingles[bounds[i] : bounds[i + 1]])
+                    members[first + i] = distinct.tobytes()
+                    bits[first + i, distinct % np.uint64(BITMAP_WORDS * 64)] = 1
+            words_of = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
+            bitmaps = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * BITMAP_WORDS), pa.array(words_of))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(members, pa.binary()), bitmaps], names=["node", "members", "bitmap"]
+            )
 
-    return map_in_arrow(df, gather, "node bigint, members binary")
+    return map_in_arrow(df, gather, "node bigint, members binary, bitmap array<bigint>")
 
 
 def _prefix_lists(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """``token, node, n``: the posting lists that are enough to find every pair with ``matches`` collisions.
+    """``token, node, n, common``: posting lists that are enough to find every pair with ``matches`` collisions.
 
     A token is a coordinate's number and value. Two signatures that share ``matches`` of their tokens
     share one among the ``coordinates - matches + 1`` rarest of either, whatever else they hold. Tokens
     in one signature only are the rarest of all and need no list, so a document without relatives has
     none. The commonest tokens, those of copied passages, are skipped as long as a document has enough
-    others.
+    others. ``common`` counts a node's tokens that are in other signatures, too.
     """
     postings = nodes.select("node", "n", F.explode("coords").alias("token"))
     shared = stage(postings.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "token-sizes").df
     hits = postings.join(shared, "token")
     own = Window.partitionBy("node")
     place = F.row_number().over(own.orderBy("size", "token"))
-    single = F.lit(coordinates) - F.count(F.lit(1)).over(own)
-    prefix = hits.withColumns({"_place": place, "_single": single})
-    prefix = prefix.filter(F.col("_place") + F.col("_single") <= F.lit(coordinates - matches + 1))
-    return stage(prefix.select("token", "node", "n"), "posting-lists").df
+    common = F.count(F.lit(1)).over(own)
+    prefix = hits.withColumns({"_place": place, "common": common})
+    prefix = prefix.filter(F.col("_place") <= F.col("common") + F.lit(1 - matches))
+    prefix = stage(prefix.select("token", "node", "n", "common"), "prefixes").df
+    several = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("token")
+    return stage(prefix.join(several, "token", "left_semi"), "posting-lists").df
+
+
+def _can_be_linked(percent: int) -> Column:
+    """Whether sizes and bitmaps of two sets (columns n, m of the structs x, y) leave room for a link.
+
+    A bit that one set has and the other has not stands for at least one shingle outside the
+    intersection. A link needs an intersection of percent / (100 + percent) of both sizes together.
+    """
 
+    def most_common(one: str, other: str) -> Column:
+        only = [F.bit_count(F.col(f"{one}.m")[i].bitwiseAND(F.bitwise_not(F.col(f"{other}.m")[i]))) for i in range(BITMAP_WORDS)]
+        return F.col(f"{one}.n") - sum(only[1:], only[0])
 
-def _alike_in_size(a: str, b: str, percent: int) -> Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+    common = F.least(most_common("x", "y"), most_common("y", "x"))
+    return common * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
 
 
 def _enough_collisions(pairs: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
@@ -115,12 +138,8 @@ def _enough_collisions(pairs: DataFrame, nodes: DataFrame, matches: int) -> Data
     return pairs.join(left, "a").join(right, "b").filter(same >= matches).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, percent: int, words: int) -> DataFrame:
-    """The pairs that are links by their full shingle sets. Only texts of these pairs are read again."""
-    pairs = stage(pairs, "candidates").df
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = documents.withColumnRenamed("doc_id", "node").join(ends, "node", "left_semi").select("node", "text")
-    sets = stage(_sets(texts, words), "shingle-sets").df
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are links by their full shingle sets."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +157,8 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, percent: int, words: int)
 
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
-    return stage(map_in_arrow(pairs.join(left, "a").join(right, "b"), compare, "a bigint, b bigint"), "links").df
+    joined = stage(pairs, "candidates").df.join(left, "a").join(right, "b")
+    return stage(map_in_arrow(joined, compare, "a bigint, b bigint"), "links").df
 
 
 def near_duplicates(
@@ -154,11 +174,13 @@ def near_duplicates(
 
     1. Texts with equal shingle sets are one node, the smallest id, so copies cost nothing further.
     2. Signatures are posted under their rarest coordinate values (``_prefix_lists``).
-    3. In every list the nodes of like size are compared with the smallest of them only; the pairs that
-       collide often enough are confirmed on full sets, and what is linked becomes one component.
-    4. Whatever shares a list but no component is then compared pair by pair, again by collisions and
-       full sets. Pairs within a component need no comparison, so a group of thousands of near copies
-       costs about as many comparisons as it has members.
+    3. In every list the nodes of like size are compared with one of them only, the one that has most in
+       common with others; the pairs that collide often enough are confirmed on full sets, and what is
+       linked becomes one component.
+    4. Nodes that share a list but no component are then compared pair by pair: first by the sizes and
+       bitmaps of their sets, inside the join, then by collisions, then on full sets. Pairs within a
+       component need no comparison, so what a group of thousands of near copies costs is in proportion
+       to its members times those that are outside its component.
 
     Words are runs of other than ASCII white space, with A-Z in lower case; a text of fewer than
     ``words`` words is one shingle. Null, empty and blank texts have no shingle, link with nothing and
@@ -177,27 +199,33 @@ def near_duplicates(
     nodes = stage(known.join(named, same).select("node", "n", "coords").dropDuplicates(["node"]), "nodes").df
 
     lists = _prefix_lists(nodes, coordinates, matches)
-    in_lists = lists.select("node").distinct()
-    nodes = stage(nodes.join(in_lists, "node", "left_semi"), "listed-nodes").df
+    listed = stage(lists.select("node").distinct(), "listed").df
+    nodes = stage(nodes.join(listed, "node", "left_semi"), "listed-nodes").df
+    texts = documents.withColumnRenamed("doc_id", "node").join(listed, "node", "left_semi")
+    sets = stage(_sets(texts.select("node", "text"), words), "shingle-sets").df
 
-    # Nodes in one class of size differ by less than the percentage allows.
+    # Nodes in one class of size differ by less than the percentage allows. Of these the one with most
+    # common tokens has the least of its own, so it is the likeliest to be near all the others.
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
     sized = lists.withColumn("size_class", size_class)
-    centers = sized.groupBy("token", "size_class").agg(F.min("node").alias("b"))
-    stars = sized.join(centers, ["token", "size_class"]).filter("node <> b").select(F.col("node").alias("a"), "b")
+    best = sized.groupBy("token", "size_class").agg(F.max(F.struct("common", (-F.col("node")).alias("id"))).alias("best"))
+    best = best.select("token", "size_class", (-F.col("best.id")).alias("center"))
+    stars = sized.join(best, ["token", "size_class"]).filter("node <> center")
+    stars = stars.select(F.greatest("node", "center").alias("a"), F.least("node", "center").alias("b"))
     stars = stage(stars.distinct(), "star-pairs").df
-    links = _confirmed(_enough_collisions(stars, nodes, matches), documents, percent, words)
+    links = _confirmed(_enough_collisions(stars, nodes, matches), sets, percent)
 
     components = stage(connected_components(links), "components").df
     placed = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = mixed.filter("low <> high").select("token")
-    placed = stage(placed.join(mixed, "token", "left_semi"), "mixed-lists").df
-    x = placed.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    y = placed.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    rest = x.join(y, "token").filter("a > b and c_a <> c_b").filter(_alike_in_size("n_a", "n_b", percent))
+    placed = placed.join(mixed, "token", "left_semi").join(sets.select("node", "bitmap"), "node")
+    placed = stage(placed.select("token", "node", "component", F.struct("n", F.col("bitmap").alias("m")).alias("held")), "mixed-lists").df
+    x = placed.select("token", F.col("node").alias("a"), F.col("component").alias("c_a"), F.col("held").alias("x"))
+    y = placed.select("token", F.col("node").alias("b"), F.col("component").alias("c_b"), F.col("held").alias("y"))
+    rest = x.join(y, (x["token"] == y["token"]) & (F.col("a") > F.col("b")) & (F.col("c_a") != F.col("c_b")) & _can_be_linked(percent))
     rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(_enough_collisions(rest, nodes, matches), documents, percent, words)
+    more = _confirmed(_enough_collisions(rest, nodes, matches), sets, percent)
     components = stage(connected_components(links.union(more)), "components").df
 
     # A class's component first, so the join with the documents is the only one over all of them.
