@@ -166,7 +166,7 @@ def learn_prototypes(
     table = stage(summed.groupBy("lang").agg(ordered.alias("vector")), "prototypes").df
     # One vector per language.
     learned = sorted((r["lang"], r["vector"]) for r in table.collect())
-    vectors = np.array([v for _, v in learned], dtype=np.float64).reshape(len(learned), -1)
+    vectors = np.array([v for _, v in learned], dtype=np.float64).reshape(-1, DIMENSIONS)
     return Prototypes([name for name, _ in learned], _unit(vectors))
 
 

@@ -16,12 +16,17 @@ from tallystone.sources.tables import stage
 
 # Hashed features of a text: its distinct words, and their first bytes, for compounds and inflections.
 FEATURE_BITS = 18
-STEM_BYTES = 5
+STEM_BYTES = (4, 5)
 # Labelled rows the chain learns from, at most.
 SAMPLE_ROWS = 10_000
 FOLDS = 3
-EPOCHS = 12
-THRESHOLD = 0.5
+EPOCHS = 20
+THRESHOLD = 0.4
+
+# A feature counts if it is in so many rows of the training data, and its share of positive ones is so
+# many standard deviations from the mean: rare words would only tell the training rows apart.
+LEAST_ROWS = 4
+LEAST_DEVIATIONS = 3.0
 
 _BATCH = 64
 _RATE = 0.2
@@ -41,11 +46,11 @@ def features(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         for _ in range(3):  # marks around a word are not part of it
             ends = np.where(_IS_MARK[data[ends - 1]] & (ends - starts > 1), ends - 1, ends)
             starts = np.where(_IS_MARK[data[starts]] & (ends - starts > 1), starts + 1, starts)
-        words = hash_spans(data, starts, ends)
-        stems = mix(hash_spans(data, starts, np.minimum(starts + STEM_BYTES, ends)) + np.uint64(1))
-        rows = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-        found = np.concatenate([words, stems]) >> np.uint64(64 - FEATURE_BITS)
-        keyed = np.unique((np.concatenate([rows, rows]) << FEATURE_BITS) | found.astype(np.int64))
+        kinds = [hash_spans(data, starts, ends)]
+        kinds += [mix(hash_spans(data, starts, np.minimum(starts + n, ends)) + np.uint64(n)) for n in STEM_BYTES]
+        rows = np.tile(np.repeat(np.arange(len(firsts) - 1), np.diff(firsts)), len(kinds))
+        found = np.concatenate(kinds) >> np.uint64(64 - FEATURE_BITS)
+        keyed = np.unique((rows << FEATURE_BITS) | found.astype(np.int64))
         numbers = keyed & ((1 << FEATURE_BITS) - 1)
         bounds = np.searchsorted(keyed, np.arange(len(firsts)) << FEATURE_BITS)
         if parts or not chunk.last:
@@ -81,7 +86,7 @@ def log_odds(p: np.ndarray) -> np.ndarray:
 
 
 def fit(numbers: np.ndarray, bounds: np.ndarray, earlier: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS) -> LinearModel:
-    """Logistic regression by Adagrad over small batches, in the given order of rows.
+    """Logistic regression on the telling features, by Adagrad over small batches in the given order of rows.
 
     Without rows, or with one class only, a constant: the smoothed share of positive labels.
     """
@@ -90,6 +95,9 @@ def fit(numbers: np.ndarray, bounds: np.ndarray, earlier: np.ndarray, labels: np
     model = LinearModel(np.zeros(1 << FEATURE_BITS, np.float32), np.zeros(earlier.shape[1]), base)
     if len(labels) == 0 or labels.min() == labels.max():
         return model
+    telling = _telling(numbers, bounds, labels)
+    bounds = np.concatenate([[0], np.cumsum(telling[numbers])])[bounds]
+    numbers = numbers[telling[numbers]]
     weights, more = model.weights, model.earlier
     seen, seen_more, seen_base = np.full(len(weights), 1e-2, np.float32), np.full(len(more), 1e-2), 1e-2
     for _ in range(epochs):
@@ -112,6 +120,15 @@ def fit(numbers: np.ndarray, bounds: np.ndarray, earlier: np.ndarray, labels: np
     return LinearModel(weights, more, float(base))
 
 
+def _telling(numbers: np.ndarray, bounds: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Which features are in enough rows, and in more or fewer positive ones than chance has it."""
+    rows = np.bincount(numbers, minlength=1 << FEATURE_BITS)
+    positive = np.bincount(numbers, np.repeat(labels, np.diff(bounds)), 1 << FEATURE_BITS)
+    share = labels.mean()
+    spread = np.sqrt(np.maximum(rows * share * (1 - share), 1e-9))
+    return (rows >= LEAST_ROWS) & (np.abs(positive - rows * share) >= LEAST_DEVIATIONS * spread)
+
+
 def _sample(df: DataFrame, labels: DataFrame, categories: Sequence[str], rows: int, id_column: str, text_column: str) -> DataFrame:
     """``row, fold, labels, numbers`` of at most ``rows`` labelled documents, chosen by a hash of the id."""
     y = F.array(*[F.col(c).cast("double") for c in categories]).alias("labels")
