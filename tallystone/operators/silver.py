@@ -10,9 +10,8 @@ from tallystone.functions import dates, money, text
 from tallystone.functions.rules import FIELD_ALIASES
 from tallystone.sources.columns import optional_field, require_fields, resolve_fields
 
-# Where a row came from, if known (see sources.bronze): its snapshot's stamp and its file.
+# Where a row came from, if known (see sources.bronze): its snapshot's stamp.
 SNAPSHOT = "snapshot"
-FILE_ID = "file_id"
 
 SILVER_COLUMNS = [
     "transaction_id", "agency_name", "vendor_name", "mcc_description", "transaction_date_raw",
@@ -23,11 +22,11 @@ SILVER_COLUMNS = [
 
 
 def project_raw(df: DataFrame) -> DataFrame:
-    """The seven logical fields as text, whatever their headers; snapshot and file are kept if present.
+    """The seven logical fields as text, whatever their headers; the snapshot is kept if present.
 
     A table that already has the logical names (a landed bronze table) passes unchanged.
     """
-    origin = [name for name in (SNAPSHOT, FILE_ID) if name in df.columns]
+    origin = [name for name in (SNAPSHOT,) if name in df.columns]
     if set(FIELD_ALIASES) <= set(df.columns):
         return df.select(*FIELD_ALIASES, *origin)
     fields = resolve_fields(df.columns)

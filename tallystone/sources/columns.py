@@ -10,9 +10,14 @@ from tallystone.functions.rules import FIELD_ALIASES, OTHER_CATEGORY, REQUIRED_F
 
 
 def resolve_column(columns: Iterable[str], candidates: Sequence[str]) -> str | None:
-    """Actual spelling of the first candidate that is present, ignoring case."""
-    spelling = {name.lower(): name for name in columns}
-    return next((spelling[c.lower()] for c in candidates if c.lower() in spelling), None)
+    """Actual spelling of the first candidate that is present, ignoring case.
+
+    Of columns that differ only in case the first one counts.
+    """
+    present = list(columns)
+    wanted = [c.lower() for c in candidates]
+    matching = [name for name in present if name.lower() in wanted]
+    return min(matching, key=lambda name: (wanted.index(name.lower()), present.index(name)), default=None)
 
 
 def resolve_fields(

@@ -13,9 +13,10 @@ _LISTING = "path string, modificationTime timestamp, length long, content binary
 def land_arrivals(
     spark: SparkSession, drop_folder: str, bronze: str, checkpoint: str, max_files: int = 1000
 ) -> StreamingQuery:
-    """Land every CSV file not landed before, then stop.
+    """Land every file not landed before, whatever its suffix, then stop.
 
-    The stream only discovers files: its checkpoint remembers which ones were taken, contents are
+    As for any Spark reader, names that begin with ``_`` or ``.`` are not data. The stream only
+    discovers files: its checkpoint remembers which ones were taken, contents are
     read by ``land_bronze``, which resolves each file's header. A batch repeated after a failure
     rewrites the same snapshots. ``checkpoint`` must be on shared storage. Run it as often as
     files arrive.
@@ -30,7 +31,6 @@ def land_arrivals(
         spark.readStream.format("binaryFile")
         .schema(_LISTING)
         .option("maxFilesPerTrigger", max_files)
-        .option("pathGlobFilter", "*.csv")
         .load(drop_folder)
         .select("path")
         .writeStream.foreachBatch(land)
