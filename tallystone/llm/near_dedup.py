@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallystone.llm.components import connected_components
 from tallystone.llm.words import mix, rows_of_words, shingle_hashes
-from tallystone.llm.workers import map_in_arrow
+from tallystone.llm.workers import map_in_arrow, ship
 from tallystone.sources.tables import stage
 
 WORDS = 5
@@ -24,6 +24,9 @@ MATCHES = 20
 
 # 64-bit words of the bitmap that stands for a set when a list's members are compared in pairs.
 BITMAP_WORDS = 16
+# Lists with at most so many members are paired in a join; longer ones in blocks of BLOCK_ROWS.
+SHORT_LIST = 32
+BLOCK_ROWS = 4096
 
 _random = np.random.Generator(np.random.PCG64(48_020))
 _MULTIPLIERS = _random.integers(0, 2**64, 1024, dtype=np.uint64) | np.uint64(1)
@@ -114,18 +117,78 @@ def _prefix_lists(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame
 
 
 def _can_be_linked(percent: int) -> Column:
-    """Whether sizes and bitmaps of two sets (columns n, m of the structs x, y) leave room for a link.
+    """Whether the sizes n_x, n_y and the bitmaps m_x, m_y of two sets leave room for a link.
 
     A bit that one set has and the other has not stands for at least one shingle outside the
     intersection. A link needs an intersection of percent / (100 + percent) of both sizes together.
     """
 
     def most_common(one: str, other: str) -> Column:
-        only = [F.bit_count(F.col(f"{one}.m")[i].bitwiseAND(F.bitwise_not(F.col(f"{other}.m")[i]))) for i in range(BITMAP_WORDS)]
-        return F.col(f"{one}.n") - sum(only[1:], only[0])
+        only = [F.bit_count(F.col(f"m_{one}")[i].bitwiseAND(F.bitwise_not(F.col(f"m_{other}")[i]))) for i in range(BITMAP_WORDS)]
+        return F.col(f"n_{one}") - sum(only[1:], only[0])
 
     common = F.least(most_common("x", "y"), most_common("y", "x"))
-    return common * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+    return common * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent
+
+
+def _block_pairs(percent: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same for a block of a long list's outsiders and one of its members, by numpy."""
+
+    def pair(outsiders: pa.Table, members: pa.Table) -> pa.Table:
+        found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        if outsiders.num_rows and members.num_rows:
+            sides = []
+            for table in (outsiders, members):
+                bits = [c.flatten().to_numpy(zero_copy_only=False) for c in table.column("bitmap").chunks]
+                columns = [table.column(c).to_numpy() for c in ("node", "component", "n")]
+                sides.append((*columns, np.concatenate(bits).reshape(-1, BITMAP_WORDS).view(np.uint64)))
+            (nodes, components, sizes, bitmaps), (others, other_components, other_sizes, other_bitmaps) = sides
+            for i in range(len(nodes)):
+                only = sizes[i] - np.bitwise_count(bitmaps[i] & ~other_bitmaps).sum(axis=1, dtype=np.int64)
+                theirs = other_sizes - np.bitwise_count(other_bitmaps & ~bitmaps[i]).sum(axis=1, dtype=np.int64)
+                fits = np.minimum(only, theirs) * (100 + percent) >= (sizes[i] + other_sizes) * percent
+                hits = others[fits & (other_components != components[i])]
+                found_a.append(np.maximum(hits, nodes[i]))
+                found_b.append(np.minimum(hits, nodes[i]))
+        return pa.table({"a": pa.array(np.concatenate(found_a), pa.int64()), "b": pa.array(np.concatenate(found_b), pa.int64())})
+
+    return pair
+
+
+def _pairs_across_components(lists: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` (a > b) that share a list but no component and are alike enough by size and bitmap.
+
+    In a list most members are often in one component already. Only the others, the outsiders, are
+    compared, each with all members. Short lists are joined with themselves; long ones are cut into
+    blocks, so that a task never holds more than two blocks, however long a list is, and what does not
+    fit leaves no row behind.
+    """
+    placed = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    held = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("of_it"))
+    lengths = held.groupBy("token").agg(
+        F.sum("of_it").alias("members"), F.count(F.lit(1)).alias("components"), F.max(F.struct("of_it", "component"))["component"].alias("main")
+    )
+    mixed = lengths.filter("components > 1").select("token", "members", "main")
+    rows = placed.join(mixed, "token").join(sets.select("node", "bitmap"), "node")
+    rows = stage(rows.select("token", "node", "n", "component", "bitmap", "members", "main"), "mixed-lists").df
+
+    short = rows.filter(F.col("members") <= SHORT_LIST)
+    side = lambda name: [F.col(c).alias(f"{c[0]}_{name}") for c in ("n", "component")] + [F.col("bitmap").alias(f"m_{name}")]
+    x = short.filter("component <> main").select("token", F.col("node").alias("p"), *side("x"))
+    y = short.select("token", F.col("node").alias("q"), *side("y"))
+    joined = x.join(y, (x["token"] == y["token"]) & (F.col("c_x") != F.col("c_y")) & _can_be_linked(percent))
+    joined = joined.select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b"))
+
+    long = rows.filter(F.col("members") > SHORT_LIST)
+    blocks = F.ceil(F.col("members") / BLOCK_ROWS)
+    own, every = F.pmod(F.xxhash64("node"), blocks), F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+    columns = ["token", "node", "n", "component", "bitmap"]
+    outsiders = long.filter("component <> main").select(*columns, own.alias("own"), every.alias("other"))
+    members = long.select(*columns, own.alias("other"), every.alias("own"))
+    ship(lists.sparkSession)
+    keys = ["token", "own", "other"]
+    blocked = outsiders.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(_block_pairs(percent), "a bigint, b bigint")
+    return joined.union(blocked).distinct()
 
 
 def _enough_collisions(pairs: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
@@ -178,9 +241,9 @@ def near_duplicates(
        common with others; the pairs that collide often enough are confirmed on full sets, and what is
        linked becomes one component.
     4. Nodes that share a list but no component are then compared pair by pair: first by the sizes and
-       bitmaps of their sets, inside the join, then by collisions, then on full sets. Pairs within a
-       component need no comparison, so what a group of thousands of near copies costs is in proportion
-       to its members times those that are outside its component.
+       bitmaps of their sets, then by collisions, then on full sets. Pairs within a component need no
+       comparison, so what a group of thousands of near copies costs is in proportion to its members
+       times those that are outside its component.
 
     Words are runs of other than ASCII white space, with A-Z in lower case; a text of fewer than
     ``words`` words is one shingle. Null, empty and blank texts have no shingle, link with nothing and
@@ -215,16 +278,8 @@ def near_duplicates(
     stars = stage(stars.distinct(), "star-pairs").df
     links = _confirmed(_enough_collisions(stars, nodes, matches), sets, percent)
 
-    components = stage(connected_components(links), "components").df
-    placed = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.filter("low <> high").select("token")
-    placed = placed.join(mixed, "token", "left_semi").join(sets.select("node", "bitmap"), "node")
-    placed = stage(placed.select("token", "node", "component", F.struct("n", F.col("bitmap").alias("m")).alias("held")), "mixed-lists").df
-    x = placed.select("token", F.col("node").alias("a"), F.col("component").alias("c_a"), F.col("held").alias("x"))
-    y = placed.select("token", F.col("node").alias("b"), F.col("component").alias("c_b"), F.col("held").alias("y"))
-    rest = x.join(y, (x["token"] == y["token"]) & (F.col("a") > F.col("b")) & (F.col("c_a") != F.col("c_b")) & _can_be_linked(percent))
-    rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    components = stage(connected_components(links, most_rounds=2), "first-components").df
+    rest = _pairs_across_components(lists, components, sets, percent).join(stars, ["a", "b"], "left_anti")
     more = _confirmed(_enough_collisions(rest, nodes, matches), sets, percent)
     components = stage(connected_components(links.union(more)), "components").df
 
