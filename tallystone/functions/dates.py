@@ -41,7 +41,9 @@ def yyyymm(year: Column, month: Column) -> Column:
 
 
 def first_of_month(year: Column, month: Column) -> Column:
-    return F.make_date(year, month, F.lit(1))
+    """NULL for a month that is not on the calendar, whatever the session's ANSI setting."""
+    on_calendar = month.between(1, 12) & year.between(1, 9999)
+    return F.make_date(F.when(on_calendar, year), F.when(on_calendar, month), F.lit(1))
 
 
 def is_weekend(day_of_week: Column) -> Column:

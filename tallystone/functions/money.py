@@ -34,12 +34,12 @@ def amount_bucket(
 
 
 def exact_average(total: Column, count: Column) -> Column:
-    """``total / count`` in decimal(18,2), rounded half-up on whole cents.
+    """``total / count`` in decimal(18,2), rounded half away from zero on whole cents; NULL for no rows.
 
-    A double average cast to decimal is off by a cent on half-cent ties, so the division is
-    done on integers: (2*cents + n) div (2*n). Totals are positive (cleaning drops the rest).
+    A double average cast to decimal is off by a cent on half-cent ties, so the division is done on
+    integers: (2 * |cents| + n) div (2 * n), with the total's sign.
     """
     cents = (total.cast(MONEY) * 100).cast("bigint")
-    count = count.cast("bigint")
-    rounded_cents = F.call_function("div", cents * 2 + count, count * 2)
+    count = F.nullif(count.cast("bigint"), F.lit(0).cast("bigint"))
+    rounded_cents = F.call_function("div", F.abs(cents) * 2 + count, count * 2) * F.signum(cents).cast("bigint")
     return (rounded_cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY)

@@ -5,91 +5,60 @@ from __future__ import annotations
 from itertools import accumulate
 from math import ceil
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallystone.operators.lookup import attach
 from tallystone.sources.tables import stage
 
-# What one window task is given to sort, and how many ranges there can be at most.
-ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 4_000
-# First three hex digits of an md5.
-ID_BUCKETS = 16**3
+# What one window task is given to sort.
+ROWS_PER_RANGE = 200_000
 
 
-def percent_rank(df: DataFrame, value: str, name: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``percent_rank() over (order by value)`` as a distributed computation; NULLs rank first.
+def percent_rank(df: DataFrame, value: str, name: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``percent_rank() over (order by value)`` as a distributed computation; NULLs rank first, NaN last.
 
-    The rank is (rows strictly below) / (rows - 1). Distinct values are counted first, cut into
-    ranges, and accumulated within each range; the ranges' totals give every range its offset.
-    Range limits come from approximate quantiles, which only affects how even the ranges are.
+    The rank is (rows strictly below) / (rows - 1). Distinct values are counted first and accumulated in
+    their order, range by range.
     """
-    counted = stage(df.groupBy(value).agg(F.count(F.lit(1)).alias("n")), "rank-values")
-    size = counted.df.agg(
-        F.count(value).alias("values"),
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col(value).isNull(), F.col("n"))).alias("nulls"),
-    ).first()
-    buckets = min(max(2, ceil(size["values"] / rows_per_bucket)), MAX_BUCKETS)
-    ranged = _range_buckets(counted.df.filter(F.col(value).isNotNull()), value, buckets)
-    within = Window.partitionBy("bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("n").over(within), F.lit(0)) + _in_lower_buckets(ranged, F.sum("n"), size["nulls"] or 0)
-    ranks = ranged.select(value, (below / F.lit(max((size["rows"] or 0) - 1, 1))).alias(name))
-    # One value may be shared by a large part of the rows, hence not a plain join back.
-    ranked = attach(df, stage(ranks, "ranks"), value)
+    counted = stage(df.groupBy(value).agg(F.count(F.lit(1)).alias("n")), "rank-values").df
+    rows = counted.agg(F.sum("n")).first()[0] or 0
+    below = _running(counted, [F.col(value).asc_nulls_first()], F.col("n"), "below", rows_per_range)
+    ranks = below.select(value, (F.col("below") / F.lit(max(rows - 1, 1))).alias(name))
+    known = ranks.filter(F.col(value).isNotNull())
+    # One value may be shared by a large part of the rows, hence not a plain join back. No row is below a NULL.
+    ranked = attach(df, stage(known, "ranks"), value)
     return ranked.withColumn(name, F.coalesce(name, F.lit(0.0)))
 
 
 def dense_ids(keys: DataFrame, key: str, name: str, start: int = 0) -> DataFrame:
-    """Number unique md5 keys ``start + 1, start + 2, ...`` in key order.
-
-    md5 is uniform, so its first three hex digits make 4,096 even buckets; rows are numbered within
-    a bucket, after as many as the lower buckets hold. ``keys`` is read twice: pass a written table.
-    """
-    bucketed = keys.withColumn("bucket", F.conv(F.substring(key, 1, 3), 16, 10).cast("int"))
-    position = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
-    before = _in_lower_buckets(bucketed, F.count(F.lit(1)), start)
-    return bucketed.withColumn(name, (position + before).cast("bigint")).drop("bucket")
-
-
-def _range_buckets(df: DataFrame, value: str, buckets: int) -> DataFrame:
-    """Add ``bucket``, an evenly filled range of the value; equal values share one."""
-    as_double = df.withColumn("position", F.col(value).cast("double"))
-    shares = [i / buckets for i in range(1, buckets)]
-    limits = sorted(set(as_double.approxQuantile("position", shares, 1 / (4 * buckets))))
-    # Binary search in the JVM; monotone in the value, so ranges never overlap.
-    splits = [float("-inf"), *limits, float("inf")]
-    if len(splits) == 2:
-        return df.withColumn("bucket", F.lit(0))
-    bucketed = Bucketizer(splits=splits, inputCol="position", outputCol="bucket").transform(as_double)
-    return bucketed.withColumn("bucket", F.col("bucket").cast("int")).drop("position")
+    """Number unique keys ``start + 1, start + 2, ...`` in key order. ``keys`` is read twice: pass a written table."""
+    numbered = row_numbers(keys, [F.col(key)], name)
+    return numbered.withColumn(name, F.col(name) + F.lit(start).cast("bigint"))
 
 
-def _in_lower_buckets(df: DataFrame, size: Column, start: int) -> Column:
-    """``start`` plus the total size of all buckets below a row's own.
+def row_numbers(df: DataFrame, order: list[Column], name: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Add ``row_number() over (order by ...)`` (bigint, from 1) without putting all rows in one task.
 
-    Only one number per bucket comes to the driver, at most 4,096; they go back as a literal array.
+    ``df`` is read twice: pass a written table.
     """
-    sizes = {row["bucket"]: row["size"] for row in df.groupBy("bucket").agg(size.alias("size")).collect()}
-    before = accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=start)
-    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
-    return F.element_at(offsets, F.col("bucket") + 1)
+    before = _running(df, order, F.lit(1).cast("bigint"), name, rows_per_range)
+    return before.withColumn(name, F.col(name) + 1)
 
 
-def row_numbers(df: DataFrame, order: list[Column], name: str, rows_per_range: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``row_number() over (order by ...)`` (bigint, from 1) without putting all rows in one task.
+def _running(df: DataFrame, order: list[Column], size: Column, name: str, rows_per_range: int) -> DataFrame:
+    """Add the total size of all rows before each row in the given order, which must be unique.
 
-    Rows are written in ranges of the order, each with its range's number; only the ranges' sizes, one
-    per ``rows_per_range`` rows, come to the driver. Up to that many rows are numbered in one task.
-    ``df`` is read twice: pass a written table.
+    Up to ``rows_per_range`` rows are summed in one task. More are written in ranges of the order, each
+    row with its range's number, so that the numbers stay what they are; of the ranges, as many as the
+    rows need, only the total sizes come to the driver.
     """
-    ranges = ceil(df.count() / rows_per_range)
-    if ranges <= 1:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("bigint"))
-    ranged = stage(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges").df
-    sizes = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}
-    before = accumulate((sizes.get(i, 0) for i in range(ranges - 1)), initial=0)
-    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
-    position = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return ranged.withColumn(name, position + F.element_at(offsets, F.col("_range") + 1)).drop("_range")
+    ranges = max(1, ceil(df.count() / rows_per_range))
+    ranged = df.withColumn("_range", F.lit(0))
+    offsets = [0]
+    if ranges > 1:
+        ranged = stage(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges").df
+        sizes = {r["_range"]: r["size"] for r in ranged.groupBy("_range").agg(F.sum(size).alias("size")).collect()}
+        offsets = list(accumulate((sizes.get(i, 0) for i in range(ranges - 1)), initial=0))
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.element_at(F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>"), F.col("_range") + 1)
+    return ranged.withColumn(name, F.coalesce(F.sum(size).over(within), F.lit(0).cast("bigint")) + offset).drop("_range")

@@ -64,10 +64,31 @@ STAGE_ANOMALY = {
 
 
 def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Columns picked by name; what does not fit its type becomes NULL. Takes Parquet or exported CSV alike."""
+    """Columns picked by name; what does not fit its type becomes NULL (see ``stage_rejects``, ``require_fitting``).
+
+    Takes Parquet or exported CSV alike.
+    """
     return df.select(*[F.col(name).try_cast(to).alias(name) for name, to in types.items()])
 
 
+def stage_rejects(df: DataFrame, types: dict[str, str], key: str = "transaction_id") -> DataFrame:
+    """``key, column_name, text`` of every value that staging would lose: not NULL as it is, NULL in its type."""
+    lost = [
+        F.when(F.col(name).isNotNull() & F.col(name).try_cast(to).isNull(), F.struct(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("text")))
+        for name, to in types.items()
+    ]
+    found = df.select(F.col(key).cast("string").alias(key), F.explode(F.array_compact(F.array(*lost))).alias("lost"))
+    return found.select(key, "lost.*")
+
+
+def require_fitting(df: DataFrame, types: dict[str, str], table: str) -> None:
+    """Raise when a value does not fit its type; one pass that counts, per column, what would be lost."""
+    lost = [F.count_if(F.col(name).isNotNull() & F.col(name).try_cast(to).isNull()).alias(name) for name, to in types.items()]
+    broken = {name: n for name, n in df.agg(*lost).first().asDict().items() if n}
+    if broken:
+        raise ValueError(f"values that do not fit their types in {table}: {broken}")
+
+
 def stage_silver(silver: DataFrame) -> DataFrame:
     return _typed(silver, STAGE_SILVER)
 
@@ -169,7 +190,10 @@ def derive_period(df: DataFrame) -> DataFrame:
 
 
 def load_fact(staged_silver: DataFrame, dim_agency: Staged, dim_vendor: Staged) -> DataFrame:
-    """Transactions with their dimension ids; rows without a known agency and vendor are dropped."""
+    """Transactions with their dimension ids; rows without a known agency and vendor are dropped.
+
+    So are rows whose id, date or amount is NULL; ``require_fitting`` tells values lost in staging apart.
+    """
     complete = staged_silver.dropna(subset=["transaction_id", "transaction_date", "amount"])
     return (
         complete.transform(derive_period)

@@ -16,9 +16,9 @@ from tallystone.operators.ranking import percent_rank
 from tallystone.plans import jobs, namespaces
 from tallystone.plans.warehouse import Warehouse
 from tallystone.sources import bronze as bronze_files
-from tallystone.sources.columns import gold_columns
+from tallystone.sources.columns import gold_columns, missing, resolve_fields
 from tallystone.sources.fixture import spend_bronze
-from tallystone.sources.tables import export_csv, read_table, scratch_path, stage, write_table
+from tallystone.sources.tables import export_csv, read_csv, read_table, scratch_path, stage, write_table
 from tallystone.sources.versions import current_tables
 from tallystone.streaming import arrivals
 
@@ -133,13 +133,35 @@ def write_table_by_month(spark, sf_dir):
 
 @query
 def export_csv_round_trip(spark, sf_dir):
-    path = scratch_path(spark, "vendor-monthly-csv")
-    monthly = gold.vendor_monthly_spend(_cleaned(spark, sf_dir))
-    export_csv(monthly, path)
-    exported = spark.read.option("header", True).option("escape", '"').schema(
-        ", ".join(f"{name} string" for name in monthly.columns)
+    """The whole silver table, padded names and NULLs included, through CSV and back."""
+    path = scratch_path(spark, "silver-csv")
+    whole = stage(_silver(spark, sf_dir), "silver").df
+    export_csv(whole, path)
+    back = read_csv(spark, path, whole.columns)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in whole.schema.fields])
+
+
+@query
+def stage_rejects(spark, sf_dir):
+    """Silver with some texts spoilt: amounts beyond the type, dates off the calendar, flags that are none."""
+    order = F.col("transaction_id").cast("bigint")
+    spoilt = _silver(spark, sf_dir).withColumns(
+        {
+            "amount": F.when(order % 7 == 0, F.concat(F.col("amount").cast("string"), F.lit("e17"))).otherwise(F.col("amount").cast("string")),
+            "transaction_date": F.when(order % 11 == 0, "2024-13-01").otherwise(F.col("transaction_date").cast("string")),
+            "is_weekend": F.when(order % 13 == 0, "perhaps").otherwise(F.col("is_weekend").cast("string")),
+        }
     )
-    return serving.stage_vendor_monthly(exported.csv(path))
+    return serving.stage_rejects(spoilt, serving.STAGE_SILVER)
+
+
+@query
+def missing_fields(spark, sf_dir):
+    """Which required fields a table without some columns lacks, and how many rows that concerns."""
+    bare = spend_bronze(spark, sf_dir).drop("vendor_name", "amount", "description")
+    found = missing(resolve_fields(bare.columns))
+    counted = bare.agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.select(F.explode(F.array(*map(F.lit, found))).alias("field"), "row_count")
 
 
 @query
@@ -269,6 +291,17 @@ def dedup_transactions(spark, sf_dir):
     return silver.dedup_transactions(_typed(spark, sf_dir), where=silver.is_valid())
 
 
+@query
+def silver_of_two_snapshots(spark, sf_dir):
+    """Every id in an older snapshot, a third of them in a newer one with other amounts and earlier dates."""
+    older = _raw(spark, sf_dir).withColumn(silver.SNAPSHOT, F.lit("20240201_000000"))
+    newer = older.filter(F.col("transaction_id").cast("bigint") % 3 == 0).withColumns(
+        {"amount_raw": F.lit("$1.25"), "transaction_date_raw": F.lit("1990-01-02"), silver.SNAPSHOT: F.lit("20240301_000000")}
+    )
+    survivors = silver.build_silver(older.unionByName(newer))
+    return survivors.select("transaction_id", "amount", "transaction_date", "amount_bucket")
+
+
 @query
 def build_silver(spark, sf_dir):
     return _silver(spark, sf_dir)
@@ -421,6 +454,23 @@ def upsert_dim_vendor_second_load(spark, sf_dir):
     return serving.upsert_dim_vendor(serving.vendor_candidates(monthly), first_load).drop("created_at")
 
 
+@query
+def upsert_dim_agency_second_load(spark, sf_dir):
+    """A first load up to 1995, then one of everything: known agencies keep their ids."""
+    monthly = stage(gold.agency_category_spend(_cleaned(spark, sf_dir)), "agency-category").df
+    early = serving.agency_candidates(monthly.filter("year <= 1995 and agency_name < 'G'"))
+    first_load = stage(serving.upsert_dim_agency(early), "first-load").df
+    return serving.upsert_dim_agency(serving.agency_candidates(monthly), first_load).drop("created_at")
+
+
+@query
+def audit_columns(spark, sf_dir):
+    """Rows of the fact per month, and how many of them carry a load time of today."""
+    stamped = serving.audit_column(_warehouse(spark, sf_dir).fact, "ingested_at")
+    recent = F.col("ingested_at").between(F.current_timestamp() - F.expr("interval 1 day"), F.current_timestamp())
+    return stamped.groupBy("yyyymm").agg(F.count(F.lit(1)).alias("row_count"), F.count_if(recent).alias("stamped"))
+
+
 @query
 def load_fact(spark, sf_dir):
     return _warehouse(spark, sf_dir).fact
@@ -479,6 +529,16 @@ def full_reload(spark, sf_dir):
     return reports.row_counts(current_tables(spark, root, list(warehouse.star())))
 
 
+@query
+def full_reload_content(spark, sf_dir):
+    """The published anomaly mart after a second publication of the same star."""
+    root = scratch_path(spark, "corp")
+    warehouse = _warehouse(spark, sf_dir)
+    jobs.reload_star(spark, warehouse, root)
+    jobs.reload_star(spark, warehouse, root, keep_versions=1)
+    return current_tables(spark, root, ["transaction_anomaly"])["transaction_anomaly"].drop("created_at")
+
+
 @query
 def sql_over_published_views(spark, sf_dir):
     """An analyst's SQL over the views of a published star."""
@@ -486,13 +546,28 @@ def sql_over_published_views(spark, sf_dir):
     jobs.reload_star(spark, _warehouse(spark, sf_dir), root)
     namespaces.register(namespaces.published_warehouse(spark, root))
     return spark.sql(
-        "select k.yyyymm, k.txn_count, m.month_start from bi_v_exec_kpi k join bi_v_dim_month m using (yyyymm)"
+        "select k.*, m.year_month, m.month_name, m.month_short, m.month_start "
+        "from bi_v_exec_kpi k join bi_v_dim_month m using (yyyymm)"
     )
 
 
 @query
 def check_integrity(spark, sf_dir):
-    return integrity.star_violations(_warehouse(spark, sf_dir).star())
+    """A written star with faults of each kind: repeated keys, NULLs, and ids that no dimension has."""
+    warehouse = _warehouse(spark, sf_dir)
+    star = dict(warehouse.star())
+    fact = stage(star["fact_transactions_clean"], "fact").df
+    order = F.col("transaction_id").cast("bigint")
+    repeated = fact.filter(order % 97 == 0)
+    spoilt = fact.withColumns(
+        {
+            "amount": F.when(order % 89 != 0, F.col("amount")),
+            "vendor_id": F.when(order % 83 == 0, -F.col("vendor_id")).otherwise(F.col("vendor_id")),
+        }
+    )
+    star["fact_transactions_clean"] = stage(spoilt.unionByName(repeated), "spoilt-fact").df
+    star["dim_agency"] = star["dim_agency"].filter("agency_id > 2")
+    return integrity.star_violations({name: star[name] for name in ("fact_transactions_clean", "dim_agency", "dim_vendor")})
 
 
 # ---- views ------------------------------------------------------------------------------
@@ -592,7 +667,9 @@ def latest_anomalies(spark, sf_dir):
 
 @query
 def duplicate_months(spark, sf_dir):
-    return reports.duplicate_months(_warehouse(spark, sf_dir).v_dim_month)
+    """A month dimension in which the months of one quarter are there twice."""
+    months = stage(_warehouse(spark, sf_dir).v_dim_month, "dim-month").df
+    return reports.duplicate_months(months.unionByName(months.filter("month between 4 and 6")))
 
 
 @query

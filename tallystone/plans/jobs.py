@@ -15,21 +15,21 @@ from tallystone.operators.silver import build_silver
 from tallystone.plans.warehouse import Warehouse
 from tallystone.sources.bronze import read_bronze, read_bronze_csv
 from tallystone.sources.columns import gold_columns
-from tallystone.sources.tables import export_csv, read_table, stage, write_table
+from tallystone.sources.tables import export_csv, read_csv, read_table, stage, write_table
 from tallystone.sources.versions import current_tables, publish
 from tallystone.streaming.arrivals import land_arrivals
 
 FACT_PARTITIONS = {"fact_transactions_clean": ["yyyymm"], "transaction_anomaly": ["yyyymm"]}
 DIMENSIONS = ["dim_agency", "dim_vendor"]
-# How tables are exported besides Parquet. A single file is written by one task: for small data only.
+# How tables are exported besides Parquet. Single files are for the small gold tables; others stay many files.
 CSV_EXPORTS = ("none", "many", "single")
 
 
-def _save(df: DataFrame, path: str, csv: str) -> DataFrame:
+def _save(df: DataFrame, path: str, csv: str, small: bool = False) -> DataFrame:
     write_table(df, f"{path}.parquet")
     written = read_table(df.sparkSession, f"{path}.parquet")
     if csv != "none":
-        export_csv(written, f"{path}_csv", single_file=csv == "single")
+        export_csv(written, f"{path}_csv", single_file=csv == "single" and small)
     return written
 
 
@@ -47,8 +47,8 @@ def run_silver(spark: SparkSession, bronze: str | None, data: str, csv: str = "m
 def run_gold(spark: SparkSession, data: str, csv: str = "many") -> dict[str, DataFrame]:
     """Silver to the three gold tables."""
     cleaned = gold_columns(read_table(spark, f"{data}/silver/spend_clean.parquet"))
-    monthly = _save(gold.vendor_monthly_spend(cleaned), f"{data}/gold/vendor_monthly_spend", csv)
-    by_agency = _save(gold.agency_category_spend(cleaned), f"{data}/gold/agency_category_spend", csv)
+    monthly = _save(gold.vendor_monthly_spend(cleaned), f"{data}/gold/vendor_monthly_spend", csv, small=True)
+    by_agency = _save(gold.agency_category_spend(cleaned), f"{data}/gold/agency_category_spend", csv, small=True)
     stats = stage(gold.category_stats(cleaned), "category-stats")
     first_seen = stage(gold.vendor_first_seen(monthly), "first-seen")
     anomaly = gold.transaction_anomaly(cleaned, stats, first_seen)
@@ -62,25 +62,36 @@ def run_gold(spark: SparkSession, data: str, csv: str = "many") -> dict[str, Dat
 def run_risk(spark: SparkSession, data: str, csv: str = "many") -> DataFrame:
     """Gold anomalies to ``gold/vendor_risk_scores``."""
     anomaly = read_table(spark, f"{data}/gold/transaction_anomaly.parquet")
-    return _save(risk.vendor_risk_all_time(anomaly), f"{data}/gold/vendor_risk_scores", csv)
+    return _save(risk.vendor_risk_all_time(anomaly), f"{data}/gold/vendor_risk_scores", csv, small=True)
 
 
-def run_serving(spark: SparkSession, data: str) -> str:
+# Exported table -> (folder, layer, types)
+_SERVED = {
+    "silver": ("silver/spend_clean", serving.STAGE_SILVER),
+    "vendor_monthly": ("gold/vendor_monthly_spend", serving.STAGE_VENDOR_MONTHLY),
+    "agency_category": ("gold/agency_category_spend", serving.STAGE_AGENCY_CATEGORY),
+    "anomaly": ("gold/transaction_anomaly", serving.STAGE_ANOMALY),
+}
+
+
+def run_serving(spark: SparkSession, data: str, source: str = "parquet", keep_versions: int = 2) -> str:
     """Silver and gold to a new, checked version of the star under ``corp``; returns the version.
 
-    Dimensions grow by upsert from the published version, fact and marts are reloaded in full.
+    ``source`` is ``parquet`` or ``csv``, the exported files. A value that does not fit its column's type
+    stops the load. Dimensions grow by upsert from the published version, fact and marts are reloaded in
+    full; ``keep_versions`` versions stay, older ones are removed.
     """
-    warehouse = Warehouse.from_tables(
-        silver=read_table(spark, f"{data}/silver/spend_clean.parquet"),
-        vendor_monthly=read_table(spark, f"{data}/gold/vendor_monthly_spend.parquet"),
-        agency_category=read_table(spark, f"{data}/gold/agency_category_spend.parquet"),
-        anomaly=read_table(spark, f"{data}/gold/transaction_anomaly.parquet"),
-        published=current_tables(spark, f"{data}/corp", DIMENSIONS),
-    )
-    return reload_star(spark, warehouse, f"{data}/corp")
+    layers = {}
+    for layer, (folder, types) in _SERVED.items():
+        written = read_table(spark, f"{data}/{folder}.parquet")
+        layers[layer] = written if source == "parquet" else read_csv(spark, f"{data}/{folder}_csv", written.columns)
+        serving.require_fitting(layers[layer], types, folder)
+    published = current_tables(spark, f"{data}/corp", DIMENSIONS)
+    warehouse = Warehouse.from_tables(published=published, **layers)
+    return reload_star(spark, warehouse, f"{data}/corp", keep_versions)
 
 
-def reload_star(spark: SparkSession, warehouse: Warehouse, root: str) -> str:
+def reload_star(spark: SparkSession, warehouse: Warehouse, root: str, keep_versions: int = 2) -> str:
     """Publish the warehouse's star as one version. The risk mart is derived from the written anomaly mart."""
 
     def risk_mart(written):
@@ -96,7 +107,7 @@ def reload_star(spark: SparkSession, warehouse: Warehouse, root: str) -> str:
         "transaction_anomaly": serving.audit_column(warehouse.mart_anomaly),
         "vendor_risk_scores": lambda written: serving.audit_column(risk_mart(written)),
     }
-    return publish(spark, root, tables, integrity.check_integrity, FACT_PARTITIONS)
+    return publish(spark, root, tables, integrity.check_integrity, FACT_PARTITIONS, keep_versions)
 
 
 def main() -> None:
@@ -106,7 +117,11 @@ def main() -> None:
     parser.add_argument("--drop", help="folder that CSV files are dropped into (land, and all if given)")
     parser.add_argument("--bronze", help="folder or glob of raw CSV files, instead of the landed table (silver and all)")
     parser.add_argument("--csv", choices=CSV_EXPORTS, default="many", help="CSV files per exported table")
+    parser.add_argument("--serve-from", choices=["parquet", "csv"], default="parquet", help="what the star is loaded from")
+    parser.add_argument("--keep-versions", type=int, default=2, help="published versions of the star to keep")
     args = parser.parse_args()
+    if args.serve_from == "csv" and args.csv == "none" and args.job == "all":
+        parser.error("--serve-from csv needs exported CSV files")
     if args.job == "land" and not args.drop:
         parser.error("--drop is required")
 
@@ -120,7 +135,7 @@ def main() -> None:
     if args.job in ("risk", "all"):
         run_risk(spark, args.data, args.csv)
     if args.job in ("serving", "all"):
-        print("published", run_serving(spark, args.data))
+        print("published", run_serving(spark, args.data, args.serve_from, args.keep_versions))
     spark.stop()
 
 

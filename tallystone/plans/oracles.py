@@ -7,6 +7,10 @@ from __future__ import annotations
 
 import re
 
+# Whole cents per transaction, and one more where the rest is half a cent or more.
+_HALF_UP_AVERAGE = """cast((cents // txn_count + case when 2 * (cents % txn_count) >= txn_count then 1 else 0 end)
+    * 0.01::decimal(3,2) as decimal(18,2)) as avg_spend"""
+
 LAYERS = {
     # ---- raw text, as in sources.fixture ----
     "line_rows": """
@@ -139,69 +143,61 @@ select *, least(100.0::double, risk_score_raw) as risk_score from (
 select transaction_id, agency_name, vendor_name, mcc_description, description, transaction_date, year, month, yyyymm,
   amount, category_group, amount_bucket, day_of_week, is_weekend
 from silver""",
-    "stage_vendor_monthly": """
-select year, month, vendor_name, txn_count, cast(total_spend as decimal(18,2)) as total_spend,
-  cast((2 * cast(round(total_spend * 100) as bigint) + txn_count) // (2 * txn_count) * 0.01::decimal(3,2)
-    as decimal(18,2)) as avg_spend
-from vendor_monthly""",
-    "stage_agency_category": """
+    "stage_vendor_monthly": f"""
+select year, month, vendor_name, txn_count, cast(total_spend as decimal(18,2)) as total_spend, {_HALF_UP_AVERAGE}
+from (select *, cast(round(total_spend * 100) as bigint) as cents from vendor_monthly)""",
+    "stage_agency_category": f"""
 select year, month, agency_name, category_group, txn_count, cast(total_spend as decimal(18,2)) as total_spend,
-  cast((2 * cast(round(total_spend * 100) as bigint) + txn_count) // (2 * txn_count) * 0.01::decimal(3,2)
-    as decimal(18,2)) as avg_spend
-from agency_category""",
+  {_HALF_UP_AVERAGE}
+from (select *, cast(round(total_spend * 100) as bigint) as cents from agency_category)""",
     "stage_anomaly": """
 select * replace (cast(mean_amount as decimal(18,2)) as mean_amount, cast(std_amount as decimal(18,2)) as std_amount)
 from anomaly""",
-    # ---- star ----
-    "agencies": """
-select distinct trim(agency_name) as agency_name from (
-  select agency_name from stage_silver
-  union all select agency_name from stage_agency_category
-  union all select agency_name from stage_anomaly
-) where agency_name is not null and trim(agency_name) <> ''""",
-    "vendors": """
-select distinct md5(upper(trim(vendor_name))) as vendor_key, upper(trim(vendor_name)) as vendor_name_clean from (
-  select vendor_name from stage_silver
-  union all select vendor_name from stage_vendor_monthly
-  union all select vendor_name from stage_anomaly
-) where vendor_name is not null and trim(vendor_name) <> ''""",
+    # ---- star: ids are dense ranks of the names' md5, so no dimension is needed to find them ----
+    "identified": """
+select *, case when agency_md5 is not null then dense_rank() over (order by agency_md5 nulls last) end as agency_id,
+  case when vendor_md5 is not null then dense_rank() over (order by vendor_md5 nulls last) end as vendor_id
+from (
+  select *, md5(nullif(agency_name_clean, '')) as agency_md5, md5(nullif(vendor_name_clean, '')) as vendor_md5
+  from silver
+)""",
     "dim_agency": """
-select row_number() over (order by md5(agency_name)) as agency_id, agency_name from agencies""",
+select distinct on (agency_id) agency_id, agency_name_clean as agency_name
+from identified where agency_id is not null""",
     "dim_vendor": """
-select row_number() over (order by vendor_key) as vendor_id, vendor_key, vendor_name_clean from vendors""",
+select distinct on (vendor_id) vendor_id, vendor_md5 as vendor_key, vendor_name_clean
+from identified where vendor_id is not null""",
     "fact": """
-select s.transaction_id, a.agency_id, v.vendor_id, s.transaction_date, s.year, s.month, s.yyyymm, s.amount,
-  s.mcc_description, s.description, s.category_group, s.amount_bucket, s.is_weekend, s.day_of_week
-from stage_silver s
-join dim_agency a on a.agency_name = trim(s.agency_name)
-join dim_vendor v on v.vendor_key = md5(upper(trim(s.vendor_name)))""",
-    "mart_vendor_monthly": """
-select g.year * 100 + g.month as yyyymm, g.year, g.month, v.vendor_id, v.vendor_name_clean,
-  g.txn_count, g.total_spend, g.avg_spend
-from stage_vendor_monthly g join dim_vendor v on v.vendor_key = md5(upper(trim(g.vendor_name)))""",
-    "mart_agency_category": """
-select g.year * 100 + g.month as yyyymm, g.year, g.month, a.agency_id, a.agency_name, g.category_group,
-  g.txn_count, g.total_spend, g.avg_spend
-from stage_agency_category g join dim_agency a on a.agency_name = trim(g.agency_name)""",
+select transaction_id, agency_id, vendor_id, transaction_date, year, month, yyyymm, amount, mcc_description,
+  description, category_group, amount_bucket, is_weekend, day_of_week
+from identified where agency_id + vendor_id is not null""",
+    "mart_vendor_monthly": f"""
+select *, {_HALF_UP_AVERAGE} from (
+  select yyyymm, year, month, vendor_id, vendor_name_clean, count(*) as txn_count,
+    cast(sum(amount) as decimal(18,2)) as total_spend, cast(sum(amount) * 100 as bigint) as cents
+  from identified where vendor_id is not null group by all
+)""",
+    "mart_agency_category": f"""
+select *, {_HALF_UP_AVERAGE} from (
+  select yyyymm, year, month, agency_id, agency_name_clean as agency_name, category_group, count(*) as txn_count,
+    cast(sum(amount) as decimal(18,2)) as total_spend, cast(sum(amount) * 100 as bigint) as cents
+  from identified where agency_id is not null group by all
+)""",
     "mart_anomaly": """
-select r.transaction_id, r.year * 100 + r.month as yyyymm, r.transaction_date, r.amount, a.agency_id, v.vendor_id,
-  r.category_group, r.is_outlier = 1 as is_outlier, r.is_new_vendor_month = 1 as is_new_vendor,
-  r.amount >= 2000 as is_high_amount,
-  case
-    when r.is_outlier = 1 and r.is_new_vendor_month = 1 then 'OUTLIER+NEW_VENDOR'
-    when r.is_outlier = 1 then 'OUTLIER'
-    when r.amount >= 2000 then 'HIGH_AMOUNT'
-    when r.is_new_vendor_month = 1 then 'NEW_VENDOR'
-  end as anomaly_reason
-from stage_anomaly r
-join dim_agency a on a.agency_name = trim(r.agency_name)
-join dim_vendor v on v.vendor_key = md5(upper(trim(r.vendor_name)))""",
+select transaction_id, yyyymm, transaction_date, amount, agency_id, vendor_id, category_group,
+  is_outlier, is_new_vendor, is_high_amount,
+  coalesce(if(is_outlier, concat_ws('+', 'OUTLIER', if(is_new_vendor, 'NEW_VENDOR', null)), null),
+           if(is_high_amount, 'HIGH_AMOUNT', null), if(is_new_vendor, 'NEW_VENDOR', null)) as anomaly_reason
+from (
+  select fact.*, flagged.is_outlier > 0 as is_outlier, flagged.is_new_vendor_month > 0 as is_new_vendor,
+    fact.amount >= 2000 as is_high_amount
+  from fact join anomaly as flagged using (transaction_id)
+)""",
     "mart_vendor_risk": """
-select m.yyyymm, m.vendor_id, v.vendor_name_clean,
-  count(*) filter (where m.is_outlier) as outlier_txn, count(*) filter (where m.is_new_vendor) as new_vendor_txn,
-  cast(70 * max(cast(m.is_outlier as integer)) + 30 * max(cast(m.is_new_vendor as integer)) as integer) as risk_score
-from mart_anomaly m join dim_vendor v on v.vendor_id = m.vendor_id
-group by all""",
+select yyyymm, vendor_id, vendor_name_clean, 
+  cast(count_if(is_outlier) as bigint) as outlier_txn, cast(count_if(is_new_vendor) as bigint) as new_vendor_txn,
+  cast(if(bool_or(is_outlier), 70, 0) + if(bool_or(is_new_vendor), 30, 0) as integer) as risk_score
+from mart_anomaly natural join (select vendor_id, vendor_name_clean from dim_vendor) group by all""",
     # ---- views ----
     "v_vendor_monthly_spend": """
 select yyyymm, year, month, vendor_name_clean, txn_count, total_spend, avg_spend from mart_vendor_monthly""",
@@ -209,11 +205,8 @@ select yyyymm, year, month, vendor_name_clean, txn_count, total_spend, avg_spend
 select yyyymm, year, month, agency_name, category_group, txn_count, total_spend, avg_spend
 from mart_agency_category""",
     "v_transaction_anomaly": """
-select m.yyyymm, m.transaction_id, m.transaction_date, a.agency_name, v.vendor_name_clean, m.category_group, m.amount,
-  m.is_outlier, m.is_new_vendor, m.is_high_amount, m.anomaly_reason
-from mart_anomaly m
-join dim_agency a on a.agency_id = m.agency_id
-join dim_vendor v on v.vendor_id = m.vendor_id""",
+select mart_anomaly.* exclude (agency_id, vendor_id), agency_name, vendor_name_clean
+from mart_anomaly natural join dim_agency natural join (select vendor_id, vendor_name_clean from dim_vendor)""",
     "v_vendor_risk_scores": """
 select yyyymm, vendor_name_clean, outlier_txn, new_vendor_txn, risk_score from mart_vendor_risk""",
     "v_dim_date": """
@@ -228,21 +221,18 @@ from (
   from fact
 )""",
     "v_dim_month": """
-select yyyymm, min(year) as year, min(month) as month, min(year_month) as year_month, min(month_name) as month_name,
-  min(month_short) as month_short, min(month_start) as month_start
-from v_dim_date group by yyyymm""",
+select distinct yyyymm, year, month, year_month, month_name, month_short, month_start from v_dim_date""",
     "v_exec_kpi": """
-select b.*, coalesce(o.outlier_txn, 0) as outlier_txn, coalesce(o.new_vendor_txn, 0) as new_vendor_txn
+select yyyymm, cast(yyyymm // 100 as integer) as year, cast(yyyymm % 100 as integer) as month,
+  cast(sum(spend) as decimal(28,2)) as total_spend, cast(sum(txn) as bigint) as txn_count,
+  count(distinct vendor) as active_vendors, cast(sum(outlier) as bigint) as outlier_txn,
+  cast(sum(fresh) as bigint) as new_vendor_txn
 from (
-  select yyyymm, year, month, cast(sum(total_spend) as decimal(28,2)) as total_spend,
-    cast(sum(txn_count) as bigint) as txn_count, count(distinct vendor_name_clean) as active_vendors
-  from v_vendor_monthly_spend group by all
-) b
-left join (
-  select yyyymm, count(*) filter (where is_outlier) as outlier_txn,
-    count(*) filter (where is_new_vendor) as new_vendor_txn
-  from v_transaction_anomaly group by yyyymm
-) o on o.yyyymm = b.yyyymm""",
+  select yyyymm, total_spend as spend, txn_count as txn, vendor_name_clean as vendor, 0 as outlier, 0 as fresh
+  from mart_vendor_monthly
+  union all
+  select yyyymm, null, null, null, is_outlier::integer, is_new_vendor::integer from mart_anomaly
+) group by yyyymm having count(vendor) > 0""",
 }
 
 
@@ -256,7 +246,9 @@ def oracle(select: str) -> str:
         needed.update(found)
         pending.extend(LAYERS[name] for name in found)
     ctes = ",\n".join(f"{name} as ({LAYERS[name]}\n)" for name in LAYERS if name in needed)
-    return f"with {ctes}\n{select}" if ctes else select
+    own = re.match(r"with\s+", select)  # a select may add layers of its own
+    rest = f",\n{select[own.end():]}" if own else f"\n{select}"
+    return f"with {ctes}{rest}" if ctes else select
 
 
 _STATS_4DP = "round(mean_amount, 4) as mean_amount, round(std_amount, 4) as std_amount"
@@ -274,7 +266,12 @@ SELECTS = {
     "land_arrivals": _LANDED,
     "read_table_columns": "select transaction_id, transaction_date, amount from silver",
     "write_table_by_month": "select yyyymm, count(*) as row_count, cast(sum(amount) as decimal(28,2)) as amount from silver group by yyyymm",
-    "export_csv_round_trip": "select * from stage_vendor_monthly",
+    "export_csv_round_trip": "select * from silver",
+    "stage_rejects": """select transaction_id, 'amount' as column_name, amount::varchar || 'e17' as text
+from silver where transaction_id::bigint % 7 = 0
+union all select transaction_id, 'transaction_date', '2024-13-01' from silver where transaction_id::bigint % 11 = 0
+union all select transaction_id, 'is_weekend', 'perhaps' from silver where transaction_id::bigint % 13 = 0""",
+    "missing_fields": """select unnest(['vendor_name', 'amount_raw']) as field, count(*) as row_count from raw""",
     "stage_silver": "select * from stage_silver",
     "stage_vendor_monthly": "select * from stage_vendor_monthly",
     "stage_agency_category": "select * from stage_agency_category",
@@ -306,6 +303,14 @@ from (select *, cast(l_orderkey * 10 + l_linenumber as varchar) as transaction_i
     "category_group": "select transaction_id, mcc_description, category_group from silver",
     "dedup_transactions": "select * from survivors",
     "build_silver": "select * from silver",
+    "silver_of_two_snapshots": """with ids as (
+  select transaction_id, amount, cast(transaction_ts as date) as transaction_date from survivors
+  where transaction_id::bigint % 3 <> 0
+  union all
+  select distinct transaction_id, 1.25::decimal(18,2), date '1990-01-02' from raw where transaction_id::bigint % 3 = 0
+)
+select *, case when amount < 100 then '<100' when amount < 500 then '100-499' when amount < 2000 then '500-1999'
+  else '>=2000' end as amount_bucket from ids""",
     # gold
     "amount_num": "select transaction_id, cast(amount as double) as amount_num from silver",
     "vendor_monthly_spend": "select * from vendor_monthly",
@@ -330,21 +335,26 @@ from silver s left join first_seen f on f.vendor_name = s.vendor_name_clean""",
     "risk_score": "select vendor_name, round(risk_score, 6) as risk_score from scored",
     "vendor_risk_all_time": f"select {_RISK_COLUMNS}, round(risk_score, 6) as risk_score from scored",
     # serving
-    "agency_candidates": "select * from agencies",
+    "agency_candidates": "select agency_name from dim_agency",
     "upsert_dim_agency": "select * from dim_agency",
-    "vendor_candidates": "select * from vendors",
+    "vendor_candidates": "select vendor_key, vendor_name_clean from dim_vendor",
     "upsert_dim_vendor": "select * from dim_vendor",
     "upsert_dim_vendor_second_load": """select
   row_number() over (order by case when first_year <= 1995 then 0 else 1 end, vendor_key) as vendor_id,
   vendor_key, vendor_name_clean
 from (
   select v.vendor_key, v.vendor_name_clean, min(s.year) as first_year
-  from vendors v join stage_vendor_monthly s on upper(trim(s.vendor_name)) = v.vendor_name_clean group by all
+  from dim_vendor v join identified s on s.vendor_id = v.vendor_id group by all
 )""",
+    "upsert_dim_agency_second_load": """select
+  row_number() over (order by case when first_year <= 1995 and agency_name < 'G' then 0 else 1 end, md5(agency_name)) as agency_id,
+  agency_name
+from (select agency_name_clean as agency_name, min(year) as first_year from identified where agency_id is not null group by all)""",
+    "audit_columns": "select yyyymm, count(*) as row_count, count(*) as stamped from fact group by yyyymm",
     "load_fact": "select * from fact",
     "derive_period": "select transaction_id, year, month, yyyymm from silver",
-    "load_vendor_monthly": "select * from mart_vendor_monthly",
-    "load_agency_category": "select * from mart_agency_category",
+    "load_vendor_monthly": "select * exclude (cents) from mart_vendor_monthly",
+    "load_agency_category": "select * exclude (cents) from mart_agency_category",
     "vendor_risk_monthly": "select * from mart_vendor_risk",
     "load_anomaly": "select * from mart_anomaly",
     "is_high_amount": "select transaction_id, amount >= 2000 as is_high_amount from silver",
@@ -356,11 +366,21 @@ union all select 'transaction_anomaly', count(*) from mart_anomaly
 union all select 'vendor_risk_scores', count(*) from mart_vendor_risk
 union all select 'dim_agency', count(*) from dim_agency
 union all select 'dim_vendor', count(*) from dim_vendor""",
-    "sql_over_published_views": """select k.yyyymm, k.txn_count, m.month_start
-from v_exec_kpi k join v_dim_month m on m.yyyymm = k.yyyymm""",
-    "check_integrity": """select 'fact_transactions_clean' as table_name, 'unique transaction_id' as rule,
-  count(*) as offenders
-from (select transaction_id from fact group by transaction_id having count(*) > 1) having count(*) > 0""",
+    "full_reload_content": "select * from mart_anomaly",
+    "sql_over_published_views": """select * exclude (month_year, month_no) from v_exec_kpi
+join (select * rename (year as month_year, month as month_no) from v_dim_month) using (yyyymm)""",
+    "check_integrity": """with spoilt as (
+  select * replace (if(transaction_id::bigint % 89 = 0, null, amount) as amount,
+                    if(transaction_id::bigint % 83 = 0, -vendor_id, vendor_id) as vendor_id) from fact
+  union all select * from fact where transaction_id::bigint % 97 = 0
+), found as (
+  select 'unique transaction_id' as rule, count(*) as offenders from (
+    select transaction_id from spoilt group by transaction_id having count(*) > 1)
+  union all select 'required amount', count(*) from spoilt where amount is null
+  union all select 'vendor_id references dim_vendor', count(distinct vendor_id) from spoilt where vendor_id < 0
+  union all select 'agency_id references dim_agency', count(distinct agency_id) from spoilt where agency_id <= 2
+)
+select 'fact_transactions_clean' as table_name, rule, offenders from found where offenders > 0""",
     # views
     "v_vendor_monthly_spend": "select * from v_vendor_monthly_spend",
     "v_agency_category_spend": "select * from v_agency_category_spend",
@@ -391,7 +411,7 @@ order by risk_score desc, yyyymm, vendor_name_clean limit 10""",
 order by risk_score desc, outlier_txn desc, yyyymm, vendor_name_clean limit 20""",
     "latest_anomalies": """select * from v_transaction_anomaly where is_outlier or is_new_vendor or is_high_amount
 order by transaction_date desc, transaction_id limit 50""",
-    "duplicate_months": "select yyyymm, count(*) as c from v_dim_month group by yyyymm having count(*) > 1",
+    "duplicate_months": "select yyyymm, 2::bigint as c from v_dim_month where month between 4 and 6",
     "kpi_totals": """select *, outlier_txn + new_vendor_txn as flagged_txn,
   cast(total_spend as double) / nullif(total_txn, 0) as avg_spend_per_txn
 from (

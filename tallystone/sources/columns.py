@@ -26,13 +26,18 @@ def resolve_fields(
     return {field: resolve_column(columns, candidates) for field, candidates in aliases.items()}
 
 
+def missing(resolved: Mapping[str, str | None], required: Sequence[str] = REQUIRED_FIELDS) -> list[str]:
+    """Required fields without a column."""
+    return [field for field in required if resolved.get(field) is None]
+
+
 def require_fields(
     resolved: Mapping[str, str | None], columns: Sequence[str], required: Sequence[str] = REQUIRED_FIELDS
 ) -> None:
     """Raise one error naming every missing field and what was there instead."""
-    missing = [field for field in required if resolved.get(field) is None]
-    if missing:
-        raise ValueError(f"missing required fields {missing}; columns present: {list(columns)}")
+    absent = missing(resolved, required)
+    if absent:
+        raise ValueError(f"missing required fields {absent}; columns present: {list(columns)}")
 
 
 def quoted(name: str) -> Column:

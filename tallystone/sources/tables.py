@@ -25,15 +25,38 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+# Doubled quotes, blanks kept, and NULL spelled apart from the empty string (as PostgreSQL's text form does).
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\\N",
+    "emptyValue": '""',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+# A single CSV file is for small reports: one task writes it.
+SINGLE_FILE_ROWS = 100_000
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write CSV with a header and doubled quotes.
+    """Write CSV that ``read_csv`` gives back unchanged, except that a text of a backslash and N is NULL.
 
     Export a written table rather than a query, so that CSV and Parquet agree and nothing runs twice.
-    ``single_file`` funnels everything through one task: only for small reports.
+    ``single_file`` funnels everything through one task, so it refuses more than ``SINGLE_FILE_ROWS`` rows.
     """
     if single_file:
+        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+            raise ValueError(f"a single CSV file is for at most {SINGLE_FILE_ROWS} rows; export several files")
         df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """An exported table, every column as text."""
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    options = CSV_OPTIONS | {"emptyValue": "", "enforceSchema": "false", "multiLine": "true"}
+    return spark.read.schema(texts).options(**options).csv(path)
 
 
 # ---- intermediate tables ----------------------------------------------------------------
@@ -78,9 +101,38 @@ class Staged:
         return Staged(self.df.select(*columns), self._whole or self)
 
 
+_marked: set[str] = set()
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tallystone/{spark.sparkContext.applicationId}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, jvm_path = _file_system(spark, path)
+    system.delete(jvm_path, True)
+
+
+def release_staged(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application now; DataFrames that read them end with it."""
+    remove_folder(spark, _application_folder(spark))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/tallystone/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; the application's folder there goes when its driver ends, also after a failure."""
+    folder = _application_folder(spark)
+    if folder not in _marked:
+        system, jvm_path = _file_system(spark, folder)
+        system.mkdirs(jvm_path)
+        system.deleteOnExit(jvm_path)
+        _marked.add(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> Staged:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallystone.sources.tables import read_table, write_table
+from tallystone.sources.tables import read_table, remove_folder, write_table
 
 _LOG = "versions"
 
@@ -23,24 +23,50 @@ def publish(
     tables: Mapping[str, Publishable],
     check: Callable[[Mapping[str, DataFrame]], None],
     partition_by: Mapping[str, Sequence[str]] | None = None,
+    keep_versions: int | None = None,
 ) -> str:
     """Write all tables in order to a new version folder, check the written tables, then switch to it.
 
     The switch is one record appended to the version log. When a write or a check fails nothing is
-    appended, and readers keep the previous version.
+    appended, the new folder is removed, and readers keep the previous version. One writer at a time:
+    a publication during which another one was recorded is refused. With ``keep_versions`` the folders of
+    older versions are removed after the switch; readers of those must have ended.
     """
+    if keep_versions is not None and keep_versions < 1:
+        raise ValueError("keep_versions must be at least 1: the version just published")
     version = uuid.uuid4().hex
+    before = _last(spark, root)
+    try:
+        _write_checked(spark, f"{root}/{version}", tables, check, partition_by or {})
+        if _last(spark, root) != before:
+            raise RuntimeError(f"another version was published under {root} meanwhile")
+    except BaseException:
+        remove_folder(spark, f"{root}/{version}")
+        raise
+    sequence = (before or (0,))[0] + 1
+    record = spark.range(1).select(F.lit(sequence).alias("sequence"), F.lit(version).alias("version"))
+    record.withColumn("published_at", F.current_timestamp()).write.mode("append").parquet(f"{root}/{_LOG}")
+    if keep_versions is not None:
+        log = _log(spark, root)
+        for row in log.filter(F.col("sequence") <= sequence - keep_versions).select("version").distinct().collect():
+            remove_folder(spark, f"{root}/{row.version}")
+    return version
+
+
+def _write_checked(
+    spark: SparkSession,
+    folder: str,
+    tables: Mapping[str, Publishable],
+    check: Callable[[Mapping[str, DataFrame]], None],
+    partition_by: Mapping[str, Sequence[str]],
+) -> None:
     written: dict[str, DataFrame] = {}
     for name, table in tables.items():
-        path = f"{root}/{version}/{name}"
+        path = f"{folder}/{name}"
         df = table if isinstance(table, DataFrame) else table(written)
-        write_table(df, path, (partition_by or {}).get(name, ()), mode="errorifexists")
+        write_table(df, path, partition_by.get(name, ()), mode="errorifexists")
         written[name] = read_table(spark, path)
     check(written)
-    sequence = (_last(spark, root) or (0,))[0] + 1
-    record = spark.range(1).select(F.lit(sequence).alias("sequence"), F.lit(version).alias("version"))
-    record.withColumn("published_at", F.current_timestamp()).write.mode("append").parquet(f"{root}/{_LOG}")
-    return version
 
 
 def current_tables(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
@@ -51,12 +77,15 @@ def current_tables(spark: SparkSession, root: str, names: Sequence[str]) -> dict
     return {name: read_table(spark, f"{root}/{last[1]}/{name}") for name in names}
 
 
+def _log(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("sequence int, version string").parquet(f"{root}/{_LOG}")
+
+
 def _last(spark: SparkSession, root: str) -> tuple[int, str] | None:
     try:
-        log = spark.read.schema("sequence int, version string").parquet(f"{root}/{_LOG}")
+        row = _log(spark, root).orderBy(F.desc("sequence"), "version").first()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    row = log.orderBy(F.desc("sequence"), "version").first()
     return None if row is None else (row.sequence, row.version)
