@@ -17,8 +17,9 @@ DIMENSIONS = 1024
 # Documents the prototypes are bundled from: about this many, chosen by a hash of the id.
 SAMPLE_ROWS = 20_000
 UNKNOWN = "und"
-# Cosine below which a text is taken to be in none of the learned languages.
-MIN_SCORE = 0.3
+# Cosine below which a text is in none of the learned languages. Unrelated letters come to about 1 / 32 (one
+# over the root of the dimensions); a text of one word in a learned language is above, however short.
+MIN_SCORE = 0.05
 SEED = 11
 
 # Bytes of text whose n-grams are counted together; rows of n-gram vectors bundled at once.
