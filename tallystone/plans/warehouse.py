@@ -9,7 +9,6 @@ from functools import cached_property, partial
 from pyspark.sql import DataFrame
 
 from tallystone.operators import gold, reports, risk, serving, silver, views
-from tallystone.operators.lookup import fits_broadcast
 from tallystone.sources.columns import gold_columns
 from tallystone.sources.tables import Staged, stage
 
@@ -17,8 +16,9 @@ from tallystone.sources.tables import Staged, stage
 class Warehouse:
     """Bronze to views.
 
-    What several layers read is staged (written once, read back with column pruning): the silver
-    table, the monthly spend, the lookups and the dimensions. Everything else stays a query.
+    What several layers read is staged (written once, read back with column pruning), whatever its size:
+    the silver table, the monthly spend, the lookups, the dimensions, anomalies, fact and marts. So the
+    calendar's bounds are a scan of one column of the written fact. Everything else stays a query.
     ``published`` may hold the dimensions of an earlier load, ``dim_agency`` and ``dim_vendor``.
     """
 
@@ -45,13 +45,6 @@ class Warehouse:
             with ThreadPoolExecutor(len(missing)) as pool:
                 list(pool.map(partial(getattr, self), missing))
 
-    def _settled(self, df: DataFrame, label: str, lookup: Staged) -> DataFrame:
-        """Write a table that was joined with a lookup too large to broadcast.
-
-        Such a join reads its input several times; written, it happens once for all that builds on it.
-        """
-        return df if fits_broadcast(lookup) else stage(df, label).df
-
     # ---- silver and gold ----
 
     @cached_property
@@ -87,8 +80,7 @@ class Warehouse:
     def anomaly(self) -> DataFrame:
         self._build("cleaned")
         self._build("category_stats", "first_seen")
-        flagged = gold.transaction_anomaly(self.cleaned, self.category_stats, self.first_seen)
-        return self._settled(flagged, "anomaly", self.first_seen)
+        return stage(gold.transaction_anomaly(self.cleaned, self.category_stats, self.first_seen), "anomaly").df
 
     @cached_property
     def vendor_risk(self) -> DataFrame:
@@ -147,13 +139,11 @@ class Warehouse:
     def fact(self) -> DataFrame:
         self._build("silver")
         self._build_dimensions()
-        fact = serving.load_fact(self.stage_silver, self.dim_agency, self.dim_vendor)
-        return self._settled(fact, "fact", self.dim_vendor)
+        return stage(serving.load_fact(self.stage_silver, self.dim_agency, self.dim_vendor), "fact").df
 
     @cached_property
     def mart_vendor_monthly(self) -> DataFrame:
-        mart = serving.load_vendor_monthly(self.stage_vendor_monthly, self.dim_vendor)
-        return self._settled(mart, "mart-vendor-monthly", self.dim_vendor)
+        return stage(serving.load_vendor_monthly(self.stage_vendor_monthly, self.dim_vendor), "mart-vendor-monthly").df
 
     @cached_property
     def mart_agency_category(self) -> DataFrame:
@@ -166,8 +156,7 @@ class Warehouse:
             self._build("category_stats", "vendor_monthly", "agency_category")
             self._build("first_seen", "dim_agency", "dim_vendor")
         self._build_dimensions()
-        mart = serving.load_anomaly(self.stage_anomaly, self.dim_agency, self.dim_vendor)
-        return self._settled(mart, "mart-anomaly", self.dim_vendor)
+        return stage(serving.load_anomaly(self.stage_anomaly, self.dim_agency, self.dim_vendor), "mart-anomaly").df
 
     @cached_property
     def mart_vendor_risk(self) -> DataFrame:
