@@ -30,9 +30,9 @@ def percent_rank(df: DataFrame, value: str, name: str, rows_per_range: int = ROW
     return ranked.withColumn(name, F.coalesce(name, F.lit(0.0)))
 
 
-def dense_ids(keys: DataFrame, key: str, name: str, start: int = 0) -> DataFrame:
+def dense_ids(keys: DataFrame, key: str, name: str, start: int = 0, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Number unique keys ``start + 1, start + 2, ...`` in key order. ``keys`` is read twice: pass a written table."""
-    numbered = row_numbers(keys, [F.col(key)], name)
+    numbered = row_numbers(keys, [F.col(key)], name, rows_per_range)
     return numbered.withColumn(name, F.col(name) + F.lit(start).cast("bigint"))
 
 
