@@ -2,8 +2,8 @@
 
 The vocabulary's normaliser and splitter never look across ASCII white space, so a text's ids are
 its words' ids in a row. ``applies_to`` checks that for the vocabulary at hand; another vocabulary
-is encoded text by text. Words are told apart by 64-bit hashes: with two million remembered, two of
-them clash with a probability of one in ten million.
+is encoded text by text. Words are told apart by 64-bit hashes: with half a million remembered, two
+of them clash with a probability below one in a hundred million.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from tallystone.llm.arrow_text import Chunk, chunks
 from tallystone.llm.words import hash_spans, lower_ascii, word_spans
 
 # Distinct words remembered by one Python worker; about 40 bytes each.
-REMEMBERED = 2_000_000
+REMEMBERED = 500_000
 # Bytes of text whose distinct words are looked up together.
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 21
 
 # ASCII marks that always form a token run of their own behind a letter. Not here: the apostrophe,
 # which begins contractions, and the characters of special tokens.

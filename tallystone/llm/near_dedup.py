@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallystone.llm.arrow_text import text_buffers
 from tallystone.llm.components import connected_components
 from tallystone.llm.words import mix, rows_of_words, shingle_hashes
 from tallystone.llm.workers import map_in_arrow, ship
@@ -77,19 +78,20 @@ def _sets(df: DataFrame, words: int) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            members: list[bytes] = [b""] * len(batch)
-            bits = np.zeros((len(batch), BITMAP_WORDS * 64), np.uint8)
             for first, hashes, firsts in rows_of_words(batch.column(1)):
                 shingles, bounds = shingle_hashes(hashes, firsts, words)
-                for i in range(len(bounds) - 1):
-                    distinct = np.unique(shingles[bounds[i] : bounds[i + 1]])
-                    members[first + i] = distinct.tobytes()
-                    bits[first + i, distinct % np.uint64(BITMAP_WORDS * 64)] = 1
-            words_of = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
-            bitmaps = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * BITMAP_WORDS), pa.array(words_of))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(members, pa.binary()), bitmaps], names=["node", "members", "bitmap"]
-            )
+                rows = len(bounds) - 1
+                distinct = [np.unique(shingles[bounds[i] : bounds[i + 1]]) for i in range(rows)]
+                bits = np.zeros((rows, BITMAP_WORDS * 64), np.uint8)
+                for i, held in enumerate(distinct):
+                    bits[i, held % np.uint64(BITMAP_WORDS * 64)] = 1
+                words_of = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
+                ends = pa.array(np.arange(rows + 1, dtype=np.int32) * BITMAP_WORDS)
+                members = pa.array([held.tobytes() for held in distinct], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, rows), members, pa.ListArray.from_arrays(ends, pa.array(words_of))],
+                    names=["node", "members", "bitmap"],
+                )
 
     return map_in_arrow(df, gather, "node bigint, members binary, bitmap array<bigint>")
 
@@ -207,8 +209,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            (x, x_ends), (y, y_ends) = (text_buffers(batch.column(c).cast(pa.large_binary()).view(pa.large_string())) for c in "xy")
+            for i in range(len(batch)):
+                p = x[x_ends[i] : x_ends[i + 1]].view(np.uint64)
+                q = y[y_ends[i] : y_ends[i + 1]].view(np.uint64)
                 if len(p) > len(q):
                     p, q = q, p
                 common = 0

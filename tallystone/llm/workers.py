@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
@@ -28,6 +29,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_in_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
-    """``DataFrame.mapInArrow`` for a function that uses this package."""
+    """``DataFrame.mapInArrow`` for a function that uses this package.
+
+    Python workers live on for the next stages; what Arrow's allocator holds back goes at a task's end.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
