@@ -62,17 +62,24 @@ def _pivot_distances(vectors: np.ndarray, lifted: np.ndarray, pivots: np.ndarray
     return np.sqrt(np.maximum(squares, 0.0))
 
 
+def _kth(scores: np.ndarray, k: int) -> float:
+    return np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else -np.inf
+
+
 def _search(query: np.ndarray, own: int, reach: np.ndarray, vectors: np.ndarray, ids: np.ndarray, reaches: np.ndarray, most: float, k: int):
     """The k best (id, score) of a block, scoring candidates in the order of their bounds.
 
-    The triangle inequality gives each pivot's lower bound on the distance; the greatest of them is an
-    upper bound on the score. Scoring stops where no bound reaches the k-th score; equal ones are scored,
-    as a smaller id may win the tie.
+    ``reaches`` has a row per pivot. The triangle inequality gives each pivot's lower bound on the
+    distance; the greatest of them is an upper bound on the score. Scoring stops where no bound reaches
+    the k-th score; equal ones are scored, as a smaller id may win the tie. Where the bounds leave more
+    than a quarter of the block, all of it is scored by one product: gathering those rows costs more.
     """
-    nearest = np.abs(reaches - reach).max(axis=1)
-    square = float(query @ query) + most
+    nearest = np.zeros(len(ids))
+    for distances, own_distance in zip(reaches, reach, strict=True):
+        np.maximum(nearest, np.abs(distances - own_distance), out=nearest)
+    square = float((query.astype(np.float64) ** 2).sum()) + most
     # Slack for rounding in the distances; a bound may be too high, never too low.
-    bound = np.floor((square - nearest**2) / 2 + 1e-6 * square + 1.0)
+    bound = np.floor((square - nearest * nearest) / 2 + 1e-6 * square + 1.0)
     bound[ids == own] = -np.inf
     left = np.flatnonzero(bound > -np.inf)
     if len(left) > _STEP:
@@ -82,17 +89,21 @@ def _search(query: np.ndarray, own: int, reach: np.ndarray, vectors: np.ndarray,
         head = left
     found_ids, found = ids[head], vectors[head] @ query
     if len(left) > len(head):
-        worst = np.partition(found, len(found) - k)[len(found) - k] if len(found) >= k else -np.inf
-        rest = left[(bound[left] >= worst) & ~np.isin(left, head)]
-        rest = rest[np.argsort(-bound[rest], kind="stable")]
-        for at in range(0, len(rest), _STEP):
-            part = rest[at : at + _STEP]
-            if bound[part[0]] < worst:
-                break
-            found_ids, found = np.concatenate([found_ids, ids[part]]), np.concatenate([found, vectors[part] @ query])
-            if len(found) >= k:
-                worst = np.partition(found, len(found) - k)[len(found) - k]
-    best = np.lexsort((found_ids, -found))[:k]
+        worst = _kth(found, k)
+        rest = left[bound[left] >= worst]
+        if len(rest) > len(ids) // 4:
+            found_ids, found = ids[rest], (vectors @ query)[rest]
+        else:
+            rest = np.setdiff1d(rest, head, assume_unique=True)
+            rest = rest[np.argsort(-bound[rest], kind="stable")]
+            for at in range(0, len(rest), _STEP):
+                part = rest[at : at + _STEP]
+                if bound[part[0]] < worst:
+                    break
+                found_ids, found = np.concatenate([found_ids, ids[part]]), np.concatenate([found, vectors[part] @ query])
+                worst = max(worst, _kth(found, k))
+    good = np.flatnonzero(found >= _kth(found, k))
+    best = good[np.lexsort((found_ids[good], -found[good]))[:k]]
     return found_ids[best], found[best]
 
 
@@ -151,9 +162,12 @@ def exact_top_k(
     def meet(asking: pa.Table, asked: pa.Table) -> pa.Table:
         out_q, out_id, out_score = [], [], []
         if asking.num_rows and asked.num_rows:
-            vectors, reaches = _fixed_matrix(asked.column("v"), width), _fixed_matrix(asked.column("reach"), len(pivot_rows))
+            # Sums stay below ``most``, so single precision is exact up to 2**24.
+            exact = np.float32 if most < 2**24 else np.float64
+            vectors = _fixed_matrix(asked.column("v"), width).astype(exact)
+            reaches = np.ascontiguousarray(_fixed_matrix(asked.column("reach"), len(pivot_rows)).T)
             ids = asked.column("vec_id").to_numpy()
-            asking_v, asking_reach = _fixed_matrix(asking.column("v"), width), _fixed_matrix(asking.column("reach"), len(pivot_rows))
+            asking_v, asking_reach = _fixed_matrix(asking.column("v"), width).astype(exact), _fixed_matrix(asking.column("reach"), len(pivot_rows))
             for i, own in enumerate(asking.column("vec_id").to_pylist()):
                 found, scores = _search(asking_v[i], own, asking_reach[i], vectors, ids, reaches, most, k)
                 out_q += [own] * len(found)
