@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -107,49 +108,161 @@ class TemplateIndex:
         return cls(names, words, flat[order], np.concatenate(template)[order], np.concatenate(place)[order])
 
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
+def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND, last: int | None = None) -> tuple[int, int, int]:
     """(matched words, first, end) of the best alignment near a diagonal; text place - template place is it.
 
-    Longest common subsequence within the band; of the longest, the tightest span of the text wins.
+    Longest common subsequence within the band around the diagonals from ``diagonal`` to ``last``; of the
+    longest, the tightest span of the text wins.
     """
     length = len(template)
-    if 0 <= diagonal and diagonal + length <= len(text) and np.array_equal(template, text[diagonal : diagonal + length]):
+    if last is None and 0 <= diagonal and diagonal + length <= len(text) and np.array_equal(template, text[diagonal : diagonal + length]):
         return length, diagonal, diagonal + length
-    width = 2 * band + 1
-    # Per offset in the band: (words matched, -first place); best ones so far, from left to right.
-    none = (0, -(1 << 60))
+    width = 2 * band + 1 + (0 if last is None else last - diagonal)
+    # Per offset in the band: (words matched, first place), the latest first of equally many.
+    none = (0, -1)
     row = [none] * (width + 1)
-    ends: dict[tuple[int, int], int] = {}
-    for i in range(length):
+    sought, words = template.tolist(), text.tolist()
+    found = (0, 0, 0)  # matched words, - length of the span, end
+    for i, word in enumerate(sought):
         new = [none] * (width + 1)
         for o in range(width):
             j = i + diagonal + o - band
             best = max(row[o + 1], new[o - 1] if o else none)  # skip a template word, or a text word
-            if 0 <= j < len(text) and template[i] == text[j]:
+            if 0 <= j < len(words) and word == words[j]:
                 count, first = row[o]
-                match = (count + 1, first if count else -j)
-                if match > best:
-                    best = match
-                    ends.setdefault(match, j + 1)
+                match = (count + 1, first if count else j)
+                best = max(best, match)
+                found = max(found, (match[0], match[1] - j - 1, j + 1))
             new[o] = best
         row = new
-    count, first = max(row)
-    return (count, -first, ends[(count, first)]) if count else (0, 0, 0)
+    count, span, end = found
+    return count, end + span, end
 
 
-def find_matches(index: TemplateIndex, words: np.ndarray, gram: int = GRAM, band: int = BAND) -> Iterator[tuple[int, int, int, int]]:
-    """(template, matched words, first word, end word) of every candidate region of one text."""
+class Spans:
+    """Stretches of a text that do not overlap, in order."""
+
+    def __init__(self):
+        self.firsts: list[int] = []
+        self.ends: list[int] = []
+
+    def free(self, at: int, length: int) -> tuple[int, int] | None:
+        """The stretch between the spans that a place lies in, or None if a span covers the place."""
+        i = bisect_right(self.firsts, at)
+        if i and self.ends[i - 1] > at:
+            return None
+        return self.ends[i - 1] if i else 0, self.firsts[i] if i < len(self.firsts) else length
+
+    def add(self, first: int, end: int) -> bool:
+        """Take a stretch unless a span overlaps it."""
+        i = bisect_right(self.firsts, first)
+        if (i and self.ends[i - 1] > first) or (i < len(self.firsts) and self.firsts[i] < end):
+            return False
+        self.firsts.insert(i, first)
+        self.ends.insert(i, end)
+        return True
+
+    def remove(self, first: int) -> None:
+        i = bisect_right(self.firsts, first) - 1
+        del self.firsts[i], self.ends[i]
+
+
+def _chains(hits: list[tuple[int, int]], slack: int, cost: float) -> Iterator[list[tuple[int, int]]]:
+    """Hits (text place, template place) strung together where both rise, the strongest chains first.
+
+    A chain gains the words it passes and pays ``cost`` for each word by which neighbours differ in their
+    diagonals, which is at most ``slack``. Every hit is in one chain.
+    """
+    scores: list[float] = []
+    links: list[int] = []
+    for i, (at, place) in enumerate(hits):
+        best, link = float(GRAM), -1
+        for j in range(i - 1, -1, -1):
+            gone, passed = at - hits[j][0], place - hits[j][1]
+            if gone > 2 * slack:
+                break
+            if gone > 0 and passed > 0 and abs(gone - passed) <= slack:
+                score = scores[j] + min(gone, passed) - cost * abs(gone - passed)
+                if score > best:
+                    best, link = score, j
+        scores.append(best)
+        links.append(link)
+    used = [False] * len(hits)
+    for i in sorted(range(len(hits)), key=lambda i: -scores[i]):
+        chain = []
+        while i >= 0 and not used[i]:
+            used[i] = True
+            chain.append(hits[i])
+            i = links[i]
+        if chain:
+            yield chain[::-1]
+
+
+def _places(template: np.ndarray, words: np.ndarray, hits: list[tuple[int, int]], least: float, band: int) -> list[tuple[int, int, int]]:
+    """(matched words, first word, end word) of every place of one template with ``least`` matched words.
+
+    Verbatim places come first, then chains of hits that stay near a diagonal, then chains across
+    insertions of up to the template's own length each. A hit is done with only where it lies in a place
+    already found; an incomplete place at last takes in what belongs to it behind an insertion.
+    """
+    length, spans, found = len(template), Spans(), []
+    for diagonal in sorted({at - place for at, place in hits}):
+        if 0 <= diagonal <= len(words) - length and np.array_equal(template, words[diagonal : diagonal + length]):
+            if spans.add(diagonal, diagonal + length):
+                found.append((length, diagonal, diagonal + length))
+    tried = set()
+
+    def aligned(part: list[tuple[int, int]], low: int, high: int) -> tuple[int, int, int] | None:
+        diagonals = [at - place for at, place in part]
+        start = max(low, part[0][0] - part[0][1] - band)
+        stop = min(high, part[-1][0] + length - part[-1][1] + band)
+        region = (start, stop, min(diagonals), max(diagonals))
+        # No more words can match than the region holds at all.
+        if region in tried or np.isin(template, words[start:stop]).sum() < least:
+            return None
+        tried.add(region)
+        count, first, end = align(template, words[start:stop], region[2] - start, band, region[3] - start)
+        return (count, start + first, start + end) if count and count >= least else None
+
+    for cost in (0.5, 0.001):
+        left = [h for h in hits if spans.free(h[0], len(words))]
+        for chain in _chains(left, max(length, band), cost):
+            stretches: dict[tuple[int, int], list[tuple[int, int]]] = {}
+            for hit in chain:
+                stretch = spans.free(hit[0], len(words))
+                if stretch:
+                    stretches.setdefault(stretch, []).append(hit)
+            for (low, high), part in stretches.items():
+                place = aligned(part, low, high)
+                if place and spans.add(*place[1:]):
+                    found.append(place)
+    ats = [at for at, _ in hits]
+    for k, (count, first, end) in enumerate(found):
+        if count == length:
+            continue
+        spans.remove(first)
+        low, high = spans.free(first, len(words))
+        near = hits[bisect_left(ats, max(low, first - 2 * length)) : bisect_left(ats, min(high, end + 2 * length))]
+        if any(not first <= at < end for at, _ in near):
+            place = aligned(next(_chains(near, max(length, band), 0.001)), low, high)
+            if place and place[0] > count:
+                found[k] = place
+        spans.add(*found[k][1:])
+    return found
+
+
+def find_matches(index: TemplateIndex, words: np.ndarray, min_coverage: float = MIN_COVERAGE, gram: int = GRAM, band: int = BAND) -> Iterator[tuple[int, int, int, int]]:
+    """(template, matched words, first word, end word) of every place of a template in one text."""
     grams, _ = shingle_hashes(words, np.array([0, len(words)]), gram)
     low, high = np.searchsorted(index.keys, grams, "left"), np.searchsorted(index.keys, grams, "right")
-    hits = [(int(t), int(p) - int(q)) for p in np.flatnonzero(high > low) for t, q in zip(index.template[low[p] : high[p]], index.place[low[p] : high[p]], strict=True)]
-    last: tuple[int, int] | None = None
-    for template, diagonal in sorted(set(hits)):
-        if last is not None and last[0] == template and diagonal - last[1] <= band:
-            continue  # within the band of the alignment before
-        last = (template, diagonal)
-        count, first, end = align(index.words[template], words, diagonal, band)
-        if count:
-            yield template, count, first, end
+    hits: dict[int, list[tuple[int, int]]] = {}
+    for p in np.flatnonzero(high > low).tolist():
+        for t, q in zip(index.template[low[p] : high[p]].tolist(), index.place[low[p] : high[p]].tolist(), strict=True):
+            hits.setdefault(t, []).append((p, q))
+    for template, own in sorted(hits.items()):
+        sought = index.words[template]
+        for match in _places(sought, words, own, min_coverage * len(sought), band):
+            yield template, *match
 
 
 def scan_licenses(
@@ -162,9 +275,10 @@ def scan_licenses(
     """``doc_id, license, coverage, matched_words, span_start, span_end``: one row per place of a license.
 
     Templates are few and short, so their index goes to every task. Each text's word groups are looked
-    up in it; every hit names a template and where it would begin. Hits that agree within the band are
-    one candidate, aligned word by word. Reported is the share of the template's words found in order,
-    and the span as characters of the text, from 0, end excluded. Of overlapping matches the one with
+    up in it; every hit names a template and where it would begin. Hits that follow one another in text and
+    template are one candidate, aligned word by word; in between up to the template's own length may be
+    inserted at a time (six words for shorter ones). Reported is the share of the template's words found in
+    order, and the span as characters of the text, from 0, end excluded. Of overlapping matches the one with
     more matched words stays, then the better covered, then the first by name and place; so a full
     notice hides the one-line reference that it begins with.
 
@@ -201,10 +315,7 @@ def scan_licenses(
 
 def _strongest(index: TemplateIndex, words: np.ndarray, min_coverage: float) -> list[tuple[int, int, int, int]]:
     """Matches that cover enough of their template, without those overlapped by a stronger one."""
-    enough = [m for m in find_matches(index, words) if m[1] >= min_coverage * len(index.words[m[0]])]
+    enough = list(find_matches(index, words, min_coverage))
     enough.sort(key=lambda m: (-m[1], -m[1] / len(index.words[m[0]]), m[0], m[2]))
-    kept: list[tuple[int, int, int, int]] = []
-    for match in enough:
-        if all(match[3] <= other[2] or match[2] >= other[3] for other in kept):
-            kept.append(match)
-    return sorted(kept, key=lambda m: m[2])
+    spans = Spans()
+    return sorted((m for m in enough if spans.add(m[2], m[3])), key=lambda m: m[2])
