@@ -18,6 +18,8 @@ from tallystone.llm.workers import map_in_arrow
 # Words in a fingerprint, and fingerprints of which the smallest is kept.
 GRAM = 3
 WINDOW = 3
+# Templates of at most so many words keep all their fingerprints, so that a change in one line leaves some.
+SHORT = 10
 # Words that a match may gain or lose on its way, and the least share of a template to report.
 BAND = 6
 MIN_COVERAGE = 0.8
@@ -95,7 +97,7 @@ class TemplateIndex:
             if not len(found):
                 continue
             grams, _ = shingle_hashes(found, np.array([0, len(found)]), gram)
-            at = winnow(grams, window)
+            at = winnow(grams, window) if len(found) > SHORT else np.arange(len(grams))
             names.append(name)
             words.append(found)
             keys.append(grams[at])
