@@ -75,3 +75,13 @@ def _behind_space(data: np.ndarray, at: int, stop: int, step: int = 4096) -> int
             return at + int(spaces[0])
         at += step
     return stop
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = 8 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of whole rows with at most about ``limit`` bytes of text; a longer row comes alone."""
+    _, bounds = text_buffers(batch.column(column))
+    row = 0
+    while row < len(batch):
+        end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + limit, side="right")) - 1)
+        yield batch.slice(row, end - row)
+        row = end

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallystone.llm import (
     chat,
+    fill_in_middle,
     fingerprints,
     language,
     license_scan,
@@ -76,6 +77,13 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    again = fill_in_middle.restored(F.col("output"), F.col("form"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(again, 256)}
+    return made.withColumns(digests).drop("output")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_license_scan,
@@ -88,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language_id,
         op9_minhash_near_dedup,
         op10_exact_top_k,
+        op12_fill_in_middle,
     ]
     return {f.__name__: f for f in found}
 
@@ -189,5 +198,36 @@ from cut
 """
 
 
+OP12_SQL = r"""
+with units as (
+    select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u,
+           sha256('7:' || coalesce(doc_id::varchar, 'null')) as h
+    from documents
+), drawn as (
+    select *, len(u) as n, ('0x' || h[1:8])::bigint % (len(u) + 1) as a, ('0x' || h[9:16])::bigint % (len(u) + 1) as b,
+           ('0x' || h[17:24])::bigint % 100 as h3, ('0x' || h[25:32])::bigint % 100 as h4
+    from units
+), pieces as (
+    select *, array_to_string(u[:least(a, b)], '') as p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as m,
+           array_to_string(u[greatest(a, b) + 1:], '') as s,
+           case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 >= 100 then 'plain'
+                when h4 < 50 then 'spm' else 'psm' end as form
+    from drawn
+)
+select doc_id, n::bigint as n, form,
+       case when form <> 'plain' then length(p) end::bigint as prefix_chars,
+       case when form <> 'plain' then length(m) end::bigint as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(text) as restored_sha256
+from pieces
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_preference_formatting": OP5_SQL, "op7_mixing": OP7_SQL, "op10_exact_top_k": OP10_SQL}
+    return {
+        "op5_preference_formatting": OP5_SQL,
+        "op7_mixing": OP7_SQL,
+        "op10_exact_top_k": OP10_SQL,
+        "op12_fill_in_middle": OP12_SQL,
+    }
