@@ -19,6 +19,7 @@ from tallystone.llm import (
     token_counts,
     top_k,
     toxicity,
+    whitening,
 )
 
 VOCABULARY = "word_bpe_49k.json"
@@ -77,6 +78,10 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(_table(spark, sf_dir, "embeddings")))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
     again = fill_in_middle.restored(F.col("output"), F.col("form"))
@@ -96,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language_id,
         op9_minhash_near_dedup,
         op10_exact_top_k,
+        op11_whitening,
         op12_fill_in_middle,
     ]
     return {f.__name__: f for f in found}
