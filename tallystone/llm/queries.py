@@ -16,6 +16,7 @@ from tallystone.llm import (
     mixing,
     near_dedup,
     packing,
+    private_data,
     token_counts,
     top_k,
     toxicity,
@@ -89,6 +90,19 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumns(digests).drop("output")
 
 
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_data.find_private_data(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["is_base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    count = lambda kind: F.size(F.filter(kinds, lambda k: k == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in private_data.KINDS],
+        F.sha2(private_data.joined(base), 256).alias("base_sha256"),
+        private_data.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_license_scan,
@@ -103,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_exact_top_k,
         op11_whitening,
         op12_fill_in_middle,
+        op13_private_data,
     ]
     return {f.__name__: f for f in found}
 
