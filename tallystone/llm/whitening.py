@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 from tallystone.llm.workers import map_in_arrow
 from tallystone.sources.tables import stage
@@ -102,13 +103,24 @@ def principal_components(covariance: np.ndarray) -> tuple[np.ndarray, np.ndarray
 # ---- passes over the vectors ------------------------------------------------------------
 
 
-def _integers(embedding: str) -> Column:
-    """The entries as whole numbers; null for a vector that is null or holds a null or an entry that is not finite."""
-    value = lambda x: x.cast("double")
-    is_odd = lambda x: x.isNull() | F.isnan(value(x)) | (F.abs(value(x)) == float("inf"))
-    most = F.lit(_MOST)  # what is larger is refused later on
-    whole = F.transform(embedding, lambda x: F.greatest(F.least(F.floor(value(x) * SCALE), most), -most) + SHIFT)
-    return F.when(~F.exists(embedding, is_odd), whole)
+def _whole_vectors(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their vectors of whole numbers) for each length of vector among at most ``BLOCK_ROWS`` rows.
+
+    Left out are vectors that are null or empty or hold a null or an entry that is not finite.
+    """
+    for at in range(0, len(column), BLOCK_ROWS):
+        block = column.slice(at, BLOCK_ROWS)
+        sizes = pc.fill_null(pc.list_value_length(block), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        values = block.flatten().to_numpy(zero_copy_only=False)  # nulls become NaN
+        holders = np.repeat(np.arange(len(block)), sizes)
+        odd = np.bincount(holders[~np.isfinite(values)], minlength=len(block)) > 0
+        starts = np.cumsum(sizes) - sizes
+        for size in np.unique(sizes[~odd & (sizes > 0)]).tolist():
+            rows = np.flatnonzero(~odd & (sizes == size))
+            with np.errstate(over="ignore"):
+                scaled = np.floor(values[starts[rows][:, None] + np.arange(size)] * SCALE)
+            # What is larger is refused later on.
+            yield at + rows, np.clip(scaled, -float(_MOST), float(_MOST)).astype(np.int64) + SHIFT
 
 
 @dataclass(frozen=True)
@@ -136,22 +148,28 @@ class Fit:
         return pa.array([str(v) for v in totals], pa.string())
 
 
-def _matrix(column: pa.Array, dimensions: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimensions)
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, len(batch), BLOCK_ROWS):
-            yield batch.slice(at, BLOCK_ROWS)
-
-
-def _fit(usable: DataFrame) -> Fit:
+def _fit(vectors: DataFrame) -> Fit:
     """One row per dimension is gathered, whatever the number of vectors; of several lengths the most frequent counts."""
-    entries = usable.select(F.size("x").alias("size"), F.posexplode("x").alias("at", "value"))
-    whole = F.col("value").cast("decimal(38,0)")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list] = {}
+        for batch in batches:
+            for _, x in _whole_vectors(batch.column(1)):
+                # Upper and lower halves, so that no sum of a task overflows.
+                new = [len(x), (x >> 32).sum(axis=0), (x & 0xFFFFFFFF).sum(axis=0), x.min(axis=0), x.max(axis=0)]
+                old = parts.get(x.shape[1])
+                parts[x.shape[1]] = new if old is None else [*map(np.add, old[:3], new[:3]), np.minimum(old[3], new[3]), np.maximum(old[4], new[4])]
+        arrays = [pa.array([p[0] for p in parts.values()], pa.int64())]
+        arrays += [pa.array([p[i] for p in parts.values()], pa.list_(pa.int64())) for i in range(1, 5)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["n", "high", "low", "least", "most"])
+
+    lists = [f"{name} array<bigint>" for name in ("high", "low", "least", "most")]
+    parts = map_in_arrow(vectors, add, ", ".join(["n bigint", *lists]))
+    entry = F.posexplode(F.arrays_zip("high", "low", "least", "most")).alias("at", "e")
+    entries = parts.select(F.size("high").alias("size"), "n", entry)
+    total = lambda name: F.sum(F.col(f"e.{name}").cast("decimal(38,0)")).alias(name)
     counted = entries.groupBy("size", "at").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(whole).alias("total"), F.min("value").alias("least"), F.max("value").alias("most")
+        F.sum("n").alias("n"), total("high"), total("low"), F.min("e.least").alias("least"), F.max("e.most").alias("most")
     )
     counted = stage(counted, "entries").df
     common = counted.filter("at = 0").orderBy(F.desc("n"), F.desc("size")).first()
@@ -162,7 +180,7 @@ def _fit(usable: DataFrame) -> Fit:
     largest = max(max(abs(r["least"]), abs(r["most"])) for r in found)
     if n * largest >= _MOST:
         raise ValueError(f"entries of up to {largest} in {n} vectors cannot be centred exactly in 64 bits")
-    return Fit(n, tuple(int(r["total"]) for r in found), spread)
+    return Fit(n, tuple((int(r["high"]) << 32) + int(r["low"]) for r in found), spread)
 
 
 def _gathered(df: DataFrame, width: int) -> np.ndarray:
@@ -177,21 +195,23 @@ def _gathered(df: DataFrame, width: int) -> np.ndarray:
 def _scatter(vectors: DataFrame, fit: Fit, project: np.ndarray | None = None) -> np.ndarray:
     """Covariance of the centred vectors, or of what ``project`` makes of them; blocks are added up in each task."""
     d = fit.dimensions if project is None else project.shape[1]
-    n, n_d = fit.rows, fit.dimensions
+    n = fit.rows
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((d + 1, d))
         seen = False
-        for batch in _blocks(batches):
-            y = fit.centred(_matrix(batch.column(0), n_d)) / n
-            y = y if project is None else y @ project
-            total[:d] += y.T @ y
-            total[d] += y.sum(axis=0)
-            seen = True
+        for batch in batches:
+            for _, x in _whole_vectors(batch.column(1)):
+                if x.shape[1] == fit.dimensions:
+                    y = fit.centred(x) / n
+                    y = y if project is None else y @ project
+                    total[:d] += y.T @ y
+                    total[d] += y.sum(axis=0)
+                    seen = True
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([total.reshape(-1)], pa.list_(pa.float64()))], names=["part"])
 
-    parts = map_in_arrow(vectors.select("x"), add, "part array<double>")
+    parts = map_in_arrow(vectors, add, "part array<double>")
     total = _gathered(parts, (d + 1) * d).reshape(d + 1, d)
     mean = total[d] / n  # nothing but rounding
     return total[:d] / n - np.outer(mean, mean)
@@ -215,10 +235,8 @@ def whiten(
     have no component: equal vectors only give rows with empty lists. An empty table gives an empty result.
     Entries too large for exact integers are refused by an error before the work starts.
     """
-    usable = df.select(F.col(id_column).cast("bigint").alias("vec_id"), _integers(embedding_column).alias("x"))
-    usable = usable.filter("x is not null")
-    fit = _fit(usable)
-    vectors = usable.filter(F.size("x") == fit.dimensions)
+    vectors = df.select(F.col(id_column).cast("bigint").alias("vec_id"), F.col(embedding_column).cast("array<double>").alias("v"))
+    fit = _fit(vectors)
     covariance = _scatter(vectors, fit) if fit.rows else np.zeros((0, 0))
     values, directions = principal_components(covariance)
     values, directions = values[:components], directions[:, :components]
@@ -227,12 +245,15 @@ def whiten(
     error = float(np.abs(_scatter(vectors, fit, project) - np.eye(len(values))).max()) if len(values) else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _blocks(batches):
-            y = fit.centred(_matrix(batch.column(1), fit.dimensions))
-            white = (y / fit.rows) @ project
-            ends = pa.array(np.arange(len(batch) + 1, dtype=np.int32) * white.shape[1])
-            lists = pa.ListArray.from_arrays(ends, pa.array(white.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fit.deviations(y), lists], names=["vec_id", "deviation", "whitened"])
+        for batch in batches:
+            for rows, x in _whole_vectors(batch.column(1)):
+                if x.shape[1] == fit.dimensions:
+                    y = fit.centred(x)
+                    white = (y / fit.rows) @ project
+                    ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * white.shape[1])
+                    lists = pa.ListArray.from_arrays(ends, pa.array(white.reshape(-1)))
+                    ids = batch.column(0).take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays([ids, fit.deviations(y), lists], names=["vec_id", "deviation", "whitened"])
 
     found = map_in_arrow(vectors, run, "vec_id bigint, deviation string, whitened array<double>")
     return found.select(
