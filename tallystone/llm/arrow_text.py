@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # UTF-8 bytes worked on at once: numpy's intermediate arrays take about 50 times as much.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 IS_WORD_BYTE = np.ones(256, dtype=bool)
@@ -77,7 +77,7 @@ def _behind_space(data: np.ndarray, at: int, stop: int, step: int = 4096) -> int
     return stop
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 8 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, limit: int = 16 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of whole rows with at most about ``limit`` bytes of text; a longer row comes alone."""
     _, bounds = text_buffers(batch.column(column))
     row = 0

@@ -9,6 +9,7 @@ of them clash with a probability below one in a hundred million.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,11 +17,13 @@ import pyarrow as pa
 
 from tallystone.llm.arrow_text import Chunk, chunks
 from tallystone.llm.words import hash_spans, lower_ascii, word_spans
+from tallystone.llm.workers import trim
 
 # Distinct words remembered by one Python worker; about 40 bytes each.
-REMEMBERED = 500_000
-# Bytes of text whose distinct words are looked up together.
-BATCH_BYTES = 1 << 21
+REMEMBERED = 300_000
+# Bytes of text whose distinct words are looked up together, and new words encoded by one call.
+BATCH_BYTES = 1 << 20
+_CALL_WORDS = 8192
 
 # ASCII marks that always form a token run of their own behind a letter. Not here: the apostrophe,
 # which begins contractions, and the characters of special tokens.
@@ -63,6 +66,8 @@ class WordEncoder:
     """Ids of whole texts by the public ``tokenizers`` library, without added special tokens."""
 
     def __init__(self, path: str):
+        # One task, one thread: threads of the library's own would each keep memory, and take other tasks' cores.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -127,6 +132,21 @@ class WordEncoder:
         return self._hashes[np.minimum(at, len(self._hashes) - 1)] == hashes
 
     def _learn(self, hashes: np.ndarray, units: list[bytes]) -> None:
+        lengths, tables = np.zeros(len(units), np.int64), [self._table]
+        for at in range(0, len(units), _CALL_WORDS):
+            ids = self._ids(units[at : at + _CALL_WORDS])
+            lengths[at : at + len(ids)] = [len(x) for x in ids]
+            tables.append(np.fromiter((i for x in ids for i in x), np.uint32))
+        begins = np.cumsum(lengths) - lengths + len(self._table)
+        self._table = np.concatenate(tables)
+        merged = np.concatenate([self._hashes, hashes])
+        order = np.argsort(merged, kind="stable")
+        self._hashes = merged[order]
+        self._begins = np.concatenate([self._begins, begins])[order]
+        self._lengths = np.concatenate([self._lengths, lengths])[order]
+        trim()
+
+    def _ids(self, units: list[bytes]) -> list[list[int]]:
         ids: list[list[int]] = [[]] * len(units)
         model, rest = self.tokenizer.model, []
         for i, unit in enumerate(units):
@@ -137,16 +157,7 @@ class WordEncoder:
         encoded = self.tokenizer.encode_batch_fast([units[i].decode("utf-8") for i in rest], add_special_tokens=False)
         for i, found in zip(rest, encoded, strict=True):
             ids[i] = found.ids
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        ends = np.cumsum(lengths)
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(ends[-1]))
-        begins = ends - lengths + len(self._table)
-        self._table = np.concatenate([self._table, flat])
-        merged = np.concatenate([self._hashes, hashes])
-        order = np.argsort(merged, kind="stable")
-        self._hashes = merged[order]
-        self._begins = np.concatenate([self._begins, begins])[order]
-        self._lengths = np.concatenate([self._lengths, lengths])[order]
+        return ids
 
 
 def applies_to(vocabulary: dict) -> bool:

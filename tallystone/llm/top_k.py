@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallystone.llm.workers import map_in_arrow, ship
+from tallystone.llm.workers import map_in_arrow, per_group
 from tallystone.sources.tables import stage
 
 K = 20
@@ -175,7 +175,7 @@ def exact_top_k(
                 out_score += scores.astype(np.int64).tolist()
         return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_id, pa.int64()), "score": pa.array(out_score, pa.int64())})
 
-    ship(df.sparkSession)
+    meet = per_group(df.sparkSession, meet)
     met = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(meet, "query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

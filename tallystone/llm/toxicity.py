@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tallystone.llm.arrow_text import chunks
 from tallystone.llm.words import hash_spans, lower_ascii, mix, word_spans
-from tallystone.llm.workers import map_in_arrow, ship
+from tallystone.llm.workers import map_in_arrow, per_group
 from tallystone.sources.tables import stage
 
 # Hashed features of a text: its distinct words, and their first bytes, for compounds and inflections.
@@ -29,6 +30,7 @@ LEAST_ROWS = 4
 LEAST_DEVIATIONS = 3.0
 
 _BATCH = 64
+_BLOCK_ROWS = 512
 _RATE = 0.2
 _SHRINK = 1e-5
 # Earlier probabilities enter as log odds within these limits.
@@ -95,9 +97,9 @@ def fit(numbers: np.ndarray, bounds: np.ndarray, earlier: np.ndarray, labels: np
     model = LinearModel(np.zeros(1 << FEATURE_BITS, np.float32), np.zeros(earlier.shape[1]), base)
     if len(labels) == 0 or labels.min() == labels.max():
         return model
-    telling = _telling(numbers, bounds, labels)
-    bounds = np.concatenate([[0], np.cumsum(telling[numbers])])[bounds]
-    numbers = numbers[telling[numbers]]
+    held = _telling(numbers, bounds, labels)[numbers]
+    kept = np.add.reduceat(np.append(held, False), bounds[:-1], dtype=np.int64) * (bounds[1:] > bounds[:-1])
+    numbers, bounds = numbers[held], np.concatenate([[0], np.cumsum(kept)])
     weights, more = model.weights, model.earlier
     seen, seen_more, seen_base = np.full(len(weights), 1e-2, np.float32), np.full(len(more), 1e-2), 1e-2
     for _ in range(epochs):
@@ -122,8 +124,12 @@ def fit(numbers: np.ndarray, bounds: np.ndarray, earlier: np.ndarray, labels: np
 
 def _telling(numbers: np.ndarray, bounds: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Which features are in enough rows, and in more or fewer positive ones than chance has it."""
-    rows = np.bincount(numbers, minlength=1 << FEATURE_BITS)
-    positive = np.bincount(numbers, np.repeat(labels, np.diff(bounds)), 1 << FEATURE_BITS)
+    rows, positive = np.zeros(1 << FEATURE_BITS), np.zeros(1 << FEATURE_BITS)
+    for at in range(0, len(labels), _BLOCK_ROWS):
+        held = bounds[at : at + _BLOCK_ROWS + 1]
+        ids, y = numbers[held[0] : held[-1]], labels[at : at + _BLOCK_ROWS]
+        rows += np.bincount(ids, minlength=1 << FEATURE_BITS)
+        positive += np.bincount(ids, np.repeat(y, np.diff(held)), 1 << FEATURE_BITS)
     share = labels.mean()
     spread = np.sqrt(np.maximum(rows * share * (1 - share), 1e-9))
     return (rows >= LEAST_ROWS) & (np.abs(positive - rows * share) >= LEAST_DEVIATIONS * spread)
@@ -152,30 +158,35 @@ def _sample(df: DataFrame, labels: DataFrame, categories: Sequence[str], rows: i
 
 
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All lists end to end, and where each begins."""
     lists = column.combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
-    sizes = np.array([len(x) for x in lists], np.int64)
-    return lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.chunk(0) if lists.num_chunks else pa.array([], column.type)
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
 
 
 def _fit_task(place: int) -> Callable[[pa.Table], pa.Table]:
     """Fits category ``place`` without one fold: that fold's probabilities; or on all folds: the model."""
 
     def fit_group(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("row", "ascending")])
+        # In a fixed order of rows, without copying the lists.
+        ranks = pc.sort_indices(table.select(["doc_id", "row"]), [("doc_id", "ascending"), ("row", "ascending")]).to_numpy()
         left_out = table.column("fit")[0].as_py()
         numbers, bounds = _flat(table.column("numbers"))
-        label = np.array([x[place] for x in table.column("labels").to_pylist()], dtype=float)
-        earlier = log_odds(np.array(table.column("earlier").to_pylist(), dtype=float).reshape(len(label), place))
+        categories = len(table.column("labels")[0])
+        label = _flat(table.column("labels"))[0].reshape(-1, categories)[:, place].astype(float)
+        earlier = log_odds(_flat(table.column("earlier"))[0].astype(float).reshape(len(label), place))
         fold = table.column("fold").to_numpy()
+        ranked = np.empty(len(label), np.uint64)
+        ranked[ranks] = mix(np.arange(1, len(label) + 1, dtype=np.uint64))
         used = np.flatnonzero(~np.isnan(label) & (fold != left_out))
-        order = used[np.argsort(mix(used.astype(np.uint64) + np.uint64(1)))]
-        sizes = np.diff(bounds)[order]
+        order = used[np.argsort(ranked[used])]
         ids = np.concatenate([numbers[bounds[i] : bounds[i + 1]] for i in order] or [np.empty(0, np.int32)])
-        model = fit(ids, np.concatenate([[0], np.cumsum(sizes)]), earlier[order], label[order])
+        model = fit(ids, np.concatenate([[0], np.cumsum(np.diff(bounds)[order])]), earlier[order], label[order])
         if left_out < FOLDS:
             rows = np.flatnonzero(fold == left_out)
-            p = probability(model.odds(numbers, bounds, earlier))[rows]
+            p = [probability(model.odds(numbers[bounds[i] : bounds[i + 1]], np.array([0, bounds[i + 1] - bounds[i]]), earlier[i : i + 1]))[0] for i in rows]
             return pa.table(
                 {"row": table.column("row").take(pa.array(rows)), "p": pa.array(p, pa.float64()), "model": pa.nulls(len(rows), pa.binary())}
             )
@@ -205,9 +216,8 @@ def train_chain(
     models: list[LinearModel] = []
     fits = F.explode(F.sequence(F.lit(0), F.lit(FOLDS)))
     for place in range(len(categories)):
-        ship(df.sparkSession)
         grouped = data.withColumn("fit", fits).groupBy("fit")
-        fitted = stage(grouped.applyInArrow(_fit_task(place), "row bigint, p double, model binary"), "toxicity-fit").df
+        fitted = stage(grouped.applyInArrow(per_group(df.sparkSession, _fit_task(place)), "row bigint, p double, model binary"), "toxicity-fit").df
         final = fitted.filter("row = -1").select("model").first()
         if final is None:  # not one labelled row
             models.append(LinearModel(np.zeros(1 << FEATURE_BITS, np.float32), np.zeros(place), 0.0))

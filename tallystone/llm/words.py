@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from tallystone.llm.arrow_text import IS_WORD_BYTE, Chunk, chunks
+from tallystone.llm.workers import forgets
 
 _random = np.random.Generator(np.random.PCG64(20_240_229))
 _BYTE_VALUE = _random.integers(0, 2**64, 256, dtype=np.uint64)
@@ -15,6 +16,7 @@ _BYTE_VALUE = _random.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _powers: dict[int, np.ndarray] = {}
+forgets(_powers.clear)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -26,14 +28,14 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 
 def _power_table(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2**64, kept for the next call."""
+    """base ** 0 .. base ** (n - 1) modulo 2**64, kept for the task's next call."""
     table = _powers.get(base)
     if table is None or len(table) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         table = np.full(size, base, dtype=np.uint64)
         table[0] = 1
         np.multiply.accumulate(table, out=table)
-        _powers[base] = table if size <= 1 << 21 else table[: 1 << 21].copy()
+        _powers[base] = table if size <= 1 << 20 else table[: 1 << 20].copy()
     return table[:n]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -11,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
+_forgetters: list[Callable[[], None]] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -28,17 +31,59 @@ def ship(spark: SparkSession) -> None:
     _shipped[application] = folder
 
 
-def map_in_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
-    """``DataFrame.mapInArrow`` for a function that uses this package.
+def forgets(function: Callable[[], None]) -> Callable[[], None]:
+    """Register what empties a module's caches; called at the end of every Python task of this package."""
+    _forgetters.append(function)
+    return function
+
+
+def trim() -> None:
+    """Hand freed memory back to the system; the allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
+    if give_back is not None:
+        give_back(0)
+
 
-    Python workers live on for the next stages; what Arrow's allocator holds back goes at a task's end.
-    """
+def release() -> None:
+    """Empty a Python worker's caches: workers live on for the next stages, beside a full JVM heap."""
+    for function in _forgetters:
+        function()
+    trim()
+
+
+def map_in_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
+    """``DataFrame.mapInArrow`` for a function that uses this package."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from function(batches)
+            for batch in function(batches):
+                yield batch
+                trim()
         finally:
-            pa.default_memory_pool().release_unused()
+            release()
 
     return df.mapInArrow(run, schema)
+
+
+def per_group(spark: SparkSession, function: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """A function for ``applyInArrow``, of one table or two, that uses this package."""
+    ship(spark)
+    if len(inspect.signature(function).parameters) == 2:
+
+        def run_two(left: pa.Table, right: pa.Table) -> pa.Table:
+            try:
+                return function(left, right)
+            finally:
+                release()
+
+        return run_two
+
+    def run_one(table: pa.Table) -> pa.Table:
+        try:
+            return function(table)
+        finally:
+            release()
+
+    return run_one
