@@ -7,12 +7,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from tallystone.llm import set_links
 from tallystone.llm.arrow_text import text_buffers
 from tallystone.llm.components import connected_components
 from tallystone.llm.words import mix, rows_of_words, shingle_hashes
-from tallystone.llm.workers import map_in_arrow, ship
+from tallystone.llm.workers import map_in_arrow, per_group
+from tallystone.sources.columns import quoted
 from tallystone.sources.tables import stage
 
 WORDS = 5
@@ -23,11 +25,11 @@ PERCENT = 75
 COORDINATES = 48
 MATCHES = 20
 
-# 64-bit words of the bitmap that stands for a set when a list's members are compared in pairs.
-BITMAP_WORDS = 16
-# Lists with at most so many members are paired in a join; longer ones in blocks of BLOCK_ROWS.
-SHORT_LIST = 32
-BLOCK_ROWS = 4096
+# Sets that are compared with each other by one task, at most, by number and by shingles.
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 1 << 18
+# Connected lists with more members than this in all are compared list by list.
+CLUSTER_ROWS = 100_000
 
 _random = np.random.Generator(np.random.PCG64(48_020))
 _MULTIPLIERS = _random.integers(0, 2**64, 1024, dtype=np.uint64) | np.uint64(1)
@@ -60,7 +62,7 @@ def _signatures(df: DataFrame, coordinates: int, words: int) -> DataFrame:
                 for i in held.tolist():
                     distinct = np.unique(shingles[bounds[i] : bounds[i + 1]])
                     counts[first + i] = len(distinct)
-                    keys[first + i] = hashlib.blake2b(distinct, digest_size=16).digest()
+                    keys[first + i] = _set_key(distinct)
             filled = counts > 0
             offsets = np.concatenate([[0], np.cumsum(filled * coordinates)]).astype(np.int32)
             values = pa.array(coords[filled].reshape(-1).view(np.int64))
@@ -73,27 +75,25 @@ def _signatures(df: DataFrame, coordinates: int, words: int) -> DataFrame:
     return map_in_arrow(df, sign, "doc_id bigint, n bigint, set_key binary, coords array<bigint>")
 
 
+def _set_key(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles, digest_size=16).digest()
+
+
 def _sets(df: DataFrame, words: int) -> DataFrame:
-    """``node, members, bitmap``: the distinct shingle hashes of a text, ascending, as bytes, and their low bits."""
+    """``node, members``: the distinct shingle hashes of a text, ascending, as bytes; texts without the ``set_key`` given go."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            keys = batch.column(2).to_pylist()
             for first, hashes, firsts in rows_of_words(batch.column(1)):
                 shingles, bounds = shingle_hashes(hashes, firsts, words)
-                rows = len(bounds) - 1
-                distinct = [np.unique(shingles[bounds[i] : bounds[i + 1]]) for i in range(rows)]
-                bits = np.zeros((rows, BITMAP_WORDS * 64), np.uint8)
-                for i, held in enumerate(distinct):
-                    bits[i, held % np.uint64(BITMAP_WORDS * 64)] = 1
-                words_of = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
-                ends = pa.array(np.arange(rows + 1, dtype=np.int32) * BITMAP_WORDS)
-                members = pa.array([held.tobytes() for held in distinct], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, rows), members, pa.ListArray.from_arrays(ends, pa.array(words_of))],
-                    names=["node", "members", "bitmap"],
-                )
-
-    return map_in_arrow(df, gather, "node bigint, members binary, bitmap array<bigint>")
+                distinct = [np.unique(shingles[bounds[i] : bounds[i + 1]]) for i in range(len(bounds) - 1)]
+                same = [i for i, held in enumerate(distinct) if _set_key(held) == keys[first + i]]
+                members = pa.array([distinct[i].tobytes() for i in same], pa.binary())
+                nodes = batch.column(0).take(pa.array([first + i for i in same], pa.int64()))
+                yield pa.RecordBatch.from_arrays([nodes, members], names=["node", "members"])
+
+    return map_in_arrow(df, gather, "node bigint, members binary")
 
 
 def _prefix_lists(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -118,79 +118,66 @@ def _prefix_lists(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame
     return stage(prefix.join(several, "token", "left_semi"), "posting-lists").df
 
 
-def _can_be_linked(percent: int) -> Column:
-    """Whether the sizes n_x, n_y and the bitmaps m_x, m_y of two sets leave room for a link.
+def _link_blocks(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links between the sets of a pair of blocks; ``side`` is 0 or 1, or 2 where both are one block."""
+
+    def link(table: pa.Table) -> pa.Table:
+        sides = table.column("side").to_numpy()
+        both = [_as_sets(table.filter(pa.array((sides == own) | (sides == 2)))) for own in (0, 1)]
+        a, b = set_links.links(*both, percent)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return link
 
-    A bit that one set has and the other has not stands for at least one shingle outside the
-    intersection. A link needs an intersection of percent / (100 + percent) of both sizes together.
-    """
 
-    def most_common(one: str, other: str) -> Column:
-        only = [F.bit_count(F.col(f"m_{one}")[i].bitwiseAND(F.bitwise_not(F.col(f"m_{other}")[i]))) for i in range(BITMAP_WORDS)]
-        return F.col(f"n_{one}") - sum(only[1:], only[0])
-
-    common = F.least(most_common("x", "y"), most_common("y", "x"))
-    return common * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent
-
-
-def _block_pairs(percent: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The same for a block of a long list's outsiders and one of its members, by numpy."""
-
-    def pair(outsiders: pa.Table, members: pa.Table) -> pa.Table:
-        found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        if outsiders.num_rows and members.num_rows:
-            sides = []
-            for table in (outsiders, members):
-                bits = [c.flatten().to_numpy(zero_copy_only=False) for c in table.column("bitmap").chunks]
-                columns = [table.column(c).to_numpy() for c in ("node", "component", "n")]
-                sides.append((*columns, np.concatenate(bits).reshape(-1, BITMAP_WORDS).view(np.uint64)))
-            (nodes, components, sizes, bitmaps), (others, other_components, other_sizes, other_bitmaps) = sides
-            for i in range(len(nodes)):
-                only = sizes[i] - np.bitwise_count(bitmaps[i] & ~other_bitmaps).sum(axis=1, dtype=np.int64)
-                theirs = other_sizes - np.bitwise_count(other_bitmaps & ~bitmaps[i]).sum(axis=1, dtype=np.int64)
-                fits = np.minimum(only, theirs) * (100 + percent) >= (sizes[i] + other_sizes) * percent
-                hits = others[fits & (other_components != components[i])]
-                found_a.append(np.maximum(hits, nodes[i]))
-                found_b.append(np.minimum(hits, nodes[i]))
-        return pa.table({"a": pa.array(np.concatenate(found_a), pa.int64()), "b": pa.array(np.concatenate(found_b), pa.int64())})
-
-    return pair
-
-
-def _pairs_across_components(lists: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` (a > b) that share a list but no component and are alike enough by size and bitmap.
-
-    In a list most members are often in one component already. Only the others, the outsiders, are
-    compared, each with all members. Short lists are joined with themselves; long ones are cut into
-    blocks, so that a task never holds more than two blocks, however long a list is, and what does not
-    fit leaves no row behind.
+def _as_sets(table: pa.Table) -> set_links.Sets:
+    members = pa.chunked_array([c.cast(pa.large_binary()) for c in table.column("members").chunks], pa.large_binary()).combine_chunks()
+    members = members.chunk(0) if isinstance(members, pa.ChunkedArray) and members.num_chunks else members
+    data, bounds = text_buffers(members.view(pa.large_string())) if len(members) else (np.empty(0, np.uint8), np.zeros(1, np.int64))
+    values = data[bounds[0] : bounds[-1]].view(np.uint64)
+    columns = [table.column(c).to_numpy() for c in ("node", "component", "n")]
+    return set_links.Sets(*columns, values, (bounds - bounds[0]) // 8)
+
+
+def _links_across_components(lists: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between nodes that share a list but no component, enough of them to connect what all would.
+
+    In a list most members are often in one component already; lists within one need no look. The others
+    are put together where they share components: sets that can be linked are in one such cluster then,
+    and a set goes through the shuffle once, not once per list. Clusters are cut into blocks of
+    bounded size, so that a task holds two blocks, however large a cluster is. Blocks hand out links only,
+    fewer than they have members. A cluster beyond ``CLUSTER_ROWS`` is compared list by list instead.
     """
-    placed = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    held = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("of_it"))
-    lengths = held.groupBy("token").agg(
-        F.sum("of_it").alias("members"), F.count(F.lit(1)).alias("components"), F.max(F.struct("of_it", "component"))["component"].alias("main")
+    placed = lists.join(components, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("component"))
+    placed = stage(placed, "placed").df
+    spread = placed.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    mixed = placed.join(spread.filter("least < most").select("token", "least"), "token")
+    mixed = stage(mixed, "mixed-lists").df
+    clusters = connected_components(mixed.select(F.col("component").alias("a"), F.col("least").alias("b")))
+    clusters = stage(clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster")), "clusters").df
+    members = stage(mixed.select("node", "n", "component").distinct().join(clusters, "component"), "cluster-members").df
+    rows = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"))
+    large = rows.filter(F.col("rows") > CLUSTER_ROWS).select("cluster")
+    by_cluster = members.join(large, "cluster", "left_anti").select(F.lit(False).alias("is_list"), F.col("cluster").alias("part"), "node", "n", "component")
+    by_list = mixed.join(clusters.join(large, "cluster", "left_semi").select("component"), "component", "left_semi")
+    parted = by_cluster.union(by_list.select(F.lit(True), "token", "node", "n", "component"))
+
+    sizes = parted.groupBy("is_list", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("bigint")
+    dealt = parted.join(sizes.select("is_list", "part", blocks.alias("blocks")), ["is_list", "part"])
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = dealt.withColumn("own", own).join(sets, "node")
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    met = met.withColumns(
+        {
+            "low": F.least("own", "other"),
+            "high": F.greatest("own", "other"),
+            "side": F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1),
+        }
     )
-    mixed = lengths.filter("components > 1").select("token", "members", "main")
-    rows = placed.join(mixed, "token").join(sets.select("node", "bitmap"), "node")
-    rows = stage(rows.select("token", "node", "n", "component", "bitmap", "members", "main"), "mixed-lists").df
-
-    short = rows.filter(F.col("members") <= SHORT_LIST)
-    side = lambda name: [F.col(c).alias(f"{c[0]}_{name}") for c in ("n", "component")] + [F.col("bitmap").alias(f"m_{name}")]
-    x = short.filter("component <> main").select("token", F.col("node").alias("p"), *side("x"))
-    y = short.select("token", F.col("node").alias("q"), *side("y"))
-    joined = x.join(y, (x["token"] == y["token"]) & (F.col("c_x") != F.col("c_y")) & _can_be_linked(percent))
-    joined = joined.select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b"))
-
-    long = rows.filter(F.col("members") > SHORT_LIST)
-    blocks = F.ceil(F.col("members") / BLOCK_ROWS)
-    own, every = F.pmod(F.xxhash64("node"), blocks), F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
-    columns = ["token", "node", "n", "component", "bitmap"]
-    outsiders = long.filter("component <> main").select(*columns, own.alias("own"), every.alias("other"))
-    members = long.select(*columns, own.alias("other"), every.alias("own"))
-    ship(lists.sparkSession)
-    keys = ["token", "own", "other"]
-    blocked = outsiders.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(_block_pairs(percent), "a bigint, b bigint")
-    return joined.union(blocked).distinct()
+    grouped = met.select("is_list", "part", "low", "high", "side", "node", "n", "component", "members").groupBy("is_list", "part", "low", "high")
+    found = grouped.applyInArrow(per_group(lists.sparkSession, _link_blocks(percent)), "a bigint, b bigint")
+    return stage(found, "links-across").df
 
 
 def _enough_collisions(pairs: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
@@ -239,37 +226,35 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
-    1. Texts with equal shingle sets are one node, the smallest id, so copies cost nothing further.
+    1. Texts with equal shingle sets are one node, so copies cost nothing further.
     2. Signatures are posted under their rarest coordinate values (``_prefix_lists``).
     3. In every list the nodes of like size are compared with one of them only, the one that has most in
        common with others; the pairs that collide often enough are confirmed on full sets, and what is
        linked becomes one component.
-    4. Nodes that share a list but no component are then compared pair by pair: first by the sizes and
-       bitmaps of their sets, then by collisions, then on full sets. Pairs within a component need no
-       comparison, so what a group of thousands of near copies costs is in proportion to its members
-       times those that are outside its component.
+    4. Nodes that share a list but no component are then compared on full sets, in blocks that hand out
+       links only (``_links_across_components``). Pairs within a component need no comparison.
 
     Words are runs of other than ASCII white space, with A-Z in lower case; a text of fewer than
     ``words`` words is one shingle. Null, empty and blank texts have no shingle, link with nothing and
     are kept. A row with a null id links with nothing, has a null component, and is kept. Repeated rows
     are copies of each other: all of them carry the same id, so all are kept or none. Rows with one id
-    and different texts may count as one document. Other columns are not read; an empty table gives an
-    empty result.
+    and different texts are texts of their own, each with its links; the id stands for all of them where
+    it names a component. Other columns are not read; an empty table gives an empty result.
     """
     documents = df.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     signed = stage(_signatures(documents, coordinates, words), "signatures").df
     known = signed.filter("n > 0 and doc_id is not null")
-    first = known.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    classes = stage(first, "classes").df
-    named = classes.withColumnRenamed("set_key", "_key")
-    same = (known["doc_id"] == named["node"]) & (known["set_key"] == named["_key"])
-    nodes = stage(known.join(named, same).select("node", "n", "coords").dropDuplicates(["node"]), "nodes").df
-
-    lists = _prefix_lists(nodes, coordinates, matches)
-    listed = stage(lists.select("node").distinct(), "listed").df
-    nodes = stage(nodes.join(listed, "node", "left_semi"), "listed-nodes").df
-    texts = documents.withColumnRenamed("doc_id", "node").join(listed, "node", "left_semi")
-    sets = stage(_sets(texts.select("node", "text"), words), "shingle-sets").df
+    # Numbers for the distinct sets: once written, they stay what they are.
+    first = known.groupBy("set_key").agg(F.min("doc_id").alias("first"), F.any_value("n").alias("n"), F.any_value("coords").alias("coords"))
+    classes = stage(first.withColumn("node", F.monotonically_increasing_id()), "classes").df
+
+    lists = _prefix_lists(classes.select("node", "n", "coords"), coordinates, matches)
+    listed = stage(classes.join(lists.select("node").distinct(), "node", "left_semi"), "listed").df
+    nodes = listed.select("node", "coords")
+    wanted = listed.select("node", "set_key", F.col("first").alias("doc_id"))
+    sets = stage(_sets(documents.join(wanted, "doc_id").select("node", "text", "set_key"), words), "shingle-sets").df
+    if sets.count() > listed.count():  # repeated rows
+        sets = stage(sets.dropDuplicates(["node"]), "single-sets").df
 
     # Nodes in one class of size differ by less than the percentage allows. Of these the one with most
     # common tokens has the least of its own, so it is the likeliest to be near all the others.
@@ -278,17 +263,19 @@ def near_duplicates(
     best = sized.groupBy("token", "size_class").agg(F.max(F.struct("common", (-F.col("node")).alias("id"))).alias("best"))
     best = best.select("token", "size_class", (-F.col("best.id")).alias("center"))
     stars = sized.join(best, ["token", "size_class"]).filter("node <> center")
-    stars = stars.select(F.greatest("node", "center").alias("a"), F.least("node", "center").alias("b"))
-    stars = stage(stars.distinct(), "star-pairs").df
+    stars = stars.select(F.greatest("node", "center").alias("a"), F.least("node", "center").alias("b")).distinct()
     links = _confirmed(_enough_collisions(stars, nodes, matches), sets, percent)
 
     components = stage(connected_components(links, most_rounds=2), "first-components").df
-    rest = _pairs_across_components(lists, components, sets, percent).join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(_enough_collisions(rest, nodes, matches), sets, percent)
+    more = _links_across_components(lists, components, sets, percent)
     components = stage(connected_components(links.union(more)), "components").df
 
-    # A class's component first, so the join with the documents is the only one over all of them.
-    ended = classes.join(components, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
+    # A component is named by its smallest id. A class's component first, so the join with the documents is
+    # the only one over all of them.
+    firsts = classes.select("node", "set_key", "first")
+    names = components.join(firsts, "node").groupBy("component").agg(F.min("first").alias("name"))
+    ended = firsts.join(components.join(names, "component").select("node", "name"), "node", "left")
+    ended = ended.select("set_key", F.coalesce("name", "first").alias("component"))
     rows = signed.select("doc_id", F.col("n").alias("n_shingles"), "set_key")
     rows = rows.join(ended, "set_key", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
@@ -296,13 +283,25 @@ def near_duplicates(
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _is_ordered(kind: T.DataType) -> bool:
+    """Whether values of a type can be compared."""
+    if isinstance(kind, T.StructType):
+        return all(_is_ordered(f.dataType) for f in kind.fields)
+    return _is_ordered(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def without_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, with one document of each group of near duplicates, the smallest id.
 
-    Repeated rows of one id and text become one row. Rows with a null id link with nothing and stay.
+    Repeated rows of one id and text become one row, the one with the least other columns (in their order,
+    those whose type has none left out). Rows with a null id link with nothing and stay.
     """
     found = near_duplicates(df, id_column, text_column).filter("kept and doc_id is not null")
-    kept = found.select(F.col("doc_id").alias(id_column)).distinct()
-    named = df.filter(F.col(id_column).isNotNull()).join(kept, id_column, "left_semi")
-    single = named.dropDuplicates([id_column, text_column])
-    return single.select(*df.columns).union(df.filter(F.col(id_column).isNull()))
+    kept = found.select(F.col("doc_id").alias("_kept")).distinct()
+    key, others = [quoted(id_column), quoted(text_column)], [f for f in df.schema.fields if f.name not in (id_column, text_column)]
+    named = df.filter(key[0].isNotNull()).join(kept, key[0].cast("bigint") == F.col("_kept"), "left_semi")
+    row = F.struct(*[quoted(f.name) for f in others], F.lit(0).alias("_end"))
+    rank = F.struct(*[quoted(f.name) for f in others if _is_ordered(f.dataType)], F.lit(0).alias("_end"))
+    single = named.groupBy(key[0].alias("_id"), key[1].alias("_text")).agg(F.min_by(row, rank).alias("_row"))
+    columns = {id_column: F.col("_id"), text_column: F.col("_text")} | {f.name: F.col("_row")[f.name] for f in others}
+    return single.select(*[columns[name].alias(name) for name in df.columns]).union(df.filter(key[0].isNull()))
