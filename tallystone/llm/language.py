@@ -10,16 +10,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystone.llm.arrow_text import chunks
-from tallystone.llm.workers import map_in_arrow
+from tallystone.llm.workers import forgets, map_in_arrow
 from tallystone.sources.tables import stage
 
 DIMENSIONS = 1024
-# Documents the prototypes are bundled from: about this many, chosen by a hash of the id.
+# Documents the prototypes are bundled from: about this many in all, as many from each language, chosen by a
+# hash of the id; of a language with fewer than its share, and of LEAST_ROWS at least, all.
 SAMPLE_ROWS = 20_000
+LEAST_ROWS = 200
 UNKNOWN = "und"
-# Cosine below which a text is in none of the learned languages. Unrelated letters come to about 1 / 32 (one
-# over the root of the dimensions); a text of one word in a learned language is above, however short.
+# Cosine below which a text is in none of the learned languages, where too few texts of its size are known.
+# Unrelated letters come to about 1 / 32 (one over the root of the dimensions).
 MIN_SCORE = 0.05
+# Else the bar is this share of the score that nearly all texts of the size reach.
+_BAR_SHARE = 0.8
+_BAR_QUANTILE = 0.001
+_BAR_ROWS = 100
 SEED = 11
 
 # Bytes of text whose n-grams are counted together; rows of n-gram vectors bundled at once.
@@ -29,6 +35,7 @@ _BLOCK = 2048
 _SCALE = float(1 << 20)
 
 _letter_vectors: dict[int, np.ndarray] = {}
+forgets(_letter_vectors.clear)
 _is_letter: np.ndarray | None = None
 
 
@@ -69,8 +76,8 @@ def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams, np.searchsorted(ends, middle, side="right"), which
 
 
-def _bundles(texts: list[str]) -> np.ndarray:
-    """One hypervector per text: the sum of its trigrams' vectors.
+def _bundles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """One hypervector per text, the sum of its trigrams' vectors, and the number of trigrams.
 
     A trigram's vector binds (multiplies) its letters' vectors, permuted by their position, so that
     "abc" and "cba" are unrelated.
@@ -78,7 +85,7 @@ def _bundles(texts: list[str]) -> np.ndarray:
     out = np.zeros((len(texts), DIMENSIONS), np.float32)
     grams, rows, which = _trigrams(texts)
     if not len(which):
-        return out
+        return out, np.zeros(len(texts), np.int64)
     counts = np.bincount(rows * len(grams) + which, minlength=len(texts) * len(grams)).reshape(len(texts), -1)
     letters, at = np.unique(grams, return_inverse=True)
     at = at.reshape(grams.shape)
@@ -88,21 +95,37 @@ def _bundles(texts: list[str]) -> np.ndarray:
         a, b, c = at[block : block + _BLOCK].T
         vectors = first[a] * second[b] * plain[c]
         out += counts[:, block : block + _BLOCK].astype(np.float32) @ vectors.astype(np.float32)
-    return out
+    return out, counts.sum(axis=1)
 
 
-def document_vectors(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
-    """(first row, one hypervector per row) for groups of whole rows; a row without letters is zero."""
-    carried: np.ndarray | None = None
+def document_profiles(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, one hypervector per row, number of trigrams per row) for groups of whole rows."""
+    carried: tuple[np.ndarray, np.ndarray] | None = None
     for chunk in chunks(column, _CHUNK_BYTES):
         raw = chunk.data.tobytes()
         texts = [raw[a:b].decode("utf-8").lower() for a, b in zip(chunk.bounds[:-1], chunk.bounds[1:], strict=True)]
-        vectors = _bundles(texts)
+        vectors, numbers = _bundles(texts)
         if carried is not None:
-            vectors = vectors + carried
-        carried = None if chunk.last else vectors
+            vectors, numbers = vectors + carried[0], numbers + carried[1]
+        carried = None if chunk.last else (vectors, numbers)
         if chunk.last:
-            yield chunk.first, vectors
+            yield chunk.first, vectors, numbers
+
+
+def document_vectors(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, one hypervector per row) for groups of whole rows; a row without letters is zero."""
+    for first, vectors, _ in document_profiles(column):
+        yield first, vectors
+
+
+def sizes(vectors: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Rough number of different trigrams, as a power of two rounded down: what repeats counts little.
+
+    A bundle's squared length is about the dimensions times the sum of the squared counts.
+    """
+    squares = np.square(vectors, dtype=np.float64).sum(axis=1) / DIMENSIONS
+    different = np.divide(numbers.astype(float) ** 2, squares, out=np.ones(len(numbers)), where=squares > 0)
+    return np.floor(np.log2(np.maximum(different, 1.0))).astype(np.int64)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -118,16 +141,39 @@ class Prototypes:
     vectors: np.ndarray
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
-        names, scores = [UNKNOWN] * len(column), np.zeros(len(column))
+        names, scores, _ = self.profile(column)
+        return names, scores
+
+    def profile(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages, scores and sizes (see ``sizes``)."""
+        names, scores, found = [UNKNOWN] * len(column), np.zeros(len(column)), np.zeros(len(column), np.int64)
         if not self.languages:
-            return names, scores
-        for first, vectors in document_vectors(column):
+            return names, scores, found
+        for first, vectors, numbers in document_profiles(column):
             likeness = np.round(_unit(vectors).astype(np.float64) @ self.vectors.T, 6)
             best = likeness.argmax(axis=1)
+            found[first : first + len(vectors)] = sizes(vectors, numbers)
             for i in np.flatnonzero(np.abs(vectors).sum(axis=1) > 0).tolist():
                 names[first + i] = self.languages[best[i]]
                 scores[first + i] = min(max(likeness[i, best[i]], 0.0), 1.0)
-        return names, scores
+        return names, scores, found
+
+
+def _labelled(df: DataFrame, sample_rows: int, id_column: str, text_column: str, lang_column: str) -> DataFrame:
+    """``text, lang`` of the sample: from every language as many documents, so that none is lost as others grow."""
+    rows = df.select(
+        F.col(id_column).cast("bigint").alias("doc_id"),
+        F.col(text_column).cast("string").alias("text"),
+        F.col(lang_column).cast("string").alias("lang"),
+    ).filter("lang is not null and text is not null and doc_id is not null")
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = max(sample_rows // max(len(counts), 1), LEAST_ROWS)
+    place = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000))
+    chosen = F.lit(True)
+    for lang, n in counts.items():
+        if n > share:
+            chosen = chosen & ((F.col("lang") != lang) | (place < F.lit(int(1_000_000 * share / n) + 1)))
+    return rows.filter(chosen).select("text", "lang")
 
 
 def learn_prototypes(
@@ -135,19 +181,12 @@ def learn_prototypes(
 ) -> Prototypes:
     """Bundle the labelled documents of ``df`` into one prototype per language.
 
-    Of more than ``sample_rows`` documents a share is used, chosen by a hash of the id, of about that
-    many in all; null languages and texts are left out. Every document weighs the same whatever its
-    length. Tasks add up their own documents, so what is gathered is one vector per language.
+    About ``sample_rows`` documents are used, the same number of each language, chosen by a hash of the id; of a
+    language that has fewer, all, so every language keeps a prototype at any size. Null languages and
+    texts are left out. Every document weighs the same whatever its length. Tasks add up their own
+    documents, so what is gathered is one vector per language.
     """
-    rows = df.select(
-        F.col(id_column).cast("bigint").alias("doc_id"),
-        F.col(text_column).cast("string").alias("text"),
-        F.col(lang_column).cast("string").alias("lang"),
-    ).filter("lang is not null and text is not null and doc_id is not null")
-    found = rows.count()
-    if found > sample_rows:
-        place = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000))
-        rows = rows.filter(place < F.lit(int(1_000_000 * sample_rows / found) + 1))
+    rows = _labelled(df, sample_rows, id_column, text_column, lang_column)
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -161,7 +200,7 @@ def learn_prototypes(
         arrays = [pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(arrays, names=["lang", "vector"])
 
-    parts = map_in_arrow(rows.select("text", "lang"), bundle, "lang string, vector array<bigint>")
+    parts = map_in_arrow(rows, bundle, "lang string, vector array<bigint>")
     summed = parts.select("lang", F.posexplode("vector").alias("at", "value")).groupBy("lang", "at").agg(F.sum("value").alias("value"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"])
     table = stage(summed.groupBy("lang").agg(ordered.alias("vector")), "prototypes").df
@@ -196,14 +235,44 @@ def identify(df: DataFrame, prototypes: Prototypes, id_column: str = "doc_id", t
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def in_known_language(df: DataFrame, prototypes: Prototypes, min_score: float = MIN_SCORE, text_column: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, whose text is in a learned language: not ``und``, and near enough."""
+def least_scores(
+    df: DataFrame, prototypes: Prototypes, sample_rows: int = SAMPLE_ROWS, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang"
+) -> dict[int, float]:
+    """By size of a text (see ``sizes``), the score that a text in a learned language reaches, measured on labelled ones.
+
+    The bar for a size is a share of the score that all but one in a thousand of the labelled texts of
+    that size reach. Sizes with few labelled texts are left out; the next smaller one that is known
+    counts for them, as scores rise with the number of different trigrams.
+    """
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores, found = prototypes.profile(batch.column(0))
+            known = pa.array([n != UNKNOWN for n in names], pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(scores)], names=["size", "score"]).filter(known)
+
+    rows = _labelled(df, sample_rows, id_column, text_column, lang_column)
+    measured = map_in_arrow(rows, measure, "size bigint, score double").groupBy("size")
+    bars = measured.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("score", F.lit(_BAR_QUANTILE), F.lit(20_000)).alias("score"))
+    return {r["size"]: _BAR_SHARE * r["score"] for r in bars.collect() if r["n"] >= _BAR_ROWS}
+
+
+def is_known(names: list[str], scores: np.ndarray, found: np.ndarray, least: dict[int, float]) -> np.ndarray:
+    """Whether texts are in a learned language: not ``und``, and up to the bar for their size."""
+    bars = np.full(64, MIN_SCORE)
+    for size in range(64):
+        known = [s for s in least if s <= size]
+        if known:
+            bars[size] = max(least[max(known)], MIN_SCORE)
+    return np.array([n != UNKNOWN for n in names], dtype=bool) & (scores >= bars[found])
+
+
+def in_known_language(df: DataFrame, prototypes: Prototypes, least: dict[int, float] | None = None, text_column: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, whose text is in a learned language: not ``und``, and near enough for its size."""
     place = df.columns.index(text_column)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = prototypes.predict(batch.column(place))
-            known = np.array([n != UNKNOWN for n in names], dtype=bool) & (scores >= min_score)
-            yield batch.filter(pa.array(known, pa.bool_()))
+            yield batch.filter(pa.array(is_known(*prototypes.profile(batch.column(place)), least or {}), pa.bool_()))
 
     return map_in_arrow(df, keep, df.schema)
