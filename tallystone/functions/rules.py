@@ -42,6 +42,91 @@ NEW_VENDOR_POINTS = 30
 SPEND_RANK_POINTS = 20
 OUTLIER_RATE_POINTS = 10
 MAX_RISK = 100.0
-# ---------------------------------------------------------------------------------------
 
 MONEY = "decimal(18,2)"
+
+# Columns that the all-time risk model reads -> accepted names, in priority order.
+RISK_ALIASES = {
+    "vendor_name": ["vendor_name", "vendor_name_clean"],
+    "amount": ["amount"],
+    "is_outlier": ["is_outlier"],
+    "is_new_vendor_month": ["is_new_vendor_month"],
+}
+
+# Columns and types of the stage tables.
+STAGE_SILVER = {
+    "transaction_id": "string",
+    "agency_name": "string",
+    "vendor_name": "string",
+    "mcc_description": "string",
+    "description": "string",
+    "transaction_date": "date",
+    "year": "int",
+    "month": "int",
+    "yyyymm": "int",
+    "amount": MONEY,
+    "category_group": "string",
+    "amount_bucket": "string",
+    "day_of_week": "int",
+    "is_weekend": "boolean",
+}
+STAGE_VENDOR_MONTHLY = {
+    "year": "int",
+    "month": "int",
+    "vendor_name": "string",
+    "txn_count": "bigint",
+    "total_spend": MONEY,
+}
+STAGE_AGENCY_CATEGORY = {
+    "year": "int",
+    "month": "int",
+    "agency_name": "string",
+    "category_group": "string",
+    "txn_count": "bigint",
+    "total_spend": MONEY,
+}
+STAGE_ANOMALY = {
+    "transaction_id": "string",
+    "transaction_date": "date",
+    "agency_name": "string",
+    "vendor_name": "string",
+    "merchant_category": "string",
+    "category_group": "string",
+    "amount": MONEY,
+    "mean_amount": MONEY,
+    "std_amount": MONEY,
+    "is_outlier": "int",
+    "is_new_vendor_month": "int",
+    "year": "int",
+    "month": "int",
+}
+
+# Unique keys and required columns of the star's tables; a table may have several keys.
+KEYS = {
+    "dim_agency": [["agency_id"], ["agency_name"]],
+    "dim_vendor": [["vendor_id"], ["vendor_key"]],
+    "fact_transactions_clean": [["transaction_id"]],
+    "vendor_monthly_spend": [["yyyymm", "vendor_id"]],
+    "agency_category_spend": [["yyyymm", "agency_id", "category_group"]],
+    "transaction_anomaly": [["transaction_id"]],
+    "vendor_risk_scores": [["yyyymm", "vendor_id"]],
+}
+REQUIRED_COLUMNS = {
+    "dim_agency": ["agency_id", "agency_name"],
+    "dim_vendor": ["vendor_id", "vendor_key", "vendor_name_clean"],
+    "fact_transactions_clean": [
+        "transaction_id", "agency_id", "vendor_id", "transaction_date", "year", "month", "yyyymm", "amount",
+    ],
+    "vendor_monthly_spend": [
+        "yyyymm", "year", "month", "vendor_id", "vendor_name_clean", "txn_count", "total_spend", "avg_spend",
+    ],
+    "agency_category_spend": [
+        "yyyymm", "year", "month", "agency_id", "agency_name", "category_group", "txn_count", "total_spend", "avg_spend",
+    ],
+    "transaction_anomaly": [
+        "transaction_id", "yyyymm", "transaction_date", "amount", "agency_id", "vendor_id",
+        "is_outlier", "is_high_amount", "is_new_vendor",
+    ],
+    "vendor_risk_scores": ["yyyymm", "vendor_id", "vendor_name_clean", "outlier_txn", "new_vendor_txn", "risk_score"],
+}
+# ---------------------------------------------------------------------------------------

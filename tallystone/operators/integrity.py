@@ -8,70 +8,46 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallystone.functions.rules import KEYS, REQUIRED_COLUMNS
+
 
 @dataclass(frozen=True)
 class Rules:
     """Constraints of one table; ``references`` maps a column to (dimension table, its column)."""
 
-    key: Sequence[str]
+    keys: Sequence[Sequence[str]]
     required: Sequence[str] = ()
     references: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
 
-_AGENCY = {"agency_id": ("dim_agency", "agency_id")}
-_VENDOR = {"vendor_id": ("dim_vendor", "vendor_id")}
-
-STAR_RULES = {
-    "fact_transactions_clean": Rules(
-        ["transaction_id"],
-        ["transaction_id", "agency_id", "vendor_id", "transaction_date", "year", "month", "yyyymm", "amount"],
-        _AGENCY | _VENDOR,
-    ),
-    "vendor_monthly_spend": Rules(
-        ["yyyymm", "vendor_id"],
-        ["yyyymm", "year", "month", "vendor_id", "vendor_name_clean", "txn_count", "total_spend", "avg_spend"],
-        _VENDOR,
-    ),
-    "agency_category_spend": Rules(
-        ["yyyymm", "agency_id", "category_group"],
-        ["yyyymm", "year", "month", "agency_id", "agency_name", "category_group", "txn_count", "total_spend", "avg_spend"],
-        _AGENCY,
-    ),
-    "transaction_anomaly": Rules(
-        ["transaction_id"],
-        [
-            "transaction_id", "yyyymm", "transaction_date", "amount", "agency_id", "vendor_id",
-            "is_outlier", "is_high_amount", "is_new_vendor",
-        ],
-        _AGENCY | _VENDOR,
-    ),
-    "vendor_risk_scores": Rules(
-        ["yyyymm", "vendor_id"],
-        ["yyyymm", "vendor_id", "vendor_name_clean", "outlier_txn", "new_vendor_txn", "risk_score"],
-        _VENDOR,
-    ),
-}
-DIM_RULES = {
-    "dim_agency": [Rules(["agency_id"], ["agency_id", "agency_name"]), Rules(["agency_name"])],
-    "dim_vendor": [Rules(["vendor_id"], ["vendor_id", "vendor_key", "vendor_name_clean"]), Rules(["vendor_key"])],
-}
-
-
-def violations(name: str, tables: Mapping[str, DataFrame], rules: Rules) -> DataFrame:
+_REFERENCES = {"agency_id": ("dim_agency", "agency_id"), "vendor_id": ("dim_vendor", "vendor_id")}
+
+
+def _rules(table: str) -> Rules:
+    required = REQUIRED_COLUMNS[table]
+    refers = {c: to for c, to in _REFERENCES.items() if c in required and to[0] != table}
+    return Rules(KEYS[table], required, refers)
+
+
+STAR_RULES = {table: _rules(table) for table in KEYS}
+
+
+def violations(name: str, tables: Mapping[str, DataFrame], rules: Rules, nulls_checked: bool = False) -> DataFrame:
     """Rows (table_name, rule, offenders), one per broken rule of one table; none when it is sound.
 
     Every check aggregates before it compares: keys are counted, NULLs are counted in one pass,
-    references are compared as distinct ids.
+    references are compared as distinct ids. With ``nulls_checked`` that pass is left out.
     """
     table = tables[name]
     checks = [
-        table.groupBy(*rules.key)
+        table.groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .agg(F.count(F.lit(1)).alias("offenders"))
-        .select(F.lit(f"unique {', '.join(rules.key)}").alias("rule"), "offenders")
+        .select(F.lit(f"unique {', '.join(key)}").alias("rule"), "offenders")
+        for key in rules.keys
     ]
-    if rules.required:
+    if rules.required and not nulls_checked:
         counts = [F.count_if(F.col(c).isNull()).alias(c) for c in rules.required]
         checks.append(
             table.agg(*counts)
@@ -97,18 +73,15 @@ def violations(name: str, tables: Mapping[str, DataFrame], rules: Rules) -> Data
     )
 
 
-def star_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
+def star_violations(tables: Mapping[str, DataFrame], nulls_checked: bool = False) -> DataFrame:
     """Violations of all tables of the star that are present."""
-    checked = [(name, rules) for name, rules in STAR_RULES.items()]
-    checked += [(name, rules) for name, several in DIM_RULES.items() for rules in several]
-    return reduce(
-        DataFrame.unionByName, [violations(name, tables, rules) for name, rules in checked if name in tables]
-    )
+    found = [violations(name, tables, rules, nulls_checked) for name, rules in STAR_RULES.items() if name in tables]
+    return reduce(DataFrame.unionByName, found)
 
 
-def check_integrity(tables: Mapping[str, DataFrame]) -> None:
+def check_integrity(tables: Mapping[str, DataFrame], nulls_checked: bool = False) -> None:
     """Raise when any rule is broken."""
-    broken = star_violations(tables).collect()  # at most one row per rule
+    broken = star_violations(tables, nulls_checked).collect()  # at most one row per rule
     if broken:
         found = "; ".join(f"{r.table_name}: {r.rule} ({r.offenders})" for r in broken)
         raise ValueError(f"integrity check failed: {found}")

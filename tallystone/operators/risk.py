@@ -5,22 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallystone.functions import flags
+from tallystone.functions.rules import RISK_ALIASES
 from tallystone.operators.ranking import percent_rank
 from tallystone.sources.columns import quoted, require_fields, resolve_column
 from tallystone.sources.tables import stage
 
-INPUT_ALIASES = {
-    "vendor_name": ["vendor_name", "vendor_name_clean"],
-    "amount": ["amount"],
-    "is_outlier": ["is_outlier"],
-    "is_new_vendor_month": ["is_new_vendor_month"],
-}
-
-
 def risk_input(anomaly: DataFrame) -> DataFrame:
     """The four columns the model needs. Amounts stay decimal so that equal totals are exactly equal."""
-    found = {field: resolve_column(anomaly.columns, names) for field, names in INPUT_ALIASES.items()}
-    require_fields(found, anomaly.columns, list(INPUT_ALIASES))
+    found = {field: resolve_column(anomaly.columns, names) for field, names in RISK_ALIASES.items()}
+    require_fields(found, anomaly.columns, list(RISK_ALIASES))
     types = {"vendor_name": "string", "amount": "decimal(18,2)", "is_outlier": "int", "is_new_vendor_month": "int"}
     return anomaly.select(*[quoted(found[field]).cast(to).alias(field) for field, to in types.items()])
 

@@ -15,52 +15,10 @@ from tallystone.sources.tables import Staged, stage
 
 # ---- stage tables -----------------------------------------------------------------------
 
-STAGE_SILVER = {
-    "transaction_id": "string",
-    "agency_name": "string",
-    "vendor_name": "string",
-    "mcc_description": "string",
-    "description": "string",
-    "transaction_date": "date",
-    "year": "int",
-    "month": "int",
-    "yyyymm": "int",
-    "amount": rules.MONEY,
-    "category_group": "string",
-    "amount_bucket": "string",
-    "day_of_week": "int",
-    "is_weekend": "boolean",
-}
-STAGE_VENDOR_MONTHLY = {
-    "year": "int",
-    "month": "int",
-    "vendor_name": "string",
-    "txn_count": "bigint",
-    "total_spend": rules.MONEY,
-}
-STAGE_AGENCY_CATEGORY = {
-    "year": "int",
-    "month": "int",
-    "agency_name": "string",
-    "category_group": "string",
-    "txn_count": "bigint",
-    "total_spend": rules.MONEY,
-}
-STAGE_ANOMALY = {
-    "transaction_id": "string",
-    "transaction_date": "date",
-    "agency_name": "string",
-    "vendor_name": "string",
-    "merchant_category": "string",
-    "category_group": "string",
-    "amount": rules.MONEY,
-    "mean_amount": rules.MONEY,
-    "std_amount": rules.MONEY,
-    "is_outlier": "int",
-    "is_new_vendor_month": "int",
-    "year": "int",
-    "month": "int",
-}
+STAGE_SILVER = rules.STAGE_SILVER
+STAGE_VENDOR_MONTHLY = rules.STAGE_VENDOR_MONTHLY
+STAGE_AGENCY_CATEGORY = rules.STAGE_AGENCY_CATEGORY
+STAGE_ANOMALY = rules.STAGE_ANOMALY
 
 
 def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -121,7 +79,7 @@ def vendor_candidates(*tables: DataFrame) -> DataFrame:
     """Distinct vendors of all tables with their natural key."""
     name = F.col("vendor_name")
     return _names("vendor_name", tables, vendor_name_clean=text.normalize_vendor(name)).select(
-        F.md5("vendor_name_clean").alias("vendor_key"), "vendor_name_clean"
+        text.vendor_key(F.col("vendor_name_clean")).alias("vendor_key"), "vendor_name_clean"
     )
 
 
@@ -207,6 +165,30 @@ def load_fact(staged_silver: DataFrame, dim_agency: Staged, dim_vendor: Staged)
     )
 
 
+def name_vendor_monthly(staged: DataFrame) -> DataFrame:
+    """The rows of ``load_vendor_monthly`` under their names, without ids: every name that is not blank has one."""
+    named = staged.filter(~text.is_blank(F.col("vendor_name"))).withColumnsRenamed({"vendor_name": "vendor_name_clean"})
+    clean = text.normalize_vendor(F.col("vendor_name_clean"))
+    return named.withColumns({"yyyymm": yyyymm(F.col("year"), F.col("month")), "vendor_name_clean": clean})
+
+
+def name_agency_category(staged: DataFrame) -> DataFrame:
+    """The rows of ``load_agency_category`` under their names, without ids."""
+    named = staged.filter(~text.is_blank(F.col("agency_name")))
+    clean = text.normalize_agency(F.col("agency_name"))
+    return named.withColumns({"yyyymm": yyyymm(F.col("year"), F.col("month")), "agency_name": clean})
+
+
+def name_flags(staged: DataFrame) -> DataFrame:
+    """Month and both flags of the rows of ``load_anomaly``, without ids."""
+    known = F.col("transaction_id").isNotNull() & ~text.is_blank(F.col("vendor_name")) & ~text.is_blank(F.col("agency_name"))
+    return staged.filter(known).select(
+        yyyymm(F.col("year"), F.col("month")).alias("yyyymm"),
+        (F.col("is_outlier") == 1).alias("is_outlier"),
+        (F.col("is_new_vendor_month") == 1).alias("is_new_vendor"),
+    )
+
+
 def load_vendor_monthly(staged: DataFrame, dim_vendor: Staged) -> DataFrame:
     return _with_vendor(staged, dim_vendor).select(
         yyyymm(F.col("year"), F.col("month")).alias("yyyymm"),

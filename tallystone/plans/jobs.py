@@ -7,16 +7,17 @@ Folder layout under the data folder: ``bronze/``, ``silver/``, ``gold/``, ``corp
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystone.operators import gold, integrity, risk, serving
+from tallystone.operators import gold, integrity, quality, risk, serving
 from tallystone.operators.silver import build_silver
-from tallystone.plans.warehouse import Warehouse
+from tallystone.plans.warehouse import STAR, Warehouse
 from tallystone.sources.bronze import read_bronze, read_bronze_csv
 from tallystone.sources.columns import gold_columns
 from tallystone.sources.tables import export_csv, read_csv, read_table, stage, write_table
-from tallystone.sources.versions import current_tables, publish
+from tallystone.sources.versions import VersionFolder, current_tables, publish
 from tallystone.streaming.arrivals import land_arrivals
 
 FACT_PARTITIONS = {"fact_transactions_clean": ["yyyymm"], "transaction_anomaly": ["yyyymm"]}
@@ -91,23 +92,40 @@ def run_serving(spark: SparkSession, data: str, source: str = "parquet", keep_ve
     return reload_star(spark, warehouse, f"{data}/corp", keep_versions)
 
 
-def reload_star(spark: SparkSession, warehouse: Warehouse, root: str, keep_versions: int = 2) -> str:
-    """Publish the warehouse's star as one version. The risk mart is derived from the written anomaly mart."""
+STAMPS = {name: "ingested_at" if name.startswith("fact_") else "created_at" for name in STAR.values() if not name.startswith("dim_")}
+METRICS = "load_metrics"
 
-    def risk_mart(written):
-        return serving.vendor_risk_monthly(written["transaction_anomaly"], warehouse.dim_vendor)
 
-    fact = serving.audit_column(warehouse.fact, "ingested_at")
-    tables = {
-        "dim_agency": warehouse.dim_agency.df,
-        "dim_vendor": warehouse.dim_vendor.df,
-        "fact_transactions_clean": fact,
-        "vendor_monthly_spend": serving.audit_column(warehouse.mart_vendor_monthly),
-        "agency_category_spend": serving.audit_column(warehouse.mart_agency_category),
-        "transaction_anomaly": serving.audit_column(warehouse.mart_anomaly),
-        "vendor_risk_scores": lambda written: serving.audit_column(risk_mart(written)),
-    }
-    return publish(spark, root, tables, integrity.check_integrity, FACT_PARTITIONS, keep_versions)
+def reload_star(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    root: str,
+    keep_versions: int = 2,
+    limits: Sequence[quality.Limit] | None = None,
+    least_share: float = 0.0,
+) -> str:
+    """Publish the warehouse's star as one version; its tables are written once, straight into the version's folder.
+
+    The writes count rows, NULLs and value ranges as they go; the counts are held against ``limits`` and
+    against ``least_share`` of the rows of the version before, and published as ``load_metrics``. NULLs are
+    therefore not looked for again; keys and references are.
+    """
+    previous = current_tables(spark, root, [METRICS], missing_ok=True).get(METRICS)
+
+    def check(folder: VersionFolder) -> None:
+        metrics = folder.metrics
+        own = quality.default_limits() if limits is None else list(limits)
+        if previous is not None:
+            own += quality.shrunk(metrics, previous, least_share)
+        quality.check_quality(metrics, own)
+        integrity.check_integrity(folder, nulls_checked=limits is None)
+        folder.write(METRICS, quality.metric_rows(spark, metrics))
+
+    try:
+        return publish(spark, root, warehouse.write_star, check, FACT_PARTITIONS, keep_versions, STAMPS, quality.measures)
+    except BaseException:
+        warehouse.forget_star()
+        raise
 
 
 def main() -> None:

@@ -5,20 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallystone.operators import serving
-from tallystone.plans.warehouse import Warehouse
+from tallystone.plans.warehouse import STAR, Warehouse
 from tallystone.sources.tables import Staged, read_table
 from tallystone.sources.versions import current_tables
 
 # corp table -> warehouse layer
-_CORP = {
-    "dim_agency": "dim_agency",
-    "dim_vendor": "dim_vendor",
-    "fact_transactions_clean": "fact",
-    "vendor_monthly_spend": "mart_vendor_monthly",
-    "agency_category_spend": "mart_agency_category",
-    "transaction_anomaly": "mart_anomaly",
-    "vendor_risk_scores": "mart_vendor_risk",
-}
+_CORP = {table: layer for layer, table in STAR.items()}
 _STAGE = {
     "silver_spend_clean_raw": "stage_silver",
     "gold_vendor_monthly_raw": "stage_vendor_monthly",

@@ -9,16 +9,36 @@ from functools import cached_property, partial
 from pyspark.sql import DataFrame
 
 from tallystone.operators import gold, reports, risk, serving, silver, views
+from tallystone.operators.lookup import fits_broadcast
 from tallystone.sources.columns import gold_columns
-from tallystone.sources.tables import Staged, stage
+from tallystone.sources.tables import Staged, observe_size, stage
+from tallystone.sources.versions import VersionFolder
+
+
+# Layer -> table of the star.
+STAR = {
+    "dim_agency": "dim_agency",
+    "dim_vendor": "dim_vendor",
+    "fact": "fact_transactions_clean",
+    "mart_vendor_monthly": "vendor_monthly_spend",
+    "mart_agency_category": "agency_category_spend",
+    "mart_anomaly": "transaction_anomaly",
+    "mart_vendor_risk": "vendor_risk_scores",
+}
+# What fact and gold need of silver: 14 of its 19 columns, raw texts and time of day left out.
+_CORE = [
+    "transaction_id", "agency_name_clean", "vendor_name_clean", "mcc_description", "description", "transaction_date",
+    "year", "month", "yyyymm", "amount", "category_group", "amount_bucket", "day_of_week", "is_weekend",
+]
 
 
 class Warehouse:
     """Bronze to views.
 
     What several layers read is staged (written once, read back with column pruning), whatever its size:
-    the silver table, the monthly spend, the lookups, the dimensions, anomalies, fact and marts. So the
-    calendar's bounds are a scan of one column of the written fact. Everything else stays a query.
+    the cleaned rows, the monthly spend, the lookups, the dimensions, fact and marts. Everything else stays
+    a query; what only one reader needs is not written for it. ``write_into`` names the folder that the
+    star's tables are written to instead, once each, and read back from by the layers above.
     ``published`` may hold the dimensions of an earlier load, ``dim_agency`` and ``dim_vendor``.
     """
 
@@ -26,6 +46,7 @@ class Warehouse:
         self.bronze = bronze
         self.published = published or {}
         self._given: frozenset[str] = frozenset()
+        self._folder: VersionFolder | None = None
 
     @classmethod
     def from_tables(cls, published: Mapping[str, DataFrame] | None = None, **tables: DataFrame) -> Warehouse:
@@ -35,6 +56,44 @@ class Warehouse:
         warehouse.__dict__.update(tables)  # where cached_property keeps its values
         return warehouse
 
+    def _has(self, layer: str) -> bool:
+        return layer in self.__dict__
+
+    def _kept(self, layer: str, df: DataFrame, always: bool = True) -> DataFrame:
+        """A table of the star: written into the version's folder if there is one, else staged, or left a query."""
+        if self._folder is not None:
+            return self._folder.write(STAR[layer], df)
+        return stage(df, layer).df if always else df
+
+    def _kept_dimension(self, layer: str, df: DataFrame) -> Staged:
+        """The same for a dimension, whose size is counted with the write."""
+        if self._folder is None:
+            return stage(df, layer, measured=True)
+        df, sizes = observe_size(df)
+        return Staged(self._folder.write(STAR[layer], df), measured=sizes)
+
+    def write_star(self, folder: VersionFolder) -> None:
+        """Write every table of the star into ``folder``; this warehouse reads them from there from now on.
+
+        Tables that are not built yet are written as they are built, those that exist already are copied.
+        """
+        built = [layer for layer in STAR if self._has(layer)]
+        for layer in built:
+            value = self.__dict__[layer]
+            is_staged = isinstance(value, Staged)
+            written = folder.write(STAR[layer], value.df if is_staged else value)
+            self.__dict__[layer] = Staged(written) if is_staged else written
+        self._folder = folder
+        try:
+            self.star()
+        finally:
+            self._folder = None
+
+    def forget_star(self) -> None:
+        """Drop the star's tables, after the folder that they were written into is gone."""
+        for layer in STAR:
+            self.__dict__.pop(layer, None)
+
     def _build(self, *layers: str) -> None:
         """Build layers that do not depend on each other at the same time.
 
@@ -51,11 +110,19 @@ class Warehouse:
     def silver(self) -> DataFrame:
         return stage(silver.build_silver(self.bronze), "silver").df
 
+    @cached_property
+    def core(self) -> DataFrame:
+        """The columns that fact and gold need, written in one pass."""
+        if self._has("silver"):
+            return self.silver.select(*_CORE)
+        return stage(silver.build_silver(self.bronze).select(*_CORE), "core").df
+
     @cached_property
     def cleaned(self) -> DataFrame:
-        """The columns gold needs. Unless the whole silver table exists already, only these are written."""
-        if "silver" in self.__dict__:
-            return gold_columns(self.silver)
+        """The columns gold needs. Unless silver or its core exist already, only these are written."""
+        for layer in ("silver", "core"):
+            if self._has(layer):
+                return gold_columns(self.__dict__[layer])
         return stage(gold_columns(silver.build_silver(self.bronze)), "cleaned").df
 
     @cached_property
@@ -68,19 +135,35 @@ class Warehouse:
 
     @cached_property
     def category_stats(self) -> Staged:
-        return stage(gold.category_stats(self.cleaned), "category-stats")
+        return stage(gold.category_stats(self.cleaned), "category-stats", measured=True)
 
     @cached_property
     def first_seen(self) -> Staged:
         """From the monthly spend when that exists already, as it is far smaller."""
         source = self.vendor_monthly if "vendor_monthly" in self.__dict__ else self.cleaned
-        return stage(gold.vendor_first_seen(source), "first-seen")
+        return stage(gold.vendor_first_seen(source), "first-seen", measured=True)
 
     @cached_property
     def anomaly(self) -> DataFrame:
+        return stage(self._flagged(), "anomaly").df
+
+    def _flagged(self) -> DataFrame:
+        """The anomaly rows as a query over written lookups."""
         self._build("cleaned")
         self._build("category_stats", "first_seen")
-        return stage(gold.transaction_anomaly(self.cleaned, self.category_stats, self.first_seen), "anomaly").df
+        return gold.transaction_anomaly(self.cleaned, self.category_stats, self.first_seen)
+
+    def _anomaly_once(self, *lookups: Staged) -> DataFrame:
+        """Anomalies for a single reader that attaches ``lookups`` to them.
+
+        Not written for it if nothing is larger than a broadcast, as they are read in one pass then; a
+        larger lookup reads its rows several times.
+        """
+        if not self._has("anomaly"):
+            flagged = self._flagged()
+            if all(fits_broadcast(x) for x in (self.category_stats, self.first_seen, *lookups)):
+                return flagged
+        return self.anomaly
 
     @cached_property
     def vendor_risk(self) -> DataFrame:
@@ -122,69 +205,73 @@ class Warehouse:
     @cached_property
     def dim_agency(self) -> Staged:
         candidates = serving.agency_candidates(*self._name_sources("agency_category"))
-        return stage(serving.upsert_dim_agency(candidates, self.published.get("dim_agency")), "dim-agency")
+        return self._kept_dimension("dim_agency", serving.upsert_dim_agency(candidates, self.published.get("dim_agency")))
 
     @cached_property
     def dim_vendor(self) -> Staged:
         candidates = serving.vendor_candidates(*self._name_sources("vendor_monthly"))
-        return stage(serving.upsert_dim_vendor(candidates, self.published.get("dim_vendor")), "dim-vendor")
+        return self._kept_dimension("dim_vendor", serving.upsert_dim_vendor(candidates, self.published.get("dim_vendor")))
 
     def _build_dimensions(self) -> None:
-        if {"vendor_monthly", "agency_category"} - set(self.__dict__):
+        if not (self._has("vendor_monthly") and self._has("agency_category")):
             self._build("cleaned")
         self._build("vendor_monthly", "agency_category")
         self._build("dim_agency", "dim_vendor")
 
     @cached_property
     def fact(self) -> DataFrame:
-        self._build("silver")
+        if self._has("silver"):
+            rows = self.stage_silver
+        else:
+            named = {"agency_name_clean": "agency_name", "vendor_name_clean": "vendor_name"}
+            rows = serving.stage_silver(self.core.withColumnsRenamed(named))
         self._build_dimensions()
-        return stage(serving.load_fact(self.stage_silver, self.dim_agency, self.dim_vendor), "fact").df
+        return self._kept("fact", serving.load_fact(rows, self.dim_agency, self.dim_vendor))
 
     @cached_property
     def mart_vendor_monthly(self) -> DataFrame:
-        return stage(serving.load_vendor_monthly(self.stage_vendor_monthly, self.dim_vendor), "mart-vendor-monthly").df
+        return self._kept("mart_vendor_monthly", serving.load_vendor_monthly(self.stage_vendor_monthly, self.dim_vendor))
 
     @cached_property
     def mart_agency_category(self) -> DataFrame:
-        return serving.load_agency_category(self.stage_agency_category, self.dim_agency)
+        loaded = serving.load_agency_category(self.stage_agency_category, self.dim_agency)
+        return self._kept("mart_agency_category", loaded, always=False)
 
     @cached_property
     def mart_anomaly(self) -> DataFrame:
-        if "anomaly" not in self.__dict__:
+        if not self._has("anomaly"):
             self._build("cleaned")
             self._build("category_stats", "vendor_monthly", "agency_category")
             self._build("first_seen", "dim_agency", "dim_vendor")
         self._build_dimensions()
-        return stage(serving.load_anomaly(self.stage_anomaly, self.dim_agency, self.dim_vendor), "mart-anomaly").df
+        flagged = serving.stage_anomaly(self._anomaly_once(self.dim_agency, self.dim_vendor))
+        return self._kept("mart_anomaly", serving.load_anomaly(flagged, self.dim_agency, self.dim_vendor))
 
     @cached_property
     def mart_vendor_risk(self) -> DataFrame:
-        return serving.vendor_risk_monthly(self.mart_anomaly, self.dim_vendor)
+        return self._kept("mart_vendor_risk", serving.vendor_risk_monthly(self.mart_anomaly, self.dim_vendor), always=False)
 
     def marts(self) -> dict[str, DataFrame]:
         """Fact and marts by table name."""
-        return {
-            "fact_transactions_clean": self.fact,
-            "vendor_monthly_spend": self.mart_vendor_monthly,
-            "agency_category_spend": self.mart_agency_category,
-            "transaction_anomaly": self.mart_anomaly,
-            "vendor_risk_scores": self.mart_vendor_risk,
-        }
+        return {table: getattr(self, layer) for layer, table in STAR.items() if not layer.startswith("dim_")}
 
     def star(self) -> dict[str, DataFrame]:
-        marts = self.marts()  # first: the fact needs the whole silver table
+        marts = self.marts()  # first: the fact needs more of silver than gold does
         return {"dim_agency": self.dim_agency.df, "dim_vendor": self.dim_vendor.df, **marts}
 
-    # ---- views ----
+    # ---- views: those that show names only need no ids, and so no dimensions, unless the marts exist ----
 
     @cached_property
     def v_vendor_monthly_spend(self) -> DataFrame:
-        return views.v_vendor_monthly_spend(self.mart_vendor_monthly)
+        if self._has("mart_vendor_monthly"):
+            return views.v_vendor_monthly_spend(self.mart_vendor_monthly)
+        return views.v_vendor_monthly_spend(serving.name_vendor_monthly(self.stage_vendor_monthly))
 
     @cached_property
     def v_agency_category_spend(self) -> DataFrame:
-        return views.v_agency_category_spend(self.mart_agency_category)
+        if self._has("mart_agency_category"):
+            return views.v_agency_category_spend(self.mart_agency_category)
+        return views.v_agency_category_spend(serving.name_agency_category(self.stage_agency_category))
 
     @cached_property
     def v_transaction_anomaly(self) -> DataFrame:
@@ -204,8 +291,13 @@ class Warehouse:
 
     @cached_property
     def v_exec_kpi(self) -> DataFrame:
-        anomaly = self.mart_anomaly  # first: builds what both need at once
-        return views.v_exec_kpi(self.v_vendor_monthly_spend, anomaly)
+        if self._has("mart_anomaly"):
+            flagged = self.mart_anomaly
+        else:
+            self._build("cleaned")
+            self._build("category_stats", "vendor_monthly")
+            flagged = serving.name_flags(serving.stage_anomaly(self._anomaly_once()))
+        return views.v_exec_kpi(self.v_vendor_monthly_spend, flagged)
 
     @cached_property
     def kpi_totals(self) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -80,21 +80,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app].name
 
 
+def _width(df: DataFrame) -> Column:
+    """Estimated size of a row in memory: text bytes plus 16 per field."""
+    texts = [f.name for f in df.schema.fields if f.dataType == T.StringType()]
+    return sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(16 * len(df.columns))).cast("bigint")
+
+
 class Staged:
     """A table written to the shared folder, whose size can be asked for before it is broadcast."""
 
-    def __init__(self, df: DataFrame, whole: Staged | None = None):
+    def __init__(self, df: DataFrame, whole: Staged | None = None, measured: Observation | None = None):
         self.df = df
         self._whole = whole
+        self._measured = measured
+
+    @cached_property
+    def _sizes(self) -> dict:
+        if self._measured is not None:
+            return self._measured.get
+        return self.df.agg(F.sum(_width(self.df)).alias("bytes"), F.count(F.lit(1)).alias("rows")).first().asDict()
 
     @cached_property
     def bytes(self) -> int:
-        """Estimated size in memory: text bytes plus 16 per field. One small job on the written table."""
-        if self._whole is not None:
-            return self._whole.bytes
-        texts = [f.name for f in self.df.schema.fields if f.dataType == T.StringType()]
-        width = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(16 * len(self.df.columns)))
-        return self.df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+        """Estimated size in memory. Known from the write if it was measured, else one small job on the written table."""
+        return self._whole.bytes if self._whole is not None else self._sizes["bytes"] or 0
+
+    @cached_property
+    def rows(self) -> int:
+        return self._whole.rows if self._whole is not None else self._sizes["rows"] or 0
 
     def select(self, *columns) -> Staged:
         """Fewer columns of the same rows; the whole table's size is taken as an upper bound."""
@@ -119,6 +132,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(jvm_path, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, jvm_path = _file_system(spark, path)
+    return system.exists(jvm_path)
+
+
 def release_staged(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application now; DataFrames that read them end with it."""
     remove_folder(spark, _application_folder(spark))
@@ -135,12 +153,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> Staged:
+def observe_size(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, whose number and size are counted on the way by whatever runs them first."""
+    measured = Observation()
+    return df.observe(measured, F.sum(_width(df)).alias("bytes"), F.count(F.lit(1)).alias("rows")), measured
+
+
+def stage(df: DataFrame, label: str, measured: bool = False) -> Staged:
     """Write a DataFrame to the shared folder once and read it back.
 
     For results with several consumers: the work runs once, later plans prune columns and
-    push filters into the Parquet scan, and a lost executor costs no recomputation.
+    push filters into the Parquet scan, and a lost executor costs no recomputation. ``measured`` counts
+    rows and bytes with the write, for lookups whose size decides how they are joined.
     """
     path = scratch_path(df.sparkSession, label)
+    sizes = None
+    if measured:
+        df, sizes = observe_size(df)
     df.write.parquet(path)
-    return Staged(df.sparkSession.read.schema(df.schema).parquet(path))
+    return Staged(df.sparkSession.read.schema(df.schema).parquet(path), measured=sizes)

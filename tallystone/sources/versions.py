@@ -3,29 +3,81 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from tallystone.sources.tables import read_table, remove_folder, write_table
+from tallystone.sources.tables import exists, read_table, remove_folder, write_table
 
 _LOG = "versions"
 
 
-# A table, or how to derive it from the tables written before it.
-Publishable = DataFrame | Callable[[Mapping[str, DataFrame]], DataFrame]
+class VersionFolder(Mapping):
+    """The folder of a version while it is being written; a mapping of the tables written so far.
+
+    Tables go into it as they are built.
+
+    ``stamps`` names the column that a table's rows get their load time in. What ``measures`` gives for a
+    table is counted by the write itself; ``metrics`` holds the results by table.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        partition_by: Mapping[str, Sequence[str]] | None = None,
+        stamps: Mapping[str, str] | None = None,
+        measures: Callable[[str, DataFrame], Sequence[Column]] | None = None,
+    ):
+        self.spark, self.path = spark, path
+        self._partition_by, self._stamps, self._measures = partition_by or {}, stamps or {}, measures
+        self._written: dict[str, DataFrame] = {}
+        self._observed: dict[str, Observation] = {}
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table, once, and return it as it is read from there, without its load time."""
+        columns, path = df.columns, f"{self.path}/{name}"
+        measures = self._measures(name, df) if self._measures else []
+        if measures:
+            self._observed[name] = Observation()
+            df = df.observe(self._observed[name], *measures)
+        if name in self._stamps:
+            df = df.withColumn(self._stamps[name], F.current_timestamp())
+        write_table(df, path, self._partition_by.get(name, ()), mode="errorifexists")
+        self._written[name] = read_table(self.spark, path)
+        return self._written[name].select(*columns)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._written[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._written)
+
+    def __len__(self) -> int:
+        return len(self._written)
+
+    @property
+    def metrics(self) -> dict[str, dict]:
+        """What was counted, by table."""
+        return {name: observed.get for name, observed in self._observed.items()}
+
+
+# What is published: the tables in order, or a function that writes them into the version's folder.
+Publishable = Mapping[str, DataFrame] | Callable[[VersionFolder], None]
 
 
 def publish(
     spark: SparkSession,
     root: str,
-    tables: Mapping[str, Publishable],
-    check: Callable[[Mapping[str, DataFrame]], None],
+    tables: Publishable,
+    check: Callable[[VersionFolder], None],
     partition_by: Mapping[str, Sequence[str]] | None = None,
     keep_versions: int | None = None,
+    stamps: Mapping[str, str] | None = None,
+    measures: Callable[[str, DataFrame], Sequence[Column]] | None = None,
 ) -> str:
-    """Write all tables in order to a new version folder, check the written tables, then switch to it.
+    """Write all tables to a new version folder, check what was written, then switch to it.
 
     The switch is one record appended to the version log. When a write or a check fails nothing is
     appended, the new folder is removed, and readers keep the previous version. One writer at a time:
@@ -36,8 +88,14 @@ def publish(
         raise ValueError("keep_versions must be at least 1: the version just published")
     version = uuid.uuid4().hex
     before = _last(spark, root)
+    folder = VersionFolder(spark, f"{root}/{version}", partition_by, stamps, measures)
     try:
-        _write_checked(spark, f"{root}/{version}", tables, check, partition_by or {})
+        if callable(tables):
+            tables(folder)
+        else:
+            for name, table in tables.items():
+                folder.write(name, table)
+        check(folder)
         if _last(spark, root) != before:
             raise RuntimeError(f"another version was published under {root} meanwhile")
     except BaseException:
@@ -53,28 +111,17 @@ def publish(
     return version
 
 
-def _write_checked(
-    spark: SparkSession,
-    folder: str,
-    tables: Mapping[str, Publishable],
-    check: Callable[[Mapping[str, DataFrame]], None],
-    partition_by: Mapping[str, Sequence[str]],
-) -> None:
-    written: dict[str, DataFrame] = {}
-    for name, table in tables.items():
-        path = f"{folder}/{name}"
-        df = table if isinstance(table, DataFrame) else table(written)
-        write_table(df, path, partition_by.get(name, ()), mode="errorifexists")
-        written[name] = read_table(spark, path)
-    check(written)
-
-
-def current_tables(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    """The published tables, or none when nothing has been published yet."""
+def current_tables(spark: SparkSession, root: str, names: Sequence[str], missing_ok: bool = False) -> dict[str, DataFrame]:
+    """The published tables, or none when nothing has been published yet.
+
+    With ``missing_ok`` a table that the current version lacks is left out.
+    """
     last = _last(spark, root)
     if last is None:
         return {}
-    return {name: read_table(spark, f"{root}/{last[1]}/{name}") for name in names}
+    folder = f"{root}/{last[1]}"
+    present = [name for name in names if not missing_ok or exists(spark, f"{folder}/{name}")]
+    return {name: read_table(spark, f"{folder}/{name}") for name in present}
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
