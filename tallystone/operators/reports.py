@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallystone.operators.lookup import attach
 from tallystone.sources.tables import Staged
@@ -94,3 +94,27 @@ def date_slice(anomaly_view: DataFrame, dim_date: Staged, first: str | None = No
         F.col("date").alias("transaction_date"), "year_month", "dow_0_sun", "is_weekend", "month_start"
     )
     return attach(anomaly_view, days, "transaction_date", how="inner")
+
+
+def calendar_slice(table: DataFrame, calendar: DataFrame, where: Column, days: bool = False) -> DataFrame:
+    """Rows of a published table, stored in a folder per month, whose month (or day) the calendar's condition picks.
+
+    The condition is on the calendar only. Its months are known before the table is scanned, so only their
+    folders are read (dynamic partition pruning); with ``days`` rows are also matched by date. A calendar has
+    at most 119,988 months, or 3.7 million days of three small columns, so it can be broadcast.
+    """
+    picked = calendar.filter(where)
+    if not days:
+        return table.join(F.broadcast(picked.select("yyyymm", "year_month")), "yyyymm")
+    keys = picked.select("yyyymm", F.col("date").alias("transaction_date"), "dow_0_sun")
+    return table.join(F.broadcast(keys), ["yyyymm", "transaction_date"])
+
+
+def concentration(vendor_monthly_view: DataFrame, n: int = 10) -> DataFrame:
+    """The vendors with the highest spend, their share of all spend and the share of all down to them."""
+    per_vendor = vendor_monthly_view.groupBy("vendor_name_clean").agg(F.sum("total_spend").alias("spend"))
+    total = per_vendor.agg(F.sum("spend").alias("total"))
+    top = per_vendor.orderBy(F.desc("spend"), "vendor_name_clean").limit(n).crossJoin(F.broadcast(total))  # one row
+    share = lambda x: (x.cast("double") / F.col("total").cast("double"))
+    down_to = F.sum("spend").over(Window.orderBy(F.desc("spend"), "vendor_name_clean"))  # over n rows
+    return top.select("vendor_name_clean", "spend", share(F.col("spend")).alias("share"), share(down_to).alias("cumulative_share"))

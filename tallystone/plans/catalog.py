@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallystone.functions import dates, flags, money, text
-from tallystone.operators import gold, integrity, reports, risk, serving, silver
+from tallystone.operators import activity, gold, integrity, quality, quantiles, reports, risk, serving, silver
+from tallystone.operators.lookup import attach
 from tallystone.operators.ranking import percent_rank
 from tallystone.plans import jobs, namespaces
 from tallystone.plans.warehouse import Warehouse
@@ -19,7 +20,7 @@ from tallystone.sources import bronze as bronze_files
 from tallystone.sources.columns import gold_columns, missing, resolve_fields
 from tallystone.sources.fixture import spend_bronze
 from tallystone.sources.tables import export_csv, read_csv, read_table, scratch_path, stage, write_table
-from tallystone.sources.versions import current_tables
+from tallystone.sources.versions import VersionFolder, current_tables
 from tallystone.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -570,6 +571,111 @@ def check_integrity(spark, sf_dir):
     return integrity.star_violations({name: star[name] for name in ("fact_transactions_clean", "dim_agency", "dim_vendor")})
 
 
+def _spoilt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of a fact written with faults: amounts missing, negative or zero, and dates of another age."""
+    fact = _warehouse(spark, sf_dir).fact
+    order = F.col("transaction_id").cast("bigint")
+    spoilt = fact.withColumns(
+        {
+            "amount": F.when(order % 89 == 0, None).when(order % 97 == 0, -F.col("amount")).otherwise(F.col("amount")),
+            "transaction_date": F.when(order % 83 == 0, F.lit("1850-01-01").cast("date")).otherwise(F.col("transaction_date")),
+        }
+    )
+    folder = VersionFolder(spark, scratch_path(spark, "version"), measures=quality.measures)
+    folder.write("fact_transactions_clean", spoilt)
+    return quality.metric_rows(spark, folder.metrics)
+
+
+@query
+def quality_metrics(spark, sf_dir):
+    """What the writes of a published star counted."""
+    root = scratch_path(spark, "corp")
+    jobs.reload_star(spark, _warehouse(spark, sf_dir), root)
+    metrics = current_tables(spark, root, [jobs.METRICS])[jobs.METRICS]
+    return metrics.withColumn("value", F.round("value", 6))
+
+
+@query
+def quality_breaches(spark, sf_dir):
+    """The limits that a spoilt fact breaks, by what its write counted."""
+    limits = [x for x in quality.default_limits() if x.table == "fact_transactions_clean"]
+    return quality.breaches(_spoilt_metrics(spark, sf_dir), limits)
+
+
+# ---- percentile outliers ----------------------------------------------------------------
+
+
+def _with_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = _warehouse(spark, sf_dir).cleaned
+    return cleaned.withColumn("cents", quantiles.cents(F.col("amount")))
+
+
+@query
+def percentile_outliers(spark, sf_dir):
+    rows = _with_cents(spark, sf_dir)
+    bounds = quantiles.exact_bounds(rows, "merchant_category", "cents")
+    return quantiles.percentile_outliers(rows, bounds)
+
+
+@query
+def percentile_bounds_of_vendors(spark, sf_dir):
+    """Median and 90 % bound per vendor: many keys of a few rows each."""
+    return quantiles.exact_bounds(_with_cents(spark, sf_dir), "vendor_name", "cents", shares=(0.5, 0.9))
+
+
+@query
+def percentile_sketches(spark, sf_dir):
+    """Bounds from merged monthly sketches, and whether their ranks are within 1 % of those asked for."""
+    rows = _with_cents(spark, sf_dir)
+    monthly = stage(quantiles.value_sketches(rows, ["merchant_category", "year", "month"], "cents"), "sketches").df
+    bounds = stage(quantiles.sketched_bounds(monthly, "merchant_category"), "bounds", measured=True)
+    joined = attach(rows.select("merchant_category", "cents"), bounds, "merchant_category", how="inner")
+    shares = {"p95": 0.95, "p99": 0.99}
+    below = [F.avg((F.col("cents") < F.col(n)).cast("int")).alias(f"below_{n}") for n in shares]
+    upto = [F.avg((F.col("cents") <= F.col(n)).cast("int")).alias(f"upto_{n}") for n in shares]
+    ranks = joined.groupBy("merchant_category").agg(F.count(F.lit(1)).alias("txn_count"), *below, *upto)
+    near = [((F.col(f"below_{n}") <= s + 0.01) & (F.col(f"upto_{n}") >= s - 0.01)).alias(f"{n}_is_near") for n, s in shares.items()]
+    return ranks.select("merchant_category", "txn_count", *near)
+
+
+# ---- spans of the calendar --------------------------------------------------------------
+
+
+@query
+def active_vendors_by_quarter(spark, sf_dir):
+    w = _warehouse(spark, sf_dir)
+    return activity.active_vendors(w.vendor_activity, year=activity.year(), quarter=activity.quarter())
+
+
+@query
+def active_vendors_by_year(spark, sf_dir):
+    return activity.active_vendors(_warehouse(spark, sf_dir).vendor_activity, year=activity.year())
+
+
+def _published(spark: SparkSession, sf_dir: str) -> Warehouse:
+    root = scratch_path(spark, "corp")
+    jobs.reload_star(spark, _warehouse(spark, sf_dir), root)
+    return namespaces.published_warehouse(spark, root)
+
+
+@query
+def quarter_slice(spark, sf_dir):
+    """The fact's second quarters, month by month, from their folders only."""
+    w = _published(spark, sf_dir)
+    months = stage(w.v_dim_month, "dim-month").df
+    rows = reports.calendar_slice(w.fact, months, F.col("month").between(4, 6))
+    return rows.groupBy("yyyymm", "year_month").agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("amount"))
+
+
+@query
+def weekday_slice(spark, sf_dir):
+    """Anomalies of the Sundays of one year."""
+    w = _published(spark, sf_dir)
+    days = stage(w.v_dim_date, "dim-date").df
+    sundays = (F.col("dow_0_sun") == 0) & (F.col("year") == 1996)
+    return reports.calendar_slice(w.mart_anomaly.drop("created_at"), days, sundays, days=True)
+
+
 # ---- views ------------------------------------------------------------------------------
 
 
@@ -672,6 +778,12 @@ def duplicate_months(spark, sf_dir):
     return reports.duplicate_months(months.unionByName(months.filter("month between 4 and 6")))
 
 
+@query
+def concentration(spark, sf_dir):
+    found = reports.concentration(_warehouse(spark, sf_dir).v_vendor_monthly_spend)
+    return found.withColumns({name: F.round(name, 9) for name in ("share", "cumulative_share")})
+
+
 @query
 def kpi_totals(spark, sf_dir):
     return _warehouse(spark, sf_dir).kpi_totals

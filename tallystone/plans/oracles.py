@@ -259,6 +259,48 @@ _LANDED = """select *, case when cast(transaction_id as bigint) % 2 = 0 then '20
 _SUNDAY_FIRST = "cast(dayofweek(transaction_ts) + 1 as integer)"
 _MONTH = "m.year_month, m.month_start"
 
+# Table of the star -> layer, required columns, columns with ranges, flags.
+_MEASURED = {
+    "dim_agency": ("dim_agency", "agency_id agency_name", "", ""),
+    "dim_vendor": ("dim_vendor", "vendor_id vendor_key vendor_name_clean", "", ""),
+    "fact_transactions_clean": (
+        "fact", "transaction_id agency_id vendor_id transaction_date year month yyyymm amount", "transaction_date yyyymm amount", "",
+    ),
+    "vendor_monthly_spend": (
+        "mart_vendor_monthly", "yyyymm year month vendor_id vendor_name_clean txn_count total_spend avg_spend",
+        "yyyymm txn_count total_spend", "",
+    ),
+    "agency_category_spend": (
+        "mart_agency_category", "yyyymm year month agency_id agency_name category_group txn_count total_spend avg_spend",
+        "yyyymm txn_count total_spend", "",
+    ),
+    "transaction_anomaly": (
+        "mart_anomaly",
+        "transaction_id yyyymm transaction_date amount agency_id vendor_id is_outlier is_high_amount is_new_vendor",
+        "transaction_date amount", "is_outlier is_new_vendor is_high_amount",
+    ),
+    "vendor_risk_scores": (
+        "mart_vendor_risk", "yyyymm vendor_id vendor_name_clean outlier_txn new_vendor_txn risk_score", "risk_score", "",
+    ),
+}
+
+
+def _all_metrics() -> str:
+    """A row per metric: rows, NULLs, ranges (dates as days since 1970) and shares."""
+    rows = []
+    for table, (layer, required, ranges, flags) in _MEASURED.items():
+        metrics = [("rows", None, "count(*)")]
+        metrics += [("nulls", c, f"count(*) filter ({c} is null)") for c in required.split()]
+        for c in ranges.split():
+            number = f"date_diff('day', date '1970-01-01', {c})" if c.endswith("_date") else c
+            metrics += [("least", c, f"min({number})"), ("most", c, f"max({number})")]
+        metrics += [("share", c, f"round(avg({c}::integer), 6)") for c in flags.split()]
+        for metric, column, value in metrics:
+            named = "null::varchar" if column is None else f"'{column}'"
+            rows.append(f"select '{table}' as table_name, '{metric}' as metric, {named} as column_name, ({value})::double as value from {layer}")
+    return "\nunion all ".join(rows)
+
+
 SELECTS = {
     # sources
     "read_bronze_csv": "select * from raw",
@@ -381,6 +423,41 @@ join (select * rename (year as month_year, month as month_no) from v_dim_month)
   union all select 'agency_id references dim_agency', count(distinct agency_id) from spoilt where agency_id <= 2
 )
 select 'fact_transactions_clean' as table_name, rule, offenders from found where offenders > 0""",
+    "quality_metrics": _all_metrics(),
+    "quality_breaches": """with spoilt as (
+  select * replace (case when transaction_id::bigint % 89 = 0 then null when transaction_id::bigint % 97 = 0 then -amount
+                         else amount end as amount,
+                    case when transaction_id::bigint % 83 = 0 then date '1850-01-01' else transaction_date end as transaction_date)
+  from fact
+)
+select 'fact_transactions_clean' as table_name, * from (
+  select 'nulls' as metric, 'amount' as column_name, count(*) filter (amount is null)::double as value,
+         null::double as at_least, 0::double as at_most from spoilt
+  union all select 'least', 'transaction_date', date_diff('day', date '1970-01-01', min(transaction_date))::double, -25567, 47481 from spoilt
+  union all select 'least', 'amount', min(amount)::double, 0.01, null from spoilt
+)""",
+    # percentile outliers
+    "percentile_outliers": """with bounds as (
+  select mcc_description as merchant_category, quantile_disc(amount, 0.95) as p95, quantile_disc(amount, 0.99) as p99
+  from silver where mcc_description is not null group by all
+)
+select transaction_id, mcc_description as merchant_category, amount, p95, p99,
+  coalesce((amount > p95)::integer, 0) as above_p95, coalesce((amount > p99)::integer, 0) as above_p99
+from silver left join bounds on merchant_category = mcc_description""",
+    "percentile_bounds_of_vendors": """select vendor_name_clean as vendor_name,
+  quantile_disc((amount * 100)::bigint, 0.5) as p50, quantile_disc((amount * 100)::bigint, 0.9) as p90
+from silver where vendor_name_clean is not null group by all""",
+    "percentile_sketches": """select mcc_description as merchant_category, count(*) as txn_count,
+  true as p95_is_near, true as p99_is_near from silver where mcc_description is not null group by all""",
+    # spans of the calendar
+    "active_vendors_by_quarter": """select cast(yyyymm // 100 as integer) as year, cast((yyyymm % 100 + 2) // 3 as integer) as quarter,
+  count(distinct vendor_id) as active_vendors from mart_vendor_monthly group by all""",
+    "active_vendors_by_year": """select cast(yyyymm // 100 as integer) as year, count(distinct vendor_id) as active_vendors
+from mart_vendor_monthly group by all""",
+    "quarter_slice": """select yyyymm, strftime(min(transaction_date), '%Y-%m') as year_month, count(*) as txn_count,
+  cast(sum(amount) as decimal(28,2)) as amount from fact where month between 4 and 6 group by yyyymm""",
+    "weekday_slice": """select *, 0::integer as dow_0_sun from mart_anomaly
+where dayofweek(transaction_date) = 0 and year(transaction_date) = 1996""",
     # views
     "v_vendor_monthly_spend": "select * from v_vendor_monthly_spend",
     "v_agency_category_spend": "select * from v_agency_category_spend",
@@ -412,6 +489,15 @@ order by risk_score desc, outlier_txn desc, yyyymm, vendor_name_clean limit 20""
     "latest_anomalies": """select * from v_transaction_anomaly where is_outlier or is_new_vendor or is_high_amount
 order by transaction_date desc, transaction_id limit 50""",
     "duplicate_months": "select yyyymm, 2::bigint as c from v_dim_month where month between 4 and 6",
+    "concentration": """with spent as (
+  select vendor_name_clean, cast(sum(total_spend) as decimal(28,2)) as spend from v_vendor_monthly_spend group by all
+)
+select vendor_name_clean, spend, round(spend::double / all_spend::double, 9) as share,
+  round(down_to::double / all_spend::double, 9) as cumulative_share
+from (
+  select *, sum(spend) over () as all_spend, sum(spend) over (order by spend desc, vendor_name_clean) as down_to,
+    row_number() over (order by spend desc, vendor_name_clean) as place from spent
+) where place <= 10""",
     "kpi_totals": """select *, outlier_txn + new_vendor_txn as flagged_txn,
   cast(total_spend as double) / nullif(total_txn, 0) as avg_spend_per_txn
 from (

@@ -8,7 +8,7 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame
 
-from tallystone.operators import gold, reports, risk, serving, silver, views
+from tallystone.operators import activity, gold, reports, risk, serving, silver, views
 from tallystone.operators.lookup import fits_broadcast
 from tallystone.sources.columns import gold_columns
 from tallystone.sources.tables import Staged, observe_size, stage
@@ -259,6 +259,10 @@ class Warehouse:
         marts = self.marts()  # first: the fact needs more of silver than gold does
         return {"dim_agency": self.dim_agency.df, "dim_vendor": self.dim_vendor.df, **marts}
 
+    @cached_property
+    def vendor_activity(self) -> DataFrame:
+        return stage(activity.vendor_activity(self.mart_vendor_monthly), "vendor-activity").df
+
     # ---- views: those that show names only need no ids, and so no dimensions, unless the marts exist ----
 
     @cached_property
