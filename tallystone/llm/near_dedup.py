@@ -80,20 +80,24 @@ def _set_key(shingles: np.ndarray) -> bytes:
 
 
 def _sets(df: DataFrame, words: int) -> DataFrame:
-    """``node, members``: the distinct shingle hashes of a text, ascending, as bytes; texts without the ``set_key`` given go."""
+    """``set_key, members``: the distinct shingle hashes of a text, ascending, as bytes; equal sets once per task."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            keys = batch.column(2).to_pylist()
-            for first, hashes, firsts in rows_of_words(batch.column(1)):
+            for _, hashes, firsts in rows_of_words(batch.column(0)):
                 shingles, bounds = shingle_hashes(hashes, firsts, words)
-                distinct = [np.unique(shingles[bounds[i] : bounds[i + 1]]) for i in range(len(bounds) - 1)]
-                same = [i for i, held in enumerate(distinct) if _set_key(held) == keys[first + i]]
-                members = pa.array([distinct[i].tobytes() for i in same], pa.binary())
-                nodes = batch.column(0).take(pa.array([first + i for i in same], pa.int64()))
-                yield pa.RecordBatch.from_arrays([nodes, members], names=["node", "members"])
+                keys, members = [], []
+                for i in range(len(bounds) - 1):
+                    distinct = np.unique(shingles[bounds[i] : bounds[i + 1]])
+                    key = _set_key(distinct)
+                    if key not in seen:
+                        seen.add(key)
+                        keys.append(key)
+                        members.append(distinct.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(members, pa.binary())], names=["set_key", "members"])
 
-    return map_in_arrow(df, gather, "node bigint, members binary")
+    return map_in_arrow(df.select("text"), gather, "set_key binary, members binary")
 
 
 def _prefix_lists(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -251,10 +255,10 @@ def near_duplicates(
     lists = _prefix_lists(classes.select("node", "n", "coords"), coordinates, matches)
     listed = stage(classes.join(lists.select("node").distinct(), "node", "left_semi"), "listed").df
     nodes = listed.select("node", "coords")
-    wanted = listed.select("node", "set_key", F.col("first").alias("doc_id"))
-    sets = stage(_sets(documents.join(wanted, "doc_id").select("node", "text", "set_key"), words), "shingle-sets").df
-    if sets.count() > listed.count():  # repeated rows
-        sets = stage(sets.dropDuplicates(["node"]), "single-sets").df
+    # The ids alone pick the texts, as they are the least that can be broadcast; sets then find their numbers by key.
+    ids = stage(listed.select(F.col("first").alias("doc_id")).distinct(), "listed-ids").df
+    gathered = _sets(documents.join(ids, "doc_id", "left_semi"), words).dropDuplicates(["set_key"])
+    sets = stage(gathered.join(listed.select("set_key", "node"), "set_key").select("node", "members"), "shingle-sets").df
 
     # Nodes in one class of size differ by less than the percentage allows. Of these the one with most
     # common tokens has the least of its own, so it is the likeliest to be near all the others.
