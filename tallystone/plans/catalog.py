@@ -14,14 +14,14 @@ from tallystone.functions import dates, flags, money, text
 from tallystone.operators import activity, gold, integrity, quality, quantiles, reports, risk, serving, silver
 from tallystone.operators.lookup import attach
 from tallystone.operators.ranking import percent_rank
-from tallystone.plans import jobs, namespaces
+from tallystone.plans import increments, jobs, namespaces
 from tallystone.plans.warehouse import Warehouse
 from tallystone.sources import bronze as bronze_files
 from tallystone.sources.columns import gold_columns, missing, resolve_fields
 from tallystone.sources.fixture import spend_bronze
-from tallystone.sources.tables import export_csv, read_csv, read_table, scratch_path, stage, write_table
+from tallystone.sources.tables import Staged, export_csv, read_csv, read_table, scratch_path, stage, write_table
 from tallystone.sources.versions import VersionFolder, current_tables
-from tallystone.streaming import arrivals
+from tallystone.streaming import arrivals, silver as silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -308,6 +308,28 @@ def build_silver(spark, sf_dir):
     return _silver(spark, sf_dir)
 
 
+def _three_drops(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Landed rows of three snapshots: all ids, a third of them again with other amounts and dates, a fifth of an older state."""
+    rows = stage(_raw(spark, sf_dir), "raw").df
+    order = F.col("transaction_id").cast("bigint")
+    moved = {"amount_raw": F.lit("$1.25"), "transaction_date_raw": F.lit("1996-03-02")}
+    stale = {"amount_raw": F.lit("$9999.99"), "transaction_date_raw": F.lit("1990-01-02")}
+    drops = [rows, rows.filter(order % 3 == 0).withColumns(moved), rows.filter(order % 5 == 0).withColumns(stale)]
+    stamps = ["20240201_000000", "20240301_000000", "20240101_000000"]
+    return [df.withColumn(silver.SNAPSHOT, F.lit(stamp)) for df, stamp in zip(drops, stamps, strict=True)]
+
+
+@query
+def stream_silver(spark, sf_dir):
+    """Three drops, each merged into silver by a run of the stream as it lands."""
+    bronze, path, checkpoint = (scratch_path(spark, name) for name in ("bronze", "silver", "silver-stream"))
+    for k, drop in enumerate(_three_drops(spark, sf_dir)):
+        landed = drop.withColumn(bronze_files.BATCH_ID, F.lit(f"b{k}"))
+        landed.write.mode("append").partitionBy(silver.SNAPSHOT, bronze_files.BATCH_ID).parquet(bronze)
+        silver_stream.refresh_silver(spark, bronze, path, checkpoint).awaitTermination()
+    return read_table(spark, path).select("transaction_id", "amount", "transaction_date", "amount_bucket")
+
+
 # ---- gold -------------------------------------------------------------------------------
 
 
@@ -540,6 +562,31 @@ def full_reload_content(spark, sf_dir):
     return current_tables(spark, root, ["transaction_anomaly"])["transaction_anomaly"].drop("created_at")
 
 
+def _loaded_by_months(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A star of everything but two months, which are loaded afterwards."""
+    root = scratch_path(spark, "corp")
+    whole = stage(_silver(spark, sf_dir), "silver").df
+    late = [199603, 199711]
+    jobs.reload_star(spark, Warehouse.from_tables(silver=whole.filter(~F.col("yyyymm").isin(late))), root)
+    increments.load_months(spark, root, whole, late)
+    return current_tables(spark, root, ["fact_transactions_clean", "transaction_anomaly", "vendor_monthly_spend", "vendor_risk_scores", "dim_vendor"])
+
+
+@query
+def load_months(spark, sf_dir):
+    """Flags of the whole star, with vendors' names, after a first load and one of two more months."""
+    star = _loaded_by_months(spark, sf_dir)
+    names = Staged(star["dim_vendor"]).select("vendor_id", "vendor_name_clean")
+    named = attach(star["transaction_anomaly"], names, "vendor_id", how="inner")
+    return named.select("transaction_id", "yyyymm", "amount", "vendor_name_clean", "is_outlier", "is_new_vendor", "anomaly_reason")
+
+
+@query
+def load_months_counts(spark, sf_dir):
+    star = _loaded_by_months(spark, sf_dir)
+    return reports.row_counts({name: star[name] for name in sorted(star)})
+
+
 @query
 def sql_over_published_views(spark, sf_dir):
     """An analyst's SQL over the views of a published star."""

@@ -20,7 +20,7 @@ from tallystone.sources.tables import export_csv, read_csv, read_table, stage, w
 from tallystone.sources.versions import VersionFolder, current_tables, publish
 from tallystone.streaming.arrivals import land_arrivals
 
-FACT_PARTITIONS = {"fact_transactions_clean": ["yyyymm"], "transaction_anomaly": ["yyyymm"]}
+FACT_PARTITIONS = {name: ["yyyymm"] for name in STAR.values() if not name.startswith("dim_")}
 DIMENSIONS = ["dim_agency", "dim_vendor"]
 # How tables are exported besides Parquet. Single files are for the small gold tables; others stay many files.
 CSV_EXPORTS = ("none", "many", "single")

@@ -351,6 +351,18 @@ from (select *, cast(l_orderkey * 10 + l_linenumber as varchar) as transaction_i
   union all
   select distinct transaction_id, 1.25::decimal(18,2), date '1990-01-02' from raw where transaction_id::bigint % 3 = 0
 )
+select *, case when amount < 100 then '<100' when amount < 500 then '100-499' when amount < 2000 then '500-1999'
+  else '>=2000' end as amount_bucket from ids""",
+    "stream_silver": """with ids as (
+  select transaction_id, amount, cast(transaction_ts as date) as transaction_date from survivors
+  where transaction_id::bigint % 3 <> 0
+  union all
+  select distinct transaction_id, 1.25::decimal(18,2), date '1996-03-02' from raw where transaction_id::bigint % 3 = 0
+  union all  -- an older state counts where no newer one is valid
+  select distinct transaction_id, 9999.99::decimal(18,2), date '1990-01-02' from raw
+  where transaction_id::bigint % 5 = 0 and transaction_id::bigint % 3 <> 0
+    and transaction_id not in (select transaction_id from survivors)
+)
 select *, case when amount < 100 then '<100' when amount < 500 then '100-499' when amount < 2000 then '500-1999'
   else '>=2000' end as amount_bucket from ids""",
     # gold
@@ -409,6 +421,13 @@ union all select 'vendor_risk_scores', count(*) from mart_vendor_risk
 union all select 'dim_agency', count(*) from dim_agency
 union all select 'dim_vendor', count(*) from dim_vendor""",
     "full_reload_content": "select * from mart_anomaly",
+    "load_months": """select transaction_id, yyyymm, amount, vendor_name_clean, is_outlier, is_new_vendor, anomaly_reason
+from mart_anomaly natural join (select vendor_id, vendor_name_clean from dim_vendor)""",
+    "load_months_counts": """select 'fact_transactions_clean' as tbl, count(*) as row_count from fact
+union all select 'transaction_anomaly', count(*) from mart_anomaly
+union all select 'vendor_monthly_spend', count(*) from mart_vendor_monthly
+union all select 'vendor_risk_scores', count(*) from mart_vendor_risk
+union all select 'dim_vendor', count(*) from dim_vendor""",
     "sql_over_published_views": """select * exclude (month_year, month_no) from v_exec_kpi
 join (select * rename (year as month_year, month as month_no) from v_dim_month) using (yyyymm)""",
     "check_integrity": """with spoilt as (

@@ -111,15 +111,20 @@ def publish(
     return version
 
 
+def current_folder(spark: SparkSession, root: str) -> str | None:
+    """The folder of the published version, if there is one."""
+    last = _last(spark, root)
+    return None if last is None else f"{root}/{last[1]}"
+
+
 def current_tables(spark: SparkSession, root: str, names: Sequence[str], missing_ok: bool = False) -> dict[str, DataFrame]:
     """The published tables, or none when nothing has been published yet.
 
     With ``missing_ok`` a table that the current version lacks is left out.
     """
-    last = _last(spark, root)
-    if last is None:
+    folder = current_folder(spark, root)
+    if folder is None:
         return {}
-    folder = f"{root}/{last[1]}"
     present = [name for name in names if not missing_ok or exists(spark, f"{folder}/{name}")]
     return {name: read_table(spark, f"{folder}/{name}") for name in present}
 
