@@ -7,11 +7,12 @@ compared with another engine's floating-point sums.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallystone.functions import dates, flags, money, text
-from tallystone.operators import activity, gold, integrity, quality, quantiles, reports, risk, serving, silver
+from tallystone.operators import activity, gold, integrity, matching, quality, quantiles, reports, risk, serving, silver
 from tallystone.operators.lookup import attach
 from tallystone.operators.ranking import percent_rank
 from tallystone.plans import increments, jobs, namespaces
@@ -685,6 +686,29 @@ def percentile_sketches(spark, sf_dir):
     return ranks.select("merchant_category", "txn_count", *near)
 
 
+# ---- vendor matching --------------------------------------------------------------------
+
+
+def _spelt_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vendor's name and number of transactions, and some misspelt once or twice."""
+    names = _cleaned(spark, sf_dir).groupBy(F.col("vendor_name").alias("name")).agg(F.count(F.lit(1)).alias("weight"))
+    names = stage(names.filter("trim(name) <> ''"), "names").df
+    order = F.conv(F.substring(F.md5("name"), 1, 6), 16, 10).cast("bigint") % 10
+    spelt = [(1, "SUPPLIER", "SUPLIER"), (2, "SUPPLIER", "SUPPLLIER"), (3, "BRAND", "BARND"), (3, "SUPPLIER", "SUPPIER"), (4, "BRAND", "BAND"), (5, "SUPPLIER#", "VENDOR #")]
+    wrong = [names.filter(order == k).select(F.replace("name", F.lit(old), F.lit(new)).alias("name"), F.lit(1).cast("bigint").alias("weight")) for k, old, new in spelt]
+    return reduce(DataFrame.unionByName, [names, *wrong])
+
+
+@query
+def misspellings(spark, sf_dir):
+    return matching.misspellings(_spelt_names(spark, sf_dir))
+
+
+@query
+def vendor_groups(spark, sf_dir):
+    return matching.vendor_groups(_spelt_names(spark, sf_dir))
+
+
 # ---- spans of the calendar --------------------------------------------------------------
 
 

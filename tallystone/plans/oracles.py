@@ -246,9 +246,10 @@ def oracle(select: str) -> str:
         needed.update(found)
         pending.extend(LAYERS[name] for name in found)
     ctes = ",\n".join(f"{name} as ({LAYERS[name]}\n)" for name in LAYERS if name in needed)
-    own = re.match(r"with\s+", select)  # a select may add layers of its own
+    own = re.match(r"with\s+(recursive\s+)?", select)  # a select may add layers of its own
     rest = f",\n{select[own.end():]}" if own else f"\n{select}"
-    return f"with {ctes}{rest}" if ctes else select
+    recursive = "recursive " if own and own.group(1) else ""
+    return f"with {recursive}{ctes}{rest}" if ctes else select
 
 
 _STATS_4DP = "round(mean_amount, 4) as mean_amount, round(std_amount, 4) as std_amount"
@@ -259,6 +260,25 @@ _LANDED = """select *, case when cast(transaction_id as bigint) % 2 = 0 then '20
 _SUNDAY_FIRST = "cast(dayofweek(transaction_ts) + 1 as integer)"
 _MONTH = "m.year_month, m.month_start"
 
+# Names with planted misspellings, and the pairs (both ways) that are so near that one may be the other misspelt.
+_SPELT = """counted as (
+  select vendor_name_clean as name, count(*) as weight from silver where vendor_name_clean <> '' group by all
+), numbered as (select *, ('0x' || substr(md5(name), 1, 6))::bigint % 10 as k from counted
+), spelt as (
+  select name, weight from counted
+  union all select replace(name, 'SUPPLIER', 'SUPLIER'), 1 from numbered where k = 1
+  union all select replace(name, 'SUPPLIER', 'SUPPLLIER'), 1 from numbered where k = 2
+  union all select replace(name, 'BRAND', 'BARND'), 1 from numbered where k = 3
+  union all select replace(name, 'SUPPLIER', 'SUPPIER'), 1 from numbered where k = 3
+  union all select replace(name, 'BRAND', 'BAND'), 1 from numbered where k = 4
+  union all select replace(name, 'SUPPLIER#', 'VENDOR #'), 1 from numbered where k = 5
+), linked as (
+  select x.name as a, y.name as b, levenshtein(x.name, y.name) as edits
+  from spelt x join spelt y on x.name <> y.name
+    and regexp_replace(x.name, '[^0-9]', '', 'g') = regexp_replace(y.name, '[^0-9]', '', 'g')
+  where levenshtein(x.name, y.name) <= case when least(length(x.name), length(y.name)) >= 12 then 2
+                                            when least(length(x.name), length(y.name)) >= 5 then 1 else 0 end
+)"""
 # Table of the star -> layer, required columns, columns with ranges, flags.
 _MEASURED = {
     "dim_agency": ("dim_agency", "agency_id agency_name", "", ""),
@@ -468,6 +488,17 @@ from silver left join bounds on merchant_category = mcc_description""",
 from silver where vendor_name_clean is not null group by all""",
     "percentile_sketches": """select mcc_description as merchant_category, count(*) as txn_count,
   true as p95_is_near, true as p99_is_near from silver where mcc_description is not null group by all""",
+    # vendor matching: all pairs of names with the same digits
+    "misspellings": f"with {_SPELT} select a, b, edits::integer as edits from linked where a < b",
+    "vendor_groups": f"""with recursive {_SPELT}, reached as (
+  select name as start, name from spelt
+  union
+  select r.start, case when r.name = l.a then l.b else l.a end from reached r join linked l on r.name = l.a
+), rooted as (
+  select start as name, min(name) as root, count(*) as members from reached group by start
+)
+select r.name, first(s.name order by s.weight desc, s.name) as group_name, r.members
+from rooted r join rooted o on o.root = r.root join spelt s on s.name = o.name group by r.name, r.members""",
     # spans of the calendar
     "active_vendors_by_quarter": """select cast(yyyymm // 100 as integer) as year, cast((yyyymm % 100 + 2) // 3 as integer) as quarter,
   count(distinct vendor_id) as active_vendors from mart_vendor_monthly group by all""",
