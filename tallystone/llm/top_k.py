@@ -21,6 +21,8 @@ CANDIDATE_BLOCK = 16_384
 
 # Candidates scored before the first bound is compared, and between later comparisons.
 _STEP = 512
+# Integers below are exact in double precision.
+_MOST_EXACT = 2**53
 
 
 def integer_vectors(df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -31,7 +33,7 @@ def integer_vectors(df: DataFrame, id_column: str = "vec_id", vector_column: str
     """
     x = F.col(vector_column)
     broken = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    whole = F.transform(x, lambda c: F.floor(c.cast("double") * F.lit(scale)).cast("bigint"))
+    whole = F.transform(x, lambda c: F.floor(c.cast("double") * F.lit(scale)))  # at most the largest bigint
     usable = df.filter(x.isNotNull() & F.col(id_column).isNotNull()).filter(~broken)
     rows = usable.select(F.col(id_column).cast("bigint").alias("vec_id"), whole.alias("v"))
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
@@ -127,10 +129,15 @@ def exact_top_k(
     whose bound excludes it.
 
     Ties go to the smaller id; with fewer candidates than k all are returned. Unusable vectors and null
-    ids take no part (see ``integer_vectors``); shorter vectors count as padded with zeros; components
-    must stay below 2**20 in size, for exact sums. An empty table gives an empty result.
+    ids take no part (see ``integer_vectors``); shorter vectors count as padded with zeros. Components so
+    large that a sum of products could exceed 2**53 are refused by an error before the search starts, as
+    the scores would not be exact. An empty table gives an empty result.
     """
     rows = stage(integer_vectors(df, id_column, vector_column, scale), "vectors").df
+    extremes = rows.agg(F.max(F.size("v")).alias("width"), F.min(F.array_min("v")).alias("least"), F.max(F.array_max("v")).alias("most")).first()
+    largest = max(abs(extremes["least"] or 0), abs(extremes["most"] or 0))
+    if (extremes["width"] or 0) * largest**2 >= _MOST_EXACT:
+        raise ValueError(f"components of up to {largest} times 1/{scale} in {extremes['width']} dimensions: inner products would not be exact")
     squares = F.aggregate("v", F.lit(0).cast("bigint"), lambda total, c: total + c * c)
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width"), F.max(squares).alias("most")).first()
     n, width, most = size["n"], max(size["width"] or 1, 1), float(size["most"] or 0)
