@@ -20,6 +20,8 @@ GRAM = 3
 WINDOW = 3
 # Templates of at most so many words keep all their fingerprints, so that a change in one line leaves some.
 SHORT = 10
+# Templates of at most so many words must be matched in full.
+WHOLE_WORDS = 10
 # Words that a match may gain or lose on its way, and the least share of a template to report.
 BAND = 6
 MIN_COVERAGE = 0.8
@@ -263,7 +265,9 @@ def find_matches(index: TemplateIndex, words: np.ndarray, min_coverage: float =
             hits.setdefault(t, []).append((p, q))
     for template, own in sorted(hits.items()):
         sought = index.words[template]
-        for match in _places(sought, words, own, min_coverage * len(sought), band):
+        # One word of a line like "under the X License" names it, so lines must be there whole.
+        least = 1.0 if len(sought) <= WHOLE_WORDS else min_coverage
+        for match in _places(sought, words, own, least * len(sought), band):
             yield template, *match
 
 
@@ -280,7 +284,8 @@ def scan_licenses(
     up in it; every hit names a template and where it would begin. Hits that follow one another in text and
     template are one candidate, aligned word by word; in between up to the template's own length may be
     inserted at a time (six words for shorter ones). Reported is the share of the template's words found in
-    order, and the span as characters of the text, from 0, end excluded. Of overlapping matches the one with
+    order, and the span as characters of the text, from 0, end excluded; templates of at most
+    ``WHOLE_WORDS`` words count only with all of them. Of overlapping matches the one with
     more matched words stays, then the better covered, then the first by name and place; so a full
     notice hides the one-line reference that it begins with.
 
