@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallystone.operators.lookup import attach
 from tallystone.operators.ranking import row_numbers
+from tallystone.sources.columns import quoted
 from tallystone.sources.tables import stage
 
 WEIGHTS = (5, 2, 1)
@@ -131,8 +133,10 @@ def taken(size: str = "size", place: str = "place") -> Column:
 
 
 def _with_plan(df: DataFrame, plan: DataFrame, source: str) -> DataFrame:
-    plan = plan.withColumnRenamed("source", "_plan_source")
-    return df.join(plan, df[source].eqNullSafe(plan["_plan_source"])).drop("_plan_source")
+    """Each row with its source's plan. Rows of a source that holds much of the table are not moved, however many sources there are."""
+    key = lambda name: F.coalesce(F.concat(F.lit("="), quoted(name)), F.lit("null"))
+    lookup = stage(plan.withColumn("_plan_key", key("source")).drop("source"), "mixing-lookup", measured=True)
+    return attach(df.withColumn("_plan_key", key(source)), lookup, "_plan_key", how="inner").drop("_plan_key")
 
 
 def mix_sources(
