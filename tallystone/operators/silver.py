@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystone.functions import dates, money, text
 from tallystone.functions.rules import FIELD_ALIASES
+from tallystone.operators.lookup import fits_broadcast
 from tallystone.sources.columns import optional_field, require_fields, resolve_fields
+from tallystone.sources.tables import stage
 
 # Where a row came from, if known (see sources.bronze): its snapshot's stamp.
 SNAPSHOT = "snapshot"
@@ -74,6 +76,33 @@ def dedup_transactions(
     return survivors.filter(F.col("row").isNotNull()).select(key, "row.*").select(*df.columns)
 
 
+def dedup_repeats(
+    df: DataFrame,
+    key: str = "transaction_id",
+    newest_first: Sequence[str] = (SNAPSHOT, "transaction_ts", "amount"),
+    where: Column | None = None,
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """The rows of ``dedup_transactions``; only rows whose key occurs more than once are shuffled, if those keys are few.
+
+    Keys are counted first, in a pass that reads and shuffles nothing else. Where the repeated ones fit a
+    broadcast, all other rows stay in place, however many; otherwise this is ``dedup_transactions``.
+    ``df`` is read up to three times: for tables on disk whose keys can be read by themselves.
+    """
+    counts = df.select(key).filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    repeated = stage(counts.filter("n > 1").select(key), "repeated-keys", measured=True)
+    if not fits_broadcast(repeated, broadcast_bytes):
+        return dedup_transactions(df, key, newest_first, where)
+    keys = F.broadcast(repeated.df)
+    several = dedup_transactions(df.join(keys, key, "left_semi"), key, newest_first, where)
+    single = df.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
+    if where is not None:
+        # A row or none: a filter would be pushed below the projection and parse every text a second time.
+        row = F.struct(*df.columns)
+        single = single.select(F.explode(F.when(where, F.array(row))).alias("row")).select("row.*")
+    return single.unionByName(several)
+
+
 def enrich(df: DataFrame) -> DataFrame:
     """Clean names, calendar parts, size class and category group."""
     date = F.to_date("transaction_ts")

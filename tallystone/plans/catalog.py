@@ -293,6 +293,13 @@ def dedup_transactions(spark, sf_dir):
     return silver.dedup_transactions(_typed(spark, sf_dir), where=silver.is_valid())
 
 
+@query
+def dedup_repeats(spark, sf_dir):
+    """The survivors again, found by shuffling only the rows whose id occurs more than once."""
+    typed = silver.type_money_and_time(stage(_raw(spark, sf_dir), "raw").df)
+    return silver.dedup_repeats(typed, where=silver.is_valid())
+
+
 @query
 def silver_of_two_snapshots(spark, sf_dir):
     """Every id in an older snapshot, a third of them in a newer one with other amounts and earlier dates."""

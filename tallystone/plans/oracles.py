@@ -364,6 +364,7 @@ from (select *, cast(l_orderkey * 10 + l_linenumber as varchar) as transaction_i
   when amount < 2000 then '500-1999' else '>=2000' end as amount_bucket from valid""",
     "category_group": "select transaction_id, mcc_description, category_group from silver",
     "dedup_transactions": "select * from survivors",
+    "dedup_repeats": "select * from survivors",
     "build_silver": "select * from silver",
     "silver_of_two_snapshots": """with ids as (
   select transaction_id, amount, cast(transaction_ts as date) as transaction_date from survivors
