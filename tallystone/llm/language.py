@@ -23,7 +23,7 @@ UNKNOWN = "und"
 # Unrelated letters come to about 1 / 32 (one over the root of the dimensions).
 MIN_SCORE = 0.05
 # Else the bar is this share of the score that nearly all texts of the size reach.
-_BAR_SHARE = 0.8
+_BAR_SHARE = 0.7
 _BAR_QUANTILE = 0.001
 _BAR_ROWS = 100
 SEED = 11
