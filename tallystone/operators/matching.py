@@ -26,25 +26,37 @@ def _grams(name: Column) -> Column:
     return F.transform(plain, lambda x, i: F.concat(x, F.size(F.filter(F.slice(plain, 1, i), lambda y: y == x)).cast("string")))
 
 
+def _digits(name: str) -> Column:
+    return F.regexp_replace(name, r"[^0-9]", "")
+
+
 def candidate_pairs(names: DataFrame) -> DataFrame:
     """``a, b`` (a < b): all pairs of names within the allowed edits, and some others.
 
     Numbers are never misspelled: names with different digits are no candidates. Two names at most ``d``
     edits apart differ in at most ``GRAM * d`` groups, so they share one of the ``GRAM * d + 1`` rarest of
-    either; only those are posted, and groups in one name alone are left out, being the rarest of all.
+    either; only those are posted. Groups in one name alone are the rarest of all: they take their places,
+    but are dropped as soon as they are counted.
+
+    A group and the name's digits are told by a hash: equal hashes of others only add candidates, of which
+    those with other digits go at the end. Written names take a small part of their size in memory, so no
+    join here may be planned as a broadcast by the size of files.
     """
-    digits = F.regexp_replace("name", r"[^0-9]", "")
-    known = names.select("name", F.length("name").alias("length"), digits.alias("digits")).withColumn("edits", allowed_edits(F.col("length")))
-    postings = known.filter("edits > 0").select("name", "length", "edits", F.explode(_grams(F.col("name"))).alias("gram"), "digits")
-    postings = stage(postings, "name-grams").df
-    counts = postings.groupBy("digits", "gram").agg(F.count(F.lit(1)).alias("holders"))
-    place = F.row_number().over(Window.partitionBy("name").orderBy("holders", "gram"))  # as many rows as a name has letters
-    prefix = postings.join(counts, ["digits", "gram"]).withColumn("place", place).filter(F.col("place") <= F.col("edits") * GRAM + 1)
-    prefix = stage(prefix.filter("holders > 1").select("digits", "gram", "name", "length"), "name-prefixes").df
-    x = prefix.select("digits", "gram", F.col("name").alias("a"), F.col("length").alias("length_a"))
-    y = prefix.select("digits", "gram", F.col("name").alias("b"), F.col("length").alias("length_b"))
+    group = F.xxhash64(_digits("name"), "gram")
+    known = names.select("name", F.length("name").alias("length")).withColumn("edits", allowed_edits(F.col("length")))
+    postings = known.filter("edits > 0").select("name", "length", "edits", F.explode(_grams(F.col("name"))).alias("gram"))
+    postings = stage(postings.withColumn("gram", group), "name-grams").df
+    counts = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    per_name = Window.partitionBy("name")  # as many rows as a name has letters
+    alone = F.col("length") + (GRAM - 1) - F.count(F.lit(1)).over(per_name)
+    place = alone + F.row_number().over(per_name.orderBy("holders", "gram"))
+    prefix = postings.join(counts.hint("merge"), "gram").withColumn("place", place).filter(F.col("place") <= F.col("edits") * GRAM + 1)
+    prefix = stage(prefix.select("gram", "name", "length"), "name-prefixes").df
+    x = prefix.select("gram", F.col("name").alias("a"), F.col("length").alias("length_a"))
+    y = prefix.select("gram", F.col("name").alias("b"), F.col("length").alias("length_b"))
     near = F.abs(F.col("length_a") - F.col("length_b")) <= allowed_edits(F.least("length_a", "length_b"))
-    return x.join(y, ["digits", "gram"]).filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    near = near & (F.col("a") < F.col("b")) & (_digits("a") == _digits("b"))
+    return x.join(y.hint("merge"), "gram").filter(near).select("a", "b").distinct()
 
 
 def misspellings(names: DataFrame) -> DataFrame:
@@ -59,15 +71,16 @@ def connected(links: DataFrame) -> DataFrame:
 
     Every round points each name at the least root among its neighbours', and then at its root's root, so
     the number of rounds grows with the logarithm of the longest chain. Each is written to the shared folder.
+    The names in them take far more room in memory than in files, hence merge joins.
     """
     both = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "both-ways").df
     state = stage(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("name"), F.least("a", "least").alias("root")), "roots").df
     while True:
-        neighbour = both.join(state.select(F.col("name").alias("b"), "root"), "b").groupBy(F.col("a").alias("name")).agg(F.min("root").alias("near"))
-        lowered = state.join(neighbour, "name").select("name", "root", F.least("root", "near").alias("low"))
+        neighbour = both.join(state.select(F.col("name").alias("b"), "root").hint("merge"), "b").groupBy(F.col("a").alias("name")).agg(F.min("root").alias("near"))
+        lowered = state.join(neighbour.hint("merge"), "name").select("name", "root", F.least("root", "near").alias("low"))
         # A root may be told by any of its names that something lower is connected.
         told = lowered.groupBy(F.col("root").alias("_root")).agg(F.min("low").alias("told"))
-        hooked = lowered.join(told, F.col("low") == F.col("_root"), "left").select("name", "root", F.least("low", F.coalesce("told", "low")).alias("new"))
+        hooked = lowered.join(told.hint("merge"), F.col("low") == F.col("_root"), "left").select("name", "root", F.least("low", F.coalesce("told", "low")).alias("new"))
         hooked = stage(hooked, "roots").df
         moved = hooked.filter(F.col("new") != F.col("root")).isEmpty()
         state = hooked.select("name", F.col("new").alias("root"))
@@ -84,7 +97,7 @@ def vendor_groups(names: DataFrame) -> DataFrame:
     """
     known = stage(names.filter(F.trim("name") != "").select("name", "weight"), "names").df
     roots = connected(stage(misspellings(known), "misspellings").df)
-    placed = stage(known.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name")), "placed-names").df
+    placed = stage(known.join(roots.hint("merge"), "name", "left").withColumn("root", F.coalesce("root", "name")), "placed-names").df
     best = F.min_by("name", F.struct(-F.col("weight"), F.col("name")))
     groups = placed.groupBy("root").agg(best.alias("group_name"), F.count(F.lit(1)).alias("members"))
-    return placed.join(groups, "root").select("name", "group_name", "members")
+    return placed.join(groups.hint("merge"), "root").select("name", "group_name", "members")
