@@ -7,16 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallystone.llm.arrow_text import chunks
 from tallystone.llm.workers import forgets, map_in_arrow
 from tallystone.sources.tables import stage
 
 DIMENSIONS = 1024
-# Documents the prototypes are bundled from: about this many in all, as many from each language, chosen by a
-# hash of the id; of a language with fewer than its share, and of LEAST_ROWS at least, all.
-SAMPLE_ROWS = 20_000
+# If prototypes are bundled from a sample only: documents that a language has of its own in it, all if it has fewer.
 LEAST_ROWS = 200
 UNKNOWN = "und"
 # Cosine below which a text is in none of the learned languages, where too few texts of its size are known.
@@ -159,13 +157,15 @@ class Prototypes:
         return names, scores, found
 
 
-def _labelled(df: DataFrame, sample_rows: int, id_column: str, text_column: str, lang_column: str) -> DataFrame:
-    """``text, lang`` of the sample: from every language as many documents, so that none is lost as others grow."""
+def _labelled(df: DataFrame, sample_rows: int | None, id_column: str, text_column: str, lang_column: str) -> DataFrame:
+    """``text, lang`` of the labelled documents, or of a sample: from every language as many, so that none is lost as others grow."""
     rows = df.select(
         F.col(id_column).cast("bigint").alias("doc_id"),
         F.col(text_column).cast("string").alias("text"),
         F.col(lang_column).cast("string").alias("lang"),
     ).filter("lang is not null and text is not null and doc_id is not null")
+    if sample_rows is None:
+        return rows.select("text", "lang")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = max(sample_rows // max(len(counts), 1), LEAST_ROWS)
     place = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000))
@@ -177,11 +177,11 @@ def _labelled(df: DataFrame, sample_rows: int, id_column: str, text_column: str,
 
 
 def learn_prototypes(
-    df: DataFrame, sample_rows: int = SAMPLE_ROWS, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang"
+    df: DataFrame, sample_rows: int | None = None, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang"
 ) -> Prototypes:
-    """Bundle the labelled documents of ``df`` into one prototype per language.
+    """Bundle the labelled documents of ``df``, all of them, into one prototype per language.
 
-    About ``sample_rows`` documents are used, the same number of each language, chosen by a hash of the id; of a
+    With ``sample_rows`` about so many are used, the same number of each language, chosen by a hash of the id; of a
     language that has fewer, all, so every language keeps a prototype at any size. Null languages and
     texts are left out. Every document weighs the same whatever its length. Tasks add up their own
     documents, so what is gathered is one vector per language.
@@ -236,9 +236,9 @@ def identify(df: DataFrame, prototypes: Prototypes, id_column: str = "doc_id", t
 
 
 def least_scores(
-    df: DataFrame, prototypes: Prototypes, sample_rows: int = SAMPLE_ROWS, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang"
+    df: DataFrame, prototypes: Prototypes, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang"
 ) -> dict[int, float]:
-    """By size of a text (see ``sizes``), the score that a text in a learned language reaches, measured on labelled ones.
+    """By size of a text (see ``sizes``), the score that a text in a learned language reaches, measured on all labelled ones.
 
     The bar for a size is a share of the score that all but one in a thousand of the labelled texts of
     that size reach. Sizes with few labelled texts are left out; the next smaller one that is known
@@ -251,9 +251,14 @@ def least_scores(
             known = pa.array([n != UNKNOWN for n in names], pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(scores)], names=["size", "score"]).filter(known)
 
-    rows = _labelled(df, sample_rows, id_column, text_column, lang_column)
-    measured = map_in_arrow(rows, measure, "size bigint, score double").groupBy("size")
-    bars = measured.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("score", F.lit(_BAR_QUANTILE), F.lit(20_000)).alias("score"))
+    rows = _labelled(df, None, id_column, text_column, lang_column)
+    measured = map_in_arrow(rows, measure, "size bigint, score double").groupBy("size", "score")
+    # Scores have six places, so those of a size are counted by value: the bar is exact, whatever the number of texts.
+    counted = stage(measured.agg(F.count(F.lit(1)).alias("n")), "language-scores").df
+    below = F.sum("n").over(Window.partitionBy("size").orderBy("score"))
+    total = F.sum("n").over(Window.partitionBy("size"))
+    reached = counted.withColumns({"below": below, "total": total}).filter(F.col("below") >= F.ceil(F.col("total") * _BAR_QUANTILE))
+    bars = reached.groupBy("size").agg(F.min("score").alias("score"), F.first("total").alias("n"))
     return {r["size"]: _BAR_SHARE * r["score"] for r in bars.collect() if r["n"] >= _BAR_ROWS}
 
 
