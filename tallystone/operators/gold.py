@@ -15,6 +15,10 @@ from tallystone.operators.lookup import attach
 from tallystone.sources.tables import Staged
 
 
+# The vendor's id, where rows got it together with the first month: serving needs no join of its own then.
+MATCHED = "_vendor_id"
+
+
 def spend_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows, total and average amount per key.
 
@@ -67,18 +71,22 @@ def join_category_stats(df: DataFrame, stats: Staged, **sizing) -> DataFrame:
 
 
 def join_first_seen(df: DataFrame, first_seen: Staged, **sizing) -> DataFrame:
+    """Left join on the vendor; rows that carry their vendor's first month already keep it."""
+    if "first_seen_month" in df.columns:
+        return df
     return attach(df, first_seen, "vendor_name", **sizing)
 
 
 def transaction_anomaly(
     df: DataFrame, stats: Staged, first_seen: Staged, sigmas: float = rules.OUTLIER_SIGMAS, **sizing
 ) -> DataFrame:
-    """Every transaction with its category's statistics and both flags, 13 columns.
+    """Every transaction with its category's statistics and both flags, 13 columns (and ``MATCHED``, if it is there).
 
     The statistics are aggregated first and joined back; a window over each category would put
     most of the data on a few tasks.
     """
     joined = df.transform(join_first_seen, first_seen, **sizing).transform(join_category_stats, stats, **sizing)
+    matched = [name for name in joined.columns if name == MATCHED]
     amount = money.amount_num(F.col("amount"))
     return joined.select(
         "transaction_id",
@@ -94,4 +102,5 @@ def transaction_anomaly(
         flags.is_new_vendor_month(txn_month(), F.col("first_seen_month")).alias("is_new_vendor_month"),
         "year",
         "month",
+        *matched,
     )

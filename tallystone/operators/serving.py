@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystone.functions import flags, money, rules, text
 from tallystone.functions.dates import yyyymm
+from tallystone.operators.gold import MATCHED
 from tallystone.operators.lookup import attach
 from tallystone.operators.ranking import dense_ids
 from tallystone.sources.tables import Staged, stage
@@ -26,7 +27,8 @@ def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
     Takes Parquet or exported CSV alike.
     """
-    return df.select(*[F.col(name).try_cast(to).alias(name) for name, to in types.items()])
+    carried = [name for name in (MATCHED, "first_seen_month") if name in df.columns and MATCHED in df.columns]
+    return df.select(*[F.col(name).try_cast(to).alias(name) for name, to in types.items()], *carried)
 
 
 def stage_rejects(df: DataFrame, types: dict[str, str], key: str = "transaction_id") -> DataFrame:
@@ -127,15 +129,28 @@ def _with_agency(df: DataFrame, dim_agency: Staged) -> DataFrame:
 
 
 def _with_vendor(df: DataFrame, dim_vendor: Staged) -> DataFrame:
-    """Vendors are matched on the normalised name: the same matches as on its md5, without a hash per row."""
+    """Vendors are matched on the normalised name: the same matches as on its md5, without a hash per row.
+
+    Rows that carry their vendor's id (see ``vendor_lookup``) keep it.
+    """
+    named = df.withColumn("vendor_name_clean", text.normalize_vendor(F.col("vendor_name")))
+    if MATCHED in df.columns:
+        return named.filter(F.col(MATCHED).isNotNull()).withColumnRenamed(MATCHED, "vendor_id")
     return attach(
-        df.withColumn("vendor_name_clean", text.normalize_vendor(F.col("vendor_name"))),
+        named,
         dim_vendor.select("vendor_name_clean", "vendor_id"),
         "vendor_name_clean",
         how="inner",
     )
 
 
+def vendor_lookup(first_seen: Staged, dim_vendor: Staged) -> DataFrame:
+    """Vendor names as they are in gold with first month and id, so that rows are brought to their vendor once."""
+    ids = dim_vendor.df.select(F.col("vendor_name_clean").alias("_clean"), F.col("vendor_id").alias(MATCHED))
+    named = first_seen.df.withColumn("_clean", text.normalize_vendor(F.col("vendor_name")))
+    return named.join(ids, "_clean", "left").drop("_clean")
+
+
 def derive_period(df: DataFrame) -> DataFrame:
     """Year, month and yyyymm, taken from the date where they are NULL."""
     with_parts = df.withColumns(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallystone.operators import gold, serving
+from tallystone.operators.lookup import fits_broadcast
 from tallystone.plans.jobs import FACT_PARTITIONS, STAMPS
 from tallystone.plans.warehouse import STAR
 from tallystone.sources.columns import gold_columns
@@ -74,6 +75,8 @@ def load_months(spark: SparkSession, root: str, silver: DataFrame, months: Seque
     whole = gold_columns(silver)
     stats = stage(gold.category_stats(whole), "category-stats", measured=True)
     first_seen = stage(gold.vendor_first_seen(whole), "first-seen", measured=True)
+    if not (fits_broadcast(first_seen) and fits_broadcast(dim_vendor)):  # all rows to their vendor once, not twice
+        first_seen = stage(serving.vendor_lookup(first_seen, dim_vendor), "vendor-lookup", measured=True)
     flagged = serving.stage_anomaly(gold.transaction_anomaly(whole, stats, first_seen))
     mart = stage(serving.load_anomaly(flagged, dim_agency, dim_vendor), "anomalies").df
     was = _contents(published["transaction_anomaly"], mart.columns).withColumnsRenamed({"n": "n_before", "digest": "digest_before"})
