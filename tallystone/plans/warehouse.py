@@ -9,9 +9,9 @@ from functools import cached_property, partial
 from pyspark.sql import DataFrame
 
 from tallystone.operators import activity, gold, reports, risk, serving, silver, views
-from tallystone.operators.lookup import fits_broadcast
+from tallystone.operators.lookup import attach, fits_broadcast
 from tallystone.sources.columns import gold_columns
-from tallystone.sources.tables import Staged, observe_size, stage
+from tallystone.sources.tables import Staged, observe_size, read_table, scratch_path, stage, write_table
 from tallystone.sources.versions import VersionFolder
 
 
@@ -30,6 +30,8 @@ _CORE = [
     "transaction_id", "agency_name_clean", "vendor_name_clean", "mcc_description", "description", "transaction_date",
     "year", "month", "yyyymm", "amount", "category_group", "amount_bucket", "day_of_week", "is_weekend",
 ]
+# What rows get from their vendor.
+_VENDOR = ["first_seen_month", gold.MATCHED]
 
 
 class Warehouse:
@@ -47,6 +49,7 @@ class Warehouse:
         self.published = published or {}
         self._given: frozenset[str] = frozenset()
         self._folder: VersionFolder | None = None
+        self._by_month: set[str] = set()
 
     @classmethod
     def from_tables(cls, published: Mapping[str, DataFrame] | None = None, **tables: DataFrame) -> Warehouse:
@@ -59,10 +62,11 @@ class Warehouse:
     def _has(self, layer: str) -> bool:
         return layer in self.__dict__
 
-    def _kept(self, layer: str, df: DataFrame, always: bool = True) -> DataFrame:
+    def _kept(self, layer: str, df: DataFrame, always: bool = True, dealt: bool = False) -> DataFrame:
         """A table of the star: written into the version's folder if there is one, else staged, or left a query."""
         if self._folder is not None:
-            return self._folder.write(STAR[layer], df)
+            self._by_month.add(layer)
+            return self._folder.write(STAR[layer], df, dealt)
         return stage(df, layer).df if always else df
 
     def _kept_dimension(self, layer: str, df: DataFrame) -> Staged:
@@ -81,7 +85,7 @@ class Warehouse:
         for layer in built:
             value = self.__dict__[layer]
             is_staged = isinstance(value, Staged)
-            written = folder.write(STAR[layer], value.df if is_staged else value)
+            written = folder.write(STAR[layer], value.df if is_staged else value, dealt=layer in self._by_month)
             self.__dict__[layer] = Staged(written) if is_staged else written
         self._folder = folder
         try:
@@ -93,6 +97,7 @@ class Warehouse:
         """Drop the star's tables, after the folder that they were written into is gone."""
         for layer in STAR:
             self.__dict__.pop(layer, None)
+        self._by_month.clear()
 
     def _build(self, *layers: str) -> None:
         """Build layers that do not depend on each other at the same time.
@@ -123,7 +128,7 @@ class Warehouse:
         for layer in ("silver", "core"):
             if self._has(layer):
                 return gold_columns(self.__dict__[layer])
-        return stage(gold_columns(silver.build_silver(self.bronze)), "cleaned").df
+        return stage(gold_columns(silver.build_silver(self.bronze, silver.GOLD_INPUT)), "cleaned").df
 
     @cached_property
     def vendor_monthly(self) -> DataFrame:
@@ -151,7 +156,44 @@ class Warehouse:
         """The anomaly rows as a query over written lookups."""
         self._build("cleaned")
         self._build("category_stats", "first_seen")
-        return gold.transaction_anomaly(self.cleaned, self.category_stats, self.first_seen)
+        if self._has("placed"):
+            return gold.transaction_anomaly(gold_columns(self.placed, carried=_VENDOR), self.category_stats, self.first_seen)
+        lookup = self.vendor_lookup if self._has("vendor_lookup") else self.first_seen
+        return gold.transaction_anomaly(self.cleaned, self.category_stats, lookup)
+
+    def _vendors_are_many(self) -> bool:
+        """Whether a lookup by vendor exceeds a broadcast, and first months and ids are of the same vendors."""
+        if self._given & {"anomaly", "first_seen", "vendor_monthly", "cleaned"} or self._has("anomaly"):
+            return False
+        return not (fits_broadcast(self.first_seen) and fits_broadcast(self.dim_vendor))
+
+    @cached_property
+    def vendor_lookup(self) -> Staged:
+        """First month and id by vendor: large, so rows are shuffled to their vendor once for both."""
+        return stage(serving.vendor_lookup(self.first_seen, self.dim_vendor), "vendor-lookup", measured=True)
+
+    @cached_property
+    def placed(self) -> DataFrame:
+        """The rows of fact and anomalies with first month and id of their vendor, in a folder per month.
+
+        Both tables are written from it as it lies.
+        """
+        path = scratch_path(self.core.sparkSession, "placed")
+        key = "vendor_name_clean"
+        lookup = self.vendor_lookup
+        lookup = Staged(lookup.df.withColumnRenamed("vendor_name", key), whole=lookup)
+        write_table(attach(self.core, lookup, key), path, ["yyyymm"])
+        return read_table(self.core.sparkSession, path)
+
+    def _place(self) -> None:
+        """Bring the rows to their vendors once, if fact and anomalies are both to be built and vendors are many."""
+        if self._has("fact") or self._has("mart_anomaly") or self._given & {"anomaly", "first_seen", "vendor_monthly", "cleaned"}:
+            return
+        self._build("core")
+        self._build_dimensions()
+        self._build("category_stats", "first_seen")
+        if self._vendors_are_many() and fits_broadcast(self.dim_agency) and fits_broadcast(self.category_stats):
+            self._build("placed")
 
     def _anomaly_once(self, *lookups: Staged) -> DataFrame:
         """Anomalies for a single reader that attaches ``lookups`` to them.
@@ -220,13 +262,18 @@ class Warehouse:
 
     @cached_property
     def fact(self) -> DataFrame:
-        if self._has("silver"):
+        return self._kept("fact", self._fact_rows(), dealt=self._has("placed"))
+
+    def _fact_rows(self) -> DataFrame:
+        named = {"agency_name_clean": "agency_name", "vendor_name_clean": "vendor_name"}
+        if self._has("placed"):
+            rows = serving.stage_silver(self.placed.withColumnsRenamed(named))
+        elif self._has("silver"):
             rows = self.stage_silver
         else:
-            named = {"agency_name_clean": "agency_name", "vendor_name_clean": "vendor_name"}
             rows = serving.stage_silver(self.core.withColumnsRenamed(named))
         self._build_dimensions()
-        return self._kept("fact", serving.load_fact(rows, self.dim_agency, self.dim_vendor))
+        return serving.load_fact(rows, self.dim_agency, self.dim_vendor)
 
     @cached_property
     def mart_vendor_monthly(self) -> DataFrame:
@@ -244,8 +291,14 @@ class Warehouse:
             self._build("category_stats", "vendor_monthly", "agency_category")
             self._build("first_seen", "dim_agency", "dim_vendor")
         self._build_dimensions()
-        flagged = serving.stage_anomaly(self._anomaly_once(self.dim_agency, self.dim_vendor))
-        return self._kept("mart_anomaly", serving.load_anomaly(flagged, self.dim_agency, self.dim_vendor))
+        if self._vendors_are_many():
+            if not self._has("placed"):
+                self._build("vendor_lookup")
+            flagged = serving.stage_anomaly(self._flagged())
+        else:
+            flagged = serving.stage_anomaly(self._anomaly_once(self.dim_agency, self.dim_vendor))
+        loaded = serving.load_anomaly(flagged, self.dim_agency, self.dim_vendor)
+        return self._kept("mart_anomaly", loaded, dealt=self._has("placed"))
 
     @cached_property
     def mart_vendor_risk(self) -> DataFrame:
@@ -256,6 +309,7 @@ class Warehouse:
         return {table: getattr(self, layer) for layer, table in STAR.items() if not layer.startswith("dim_")}
 
     def star(self) -> dict[str, DataFrame]:
+        self._place()
         marts = self.marts()  # first: the fact needs more of silver than gold does
         return {"dim_agency": self.dim_agency.df, "dim_vendor": self.dim_vendor.df, **marts}
 
@@ -287,7 +341,8 @@ class Warehouse:
 
     @cached_property
     def v_dim_date(self) -> DataFrame:
-        return views.v_dim_date(self.fact)
+        """Only the fact's dates are needed: unless it exists, it stays a query, of which few columns are read."""
+        return views.v_dim_date(self.fact if self._has("fact") else self._fact_rows())
 
     @cached_property
     def v_dim_month(self) -> DataFrame:

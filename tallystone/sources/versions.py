@@ -35,8 +35,11 @@ class VersionFolder(Mapping):
         self._written: dict[str, DataFrame] = {}
         self._observed: dict[str, Observation] = {}
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a table, once, and return it as it is read from there, without its load time."""
+    def write(self, name: str, df: DataFrame, dealt: bool = False) -> DataFrame:
+        """Write a table, once, and return it as it is read from there, without its load time.
+
+        ``dealt``: its rows come from files of one partition each.
+        """
         columns, path = df.columns, f"{self.path}/{name}"
         measures = self._measures(name, df) if self._measures else []
         if measures:
@@ -44,7 +47,7 @@ class VersionFolder(Mapping):
             df = df.observe(self._observed[name], *measures)
         if name in self._stamps:
             df = df.withColumn(self._stamps[name], F.current_timestamp())
-        write_table(df, path, self._partition_by.get(name, ()), mode="errorifexists")
+        write_table(df, path, self._partition_by.get(name, ()), mode="errorifexists", dealt=dealt)
         self._written[name] = read_table(self.spark, path)
         return self._written[name].select(*columns)
 
