@@ -19,11 +19,19 @@ def allowed_edits(length: Column) -> Column:
     return allowed.otherwise(0)
 
 
-def _grams(name: Column) -> Column:
-    """Groups of successive letters of the padded name; a repeated one carries its number, so that sets keep count."""
+def _sorted_grams(name: Column) -> Column:
+    """Groups of successive letters of the padded name, in their order."""
     padded = F.concat(F.lit("\x02" * (GRAM - 1)), name, F.lit("\x03" * (GRAM - 1)))
     plain = F.transform(F.sequence(F.lit(1), F.length(name) + GRAM - 1), lambda i: F.substring(padded, i, F.lit(GRAM)))
-    return F.transform(plain, lambda x, i: F.concat(x, F.size(F.filter(F.slice(plain, 1, i), lambda y: y == x)).cast("string")))
+    return F.sort_array(plain)
+
+
+def _numbered(grams: Column) -> Column:
+    """A repeated group carries its number, from 0, so that sets keep count: equal ones lie together.
+
+    ``grams`` has to be a column of the table below: an expression would be worked out again for every group.
+    """
+    return F.transform(grams, lambda x, i: F.concat(x, (i + 1 - F.array_position(grams, x)).cast("string")))
 
 
 def _digits(name: str) -> Column:
@@ -42,20 +50,22 @@ def candidate_pairs(names: DataFrame) -> DataFrame:
     those with other digits go at the end. Written names take a small part of their size in memory, so no
     join here may be planned as a broadcast by the size of files.
     """
-    group = F.xxhash64(_digits("name"), "gram")
     known = names.select("name", F.length("name").alias("length")).withColumn("edits", allowed_edits(F.col("length")))
-    postings = known.filter("edits > 0").select("name", "length", "edits", F.explode(_grams(F.col("name"))).alias("gram"))
-    postings = stage(postings.withColumn("gram", group), "name-grams").df
+    # Digits and groups once per name, written, so that no later step works them out for every posting.
+    taken = known.filter("edits > 0").withColumns({"digits": F.xxhash64(_digits("name")), "grams": _sorted_grams(F.col("name"))})
+    taken = stage(taken, "grams-of-names").df
+    postings = taken.select("name", "length", "edits", "digits", F.explode(_numbered(F.col("grams"))).alias("gram"))
+    postings = stage(postings.withColumn("gram", F.xxhash64("digits", "gram")).drop("digits"), "name-grams").df
     counts = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
     per_name = Window.partitionBy("name")  # as many rows as a name has letters
     alone = F.col("length") + (GRAM - 1) - F.count(F.lit(1)).over(per_name)
     place = alone + F.row_number().over(per_name.orderBy("holders", "gram"))
     prefix = postings.join(counts.hint("merge"), "gram").withColumn("place", place).filter(F.col("place") <= F.col("edits") * GRAM + 1)
-    prefix = stage(prefix.select("gram", "name", "length"), "name-prefixes").df
-    x = prefix.select("gram", F.col("name").alias("a"), F.col("length").alias("length_a"))
-    y = prefix.select("gram", F.col("name").alias("b"), F.col("length").alias("length_b"))
+    prefix = stage(prefix.select("gram", "name", "length", _digits("name").alias("digits")), "name-prefixes").df
+    x = prefix.select("gram", F.col("name").alias("a"), F.col("length").alias("length_a"), F.col("digits").alias("digits_a"))
+    y = prefix.select("gram", F.col("name").alias("b"), F.col("length").alias("length_b"), F.col("digits").alias("digits_b"))
     near = F.abs(F.col("length_a") - F.col("length_b")) <= allowed_edits(F.least("length_a", "length_b"))
-    near = near & (F.col("a") < F.col("b")) & (_digits("a") == _digits("b"))
+    near = near & (F.col("a") < F.col("b")) & (F.col("digits_a") == F.col("digits_b"))
     return x.join(y.hint("merge"), "gram").filter(near).select("a", "b").distinct()
 
 
