@@ -34,7 +34,8 @@ def spend_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def vendor_monthly_spend(df: DataFrame) -> DataFrame:
-    return spend_summary(df, ["year", "month", "vendor_name"])
+    """Rows that carry their vendor's id (``MATCHED``) keep it."""
+    return spend_summary(df, ["year", "month", "vendor_name", *[name for name in df.columns if name == MATCHED]])
 
 
 def agency_category_spend(df: DataFrame) -> DataFrame:
@@ -56,9 +57,14 @@ def category_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def vendor_first_seen(df: DataFrame) -> DataFrame:
-    """First month per vendor. Also works on ``vendor_monthly_spend``, which is far smaller."""
-    return df.groupBy("vendor_name").agg(F.min(txn_month()).alias("first_seen_month"))
+def vendor_first_seen(df: DataFrame, counted: bool = False) -> DataFrame:
+    """First month per vendor. Also works on ``vendor_monthly_spend``, which is far smaller.
+
+    ``counted`` adds ``n``, the vendor's transactions.
+    """
+    rows = F.sum("txn_count") if "txn_count" in df.columns else F.count(F.lit(1))
+    found = [F.min(txn_month()).alias("first_seen_month"), *([rows.alias("n")] if counted else [])]
+    return df.groupBy("vendor_name").agg(*found)
 
 
 def txn_month() -> Column:

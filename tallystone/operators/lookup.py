@@ -25,6 +25,7 @@ def attach(
     broadcast_bytes: int | None = None,
     heavy_keys: int | None = None,
     stage_facts: bool = False,
+    rows_per_key: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join ``facts`` with a staged lookup that has one row per ``key``; ``how`` is left or inner.
 
@@ -35,7 +36,8 @@ def attach(
     where rows go, never the result.
 
     Facts are read up to three times then: attach large lookups first and small ones on top, and
-    let ``stage_facts`` write facts that are costly to derive.
+    let ``stage_facts`` write facts that are costly to derive. ``rows_per_key`` (``key, n``) spares counting
+    where the numbers are known.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"attach supports left and inner joins, not {how!r}")
@@ -44,7 +46,9 @@ def attach(
 
     if stage_facts:
         facts = stage(facts, "facts").df
-    per_key = stage(facts.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "rows-per-key").df
+    per_key = rows_per_key
+    if per_key is None:
+        per_key = stage(facts.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "rows-per-key").df
     total = per_key.agg(F.sum("n")).first()[0] or 0
     is_heavy = F.col("n") * (HEAVY_KEYS if heavy_keys is None else heavy_keys) >= total
     if per_key.filter(is_heavy).isEmpty():

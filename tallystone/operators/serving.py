@@ -131,7 +131,7 @@ def _with_agency(df: DataFrame, dim_agency: Staged) -> DataFrame:
 def _with_vendor(df: DataFrame, dim_vendor: Staged) -> DataFrame:
     """Vendors are matched on the normalised name: the same matches as on its md5, without a hash per row.
 
-    Rows that carry their vendor's id (see ``vendor_lookup``) keep it.
+    Rows that carry their vendor's id (see ``vendor_lookup``) keep it and need no join.
     """
     named = df.withColumn("vendor_name_clean", text.normalize_vendor(F.col("vendor_name")))
     if MATCHED in df.columns:
@@ -218,10 +218,14 @@ def load_agency_category(staged: DataFrame, dim_agency: Staged) -> DataFrame:
     )
 
 
+# The names behind the ids of a mart's rows.
+NAMES = ["agency_name", "vendor_name_clean"]
+
+
 def load_anomaly(
-    staged: DataFrame, dim_agency: Staged, dim_vendor: Staged, high_amount: float = rules.HIGH_AMOUNT
+    staged: DataFrame, dim_agency: Staged, dim_vendor: Staged, high_amount: float = rules.HIGH_AMOUNT, named: bool = False
 ) -> DataFrame:
-    """Flagged transactions with ids, boolean flags and the strongest reason."""
+    """Flagged transactions with ids, boolean flags and the strongest reason; ``named`` keeps the ids' names as well."""
     joined = (
         staged.dropna(subset=["transaction_id"]).transform(_with_vendor, dim_vendor).transform(_with_agency, dim_agency)
     )
@@ -239,6 +243,7 @@ def load_anomaly(
         new_vendor.alias("is_new_vendor"),
         high.alias("is_high_amount"),
         flags.anomaly_reason(outlier, new_vendor, high).alias("anomaly_reason"),
+        *(NAMES if named else []),
     )
 
 

@@ -21,9 +21,12 @@ def v_agency_category_spend(agency_category: DataFrame) -> DataFrame:
 
 
 def v_transaction_anomaly(anomaly: DataFrame, dim_agency: Staged, dim_vendor: Staged) -> DataFrame:
-    """Anomaly rows with names instead of ids."""
-    named = attach(anomaly, dim_vendor.select("vendor_id", "vendor_name_clean"), "vendor_id", how="inner")
-    named = attach(named, dim_agency.select("agency_id", "agency_name"), "agency_id", how="inner")
+    """Anomaly rows with names instead of ids; names that the rows carry already are not looked up."""
+    named = anomaly
+    if "vendor_name_clean" not in named.columns:
+        named = attach(named, dim_vendor.select("vendor_id", "vendor_name_clean"), "vendor_id", how="inner")
+    if "agency_name" not in named.columns:
+        named = attach(named, dim_agency.select("agency_id", "agency_name"), "agency_id", how="inner")
     return named.select(
         "yyyymm", "transaction_id", "transaction_date", "agency_name", "vendor_name_clean", "category_group",
         "amount", "is_outlier", "is_new_vendor", "is_high_amount", "anomaly_reason",

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tallystone.operators import activity, gold, reports, risk, serving, silver, views
 from tallystone.operators.lookup import attach, fits_broadcast
@@ -30,8 +30,12 @@ _CORE = [
     "transaction_id", "agency_name_clean", "vendor_name_clean", "mcc_description", "description", "transaction_date",
     "year", "month", "yyyymm", "amount", "category_group", "amount_bucket", "day_of_week", "is_weekend",
 ]
+# What of these the others follow from (see ``silver.derive``).
+_TOLD = ["transaction_id", "agency_name_clean", "vendor_name_clean", "mcc_description", "description", "transaction_date", "amount"]
 # What rows get from their vendor.
 _VENDOR = ["first_seen_month", gold.MATCHED]
+# Layers that, if given, may hold other rows or vendors than silver does.
+_ELSEWHERE = {"anomaly", "first_seen", "vendor_monthly", "cleaned"}
 
 
 class Warehouse:
@@ -50,6 +54,7 @@ class Warehouse:
         self._given: frozenset[str] = frozenset()
         self._folder: VersionFolder | None = None
         self._by_month: set[str] = set()
+        self._dealt = False  # whether the placed rows lie in a folder per month
 
     @classmethod
     def from_tables(cls, published: Mapping[str, DataFrame] | None = None, **tables: DataFrame) -> Warehouse:
@@ -97,6 +102,7 @@ class Warehouse:
         """Drop the star's tables, after the folder that they were written into is gone."""
         for layer in STAR:
             self.__dict__.pop(layer, None)
+        self.__dict__.pop("named_anomaly", None)
         self._by_month.clear()
 
     def _build(self, *layers: str) -> None:
@@ -143,10 +149,14 @@ class Warehouse:
         return stage(gold.category_stats(self.cleaned), "category-stats", measured=True)
 
     @cached_property
-    def first_seen(self) -> Staged:
-        """From the monthly spend when that exists already, as it is far smaller."""
+    def vendors(self) -> Staged:
+        """First month and number of rows by vendor: from the monthly spend when that exists already, as it is far smaller."""
         source = self.vendor_monthly if "vendor_monthly" in self.__dict__ else self.cleaned
-        return stage(gold.vendor_first_seen(source), "first-seen", measured=True)
+        return stage(gold.vendor_first_seen(source, counted=True), "first-seen", measured=True)
+
+    @cached_property
+    def first_seen(self) -> Staged:
+        return self.vendors.select("vendor_name", "first_seen_month")
 
     @cached_property
     def anomaly(self) -> DataFrame:
@@ -159,11 +169,18 @@ class Warehouse:
         if self._has("placed"):
             return gold.transaction_anomaly(gold_columns(self.placed, carried=_VENDOR), self.category_stats, self.first_seen)
         lookup = self.vendor_lookup if self._has("vendor_lookup") else self.first_seen
-        return gold.transaction_anomaly(self.cleaned, self.category_stats, lookup)
+        rows = gold.join_first_seen(self.cleaned, lookup, rows_per_key=self._rows_per_vendor("vendor_name"))
+        return gold.transaction_anomaly(rows, self.category_stats, lookup)
+
+    def _rows_per_vendor(self, key: str) -> DataFrame | None:
+        """``key, n`` of the cleaned rows, if they were counted with the first months."""
+        if not self._has("vendors") or self._given & _ELSEWHERE:
+            return None
+        return self.vendors.df.select(F.col("vendor_name").alias(key), "n")
 
     def _vendors_are_many(self) -> bool:
         """Whether a lookup by vendor exceeds a broadcast, and first months and ids are of the same vendors."""
-        if self._given & {"anomaly", "first_seen", "vendor_monthly", "cleaned"} or self._has("anomaly"):
+        if self._given & _ELSEWHERE or self._has("anomaly"):
             return False
         return not (fits_broadcast(self.first_seen) and fits_broadcast(self.dim_vendor))
 
@@ -174,25 +191,38 @@ class Warehouse:
 
     @cached_property
     def placed(self) -> DataFrame:
-        """The rows of fact and anomalies with first month and id of their vendor, in a folder per month.
+        """The rows of fact and anomalies with first month and id of their vendor.
 
-        Both tables are written from it as it lies.
+        For a version's folder they lie in a folder per month, so that both tables are written from it as it
+        lies. Rows that were cleaned here travel without what follows from the rest of them.
         """
-        path = scratch_path(self.core.sparkSession, "placed")
-        key = "vendor_name_clean"
+        key, spark = "vendor_name_clean", self.core.sparkSession
         lookup = self.vendor_lookup
         lookup = Staged(lookup.df.withColumnRenamed("vendor_name", key), whole=lookup)
-        write_table(attach(self.core, lookup, key), path, ["yyyymm"])
-        return read_table(self.core.sparkSession, path)
+        rows = self.core if self._given else self.core.select(*_TOLD)
+        rows = attach(rows, lookup, key, rows_per_key=self._rows_per_vendor(key))
+        if self._folder is None:
+            rows = stage(rows, "placed").df
+        else:
+            path = scratch_path(spark, "placed")
+            write_table(rows if self._given else silver.derive(rows).select(*rows.columns, "yyyymm"), path, ["yyyymm"])
+            self._dealt = True
+            rows = read_table(spark, path)
+        return rows if self._given else silver.derive(rows).select(*_CORE, *_VENDOR)
+
+    def place(self, always: bool = False) -> None:
+        """Bring the rows to their vendors once, before fact (or its calendar) and anomalies are both asked for.
 
-    def _place(self) -> None:
-        """Bring the rows to their vendors once, if fact and anomalies are both to be built and vendors are many."""
-        if self._has("fact") or self._has("mart_anomaly") or self._given & {"anomaly", "first_seen", "vendor_monthly", "cleaned"}:
+        Without ``always`` only if vendors are many; a smaller lookup moves no rows.
+        """
+        if self._has("fact") or self._has("mart_anomaly") or self._has("anomaly") or self._given & _ELSEWHERE:
             return
         self._build("core")
-        self._build_dimensions()
         self._build("category_stats", "first_seen")
-        if self._vendors_are_many() and fits_broadcast(self.dim_agency) and fits_broadcast(self.category_stats):
+        self._build_dimensions()
+        if not (fits_broadcast(self.dim_agency) and fits_broadcast(self.category_stats)):
+            return
+        if always or self._vendors_are_many():
             self._build("placed")
 
     def _anomaly_once(self, *lookups: Staged) -> DataFrame:
@@ -203,7 +233,7 @@ class Warehouse:
         """
         if not self._has("anomaly"):
             flagged = self._flagged()
-            if all(fits_broadcast(x) for x in (self.category_stats, self.first_seen, *lookups)):
+            if self._has("placed") or all(fits_broadcast(x) for x in (self.category_stats, self.first_seen, *lookups)):
                 return flagged
         return self.anomaly
 
@@ -237,6 +267,8 @@ class Warehouse:
         A monthly table built here from silver already has every name of silver, and so do the
         anomalies built from it; only tables that came from elsewhere have to be scanned as well.
         """
+        if monthly == "vendor_monthly" and self._names_are_many():
+            return [self.first_seen.df]
         sources = [getattr(self, f"stage_{monthly}")]
         if monthly in self._given:
             sources.append(self.stage_silver)
@@ -244,6 +276,12 @@ class Warehouse:
             sources.append(self.stage_anomaly)
         return sources
 
+    def _names_are_many(self) -> bool:
+        """Whether first months of too many vendors for a broadcast are there; they hold every vendor once."""
+        if self._given & _ELSEWHERE or self._has("vendor_monthly") or not self._has("first_seen"):
+            return False
+        return not fits_broadcast(self.first_seen)
+
     @cached_property
     def dim_agency(self) -> Staged:
         candidates = serving.agency_candidates(*self._name_sources("agency_category"))
@@ -255,14 +293,15 @@ class Warehouse:
         return self._kept_dimension("dim_vendor", serving.upsert_dim_vendor(candidates, self.published.get("dim_vendor")))
 
     def _build_dimensions(self) -> None:
-        if not (self._has("vendor_monthly") and self._has("agency_category")):
+        monthly = [] if self._names_are_many() else ["vendor_monthly"]
+        if not all(self._has(layer) for layer in [*monthly, "agency_category"]):
             self._build("cleaned")
-        self._build("vendor_monthly", "agency_category")
+        self._build(*monthly, "agency_category")
         self._build("dim_agency", "dim_vendor")
 
     @cached_property
     def fact(self) -> DataFrame:
-        return self._kept("fact", self._fact_rows(), dealt=self._has("placed"))
+        return self._kept("fact", self._fact_rows(), dealt=self._dealt)
 
     def _fact_rows(self) -> DataFrame:
         named = {"agency_name_clean": "agency_name", "vendor_name_clean": "vendor_name"}
@@ -277,7 +316,12 @@ class Warehouse:
 
     @cached_property
     def mart_vendor_monthly(self) -> DataFrame:
-        return self._kept("mart_vendor_monthly", serving.load_vendor_monthly(self.stage_vendor_monthly, self.dim_vendor))
+        if self._has("placed") and not self._has("vendor_monthly"):  # rows carry their vendors' ids
+            monthly = gold.vendor_monthly_spend(gold_columns(self.placed, carried=[gold.MATCHED]))
+            staged = serving.stage_vendor_monthly(monthly)
+        else:
+            staged = self.stage_vendor_monthly
+        return self._kept("mart_vendor_monthly", serving.load_vendor_monthly(staged, self.dim_vendor))
 
     @cached_property
     def mart_agency_category(self) -> DataFrame:
@@ -288,17 +332,22 @@ class Warehouse:
     def mart_anomaly(self) -> DataFrame:
         if not self._has("anomaly"):
             self._build("cleaned")
-            self._build("category_stats", "vendor_monthly", "agency_category")
-            self._build("first_seen", "dim_agency", "dim_vendor")
+            self._build("category_stats", "first_seen", "agency_category")
         self._build_dimensions()
-        if self._vendors_are_many():
+        many = self._vendors_are_many()
+        if many or self._has("placed"):
             if not self._has("placed"):
                 self._build("vendor_lookup")
             flagged = serving.stage_anomaly(self._flagged())
         else:
             flagged = serving.stage_anomaly(self._anomaly_once(self.dim_agency, self.dim_vendor))
-        loaded = serving.load_anomaly(flagged, self.dim_agency, self.dim_vendor)
-        return self._kept("mart_anomaly", loaded, dealt=self._has("placed"))
+        # A view looks up the names of many vendors by shuffling all rows again, so they are written with the rows.
+        named = many and self._folder is None
+        loaded = serving.load_anomaly(flagged, self.dim_agency, self.dim_vendor, named=named)
+        kept = self._kept("mart_anomaly", loaded, dealt=self._dealt)
+        if named:
+            self.named_anomaly = kept
+        return kept.drop(*serving.NAMES)
 
     @cached_property
     def mart_vendor_risk(self) -> DataFrame:
@@ -309,7 +358,7 @@ class Warehouse:
         return {table: getattr(self, layer) for layer, table in STAR.items() if not layer.startswith("dim_")}
 
     def star(self) -> dict[str, DataFrame]:
-        self._place()
+        self.place(always=True)
         marts = self.marts()  # first: the fact needs more of silver than gold does
         return {"dim_agency": self.dim_agency.df, "dim_vendor": self.dim_vendor.df, **marts}
 
@@ -333,7 +382,8 @@ class Warehouse:
 
     @cached_property
     def v_transaction_anomaly(self) -> DataFrame:
-        return views.v_transaction_anomaly(self.mart_anomaly, self.dim_agency, self.dim_vendor)
+        mart = self.mart_anomaly
+        return views.v_transaction_anomaly(vars(self).get("named_anomaly", mart), self.dim_agency, self.dim_vendor)
 
     @cached_property
     def v_vendor_risk_scores(self) -> DataFrame:
