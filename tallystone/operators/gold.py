@@ -17,6 +17,8 @@ from tallystone.sources.tables import Staged
 
 # The vendor's id, where rows got it together with the first month: serving needs no join of its own then.
 MATCHED = "_vendor_id"
+# The share of a month's vendors that a row was dealt to, where rows lie together by month and share already.
+SHARE = "_share"
 
 
 def spend_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -34,8 +36,8 @@ def spend_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def vendor_monthly_spend(df: DataFrame) -> DataFrame:
-    """Rows that carry their vendor's id (``MATCHED``) keep it."""
-    return spend_summary(df, ["year", "month", "vendor_name", *[name for name in df.columns if name == MATCHED]])
+    """Rows that carry their vendor's id (``MATCHED``) keep it, and those dealt to shares (``SHARE``) are not moved again."""
+    return spend_summary(df, ["year", "month", "vendor_name", *[name for name in df.columns if name in (MATCHED, SHARE)]])
 
 
 def agency_category_spend(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallystone.functions.rules import KEYS, REQUIRED_COLUMNS
 
@@ -36,11 +36,13 @@ def violations(name: str, tables: Mapping[str, DataFrame], rules: Rules, nulls_c
     """Rows (table_name, rule, offenders), one per broken rule of one table; none when it is sound.
 
     Every check aggregates before it compares: keys are counted, NULLs are counted in one pass,
-    references are compared as distinct ids. With ``nulls_checked`` that pass is left out.
+    references are compared as distinct ids. With ``nulls_checked`` that pass is left out. Ids are whole and dense
+    numbers, so they are shuffled as bitmaps.
     """
     table = tables[name]
     checks = [
-        table.groupBy(*key)
+        _suspects(table, key)
+        .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .agg(F.count(F.lit(1)).alias("offenders"))
@@ -55,14 +57,8 @@ def violations(name: str, tables: Mapping[str, DataFrame], rules: Rules, nulls_c
             .select(F.concat(F.lit("required "), "column").alias("rule"), "offenders")
         )
     for column, (dim, dim_column) in rules.references.items():
-        unknown = (
-            table.filter(F.col(column).isNotNull())
-            .select(column)
-            .distinct()
-            .join(tables[dim].select(F.col(dim_column).alias(column)), column, "left_anti")
-        )
         checks.append(
-            unknown.agg(F.count(F.lit(1)).alias("offenders")).select(
+            _unknown_ids(table, column, tables[dim], dim_column).select(
                 F.lit(f"{column} references {dim}").alias("rule"), "offenders"
             )
         )
@@ -73,6 +69,46 @@ def violations(name: str, tables: Mapping[str, DataFrame], rules: Rules, nulls_c
     )
 
 
+def _is_whole(table: DataFrame, column: str) -> bool:
+    return isinstance(table.schema[column].dataType, T.IntegralType)
+
+
+def _suspects(table: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The key's columns of rows among which repeats can be; all rows, unless the key is an id within something else.
+
+    Such ids are marked in a bitmap per bucket of 32,768: a bucket with as many marks as rows has no repeat.
+    Of the others only their numbers are broadcast.
+    """
+    *within, column = key
+    if not within or not column.endswith("_id") or not _is_whole(table, column):
+        return table.select(*key)
+    rows = table.select(*key, F.bitmap_bucket_number(column).alias("_bucket"), F.bitmap_bit_position(column).alias("_bit"))
+    buckets = rows.groupBy(*within, "_bucket").agg(
+        F.count(F.lit(1)).alias("_rows"), F.bitmap_count(F.bitmap_construct_agg("_bit")).alias("_marks")
+    )
+    suspect = buckets.filter("_rows > _marks").select(*[F.col(name).alias(f"_{name}") for name in within], F.col("_bucket").alias("_suspect"))
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in within]
+    return rows.join(F.broadcast(suspect), [*same, F.col("_bucket").eqNullSafe(F.col("_suspect"))], "left_semi").select(*key)
+
+
+def _unknown_ids(table: DataFrame, column: str, dim: DataFrame, dim_column: str) -> DataFrame:
+    """One row: how many different ids of the table the dimension lacks."""
+    if not _is_whole(table, column) or not _is_whole(dim, dim_column):
+        ids = table.filter(F.col(column).isNotNull()).select(column).distinct()
+        unknown = ids.join(dim.select(F.col(dim_column).alias(column)), column, "left_anti")
+        return unknown.agg(F.count(F.lit(1)).alias("offenders"))
+
+    def marked(df, name):
+        known = df.filter(F.col(name).isNotNull())
+        placed = known.select(F.bitmap_bucket_number(name).alias("bucket"), F.bitmap_bit_position(name).alias("bit"))
+        return placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("ids"))
+
+    theirs = marked(dim, dim_column).withColumn("known", F.bitmap_count("ids"))
+    both = marked(table, column).withColumn("known", F.lit(0).cast("bigint")).unionByName(theirs)
+    united = both.groupBy("bucket").agg(F.bitmap_count(F.bitmap_or_agg("ids")).alias("all"), F.sum("known").alias("known"))
+    return united.agg(F.coalesce(F.sum(F.col("all") - F.col("known")), F.lit(0)).alias("offenders"))
+
+
 def star_violations(tables: Mapping[str, DataFrame], nulls_checked: bool = False) -> DataFrame:
     """Violations of all tables of the star that are present."""
     found = [violations(name, tables, rules, nulls_checked) for name, rules in STAR_RULES.items() if name in tables]

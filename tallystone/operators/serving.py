@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallystone.functions import flags, money, rules, text
 from tallystone.functions.dates import yyyymm
 from tallystone.operators.gold import MATCHED
-from tallystone.operators.lookup import attach
+from tallystone.operators.lookup import attach, fits_broadcast
 from tallystone.operators.ranking import dense_ids
 from tallystone.sources.tables import Staged, stage
 
@@ -248,12 +248,15 @@ def load_anomaly(
 
 
 def vendor_risk_monthly(anomaly: DataFrame, dim_vendor: Staged) -> DataFrame:
-    """Score per vendor and month. Flags are summed by id first; names are attached to the few sums."""
+    """Score per vendor and month. Flags are summed by id first; names are attached to the few sums.
+
+    A vendor has at most one sum a month, so no vendor's sums are many and a large dimension is joined as it is.
+    """
     sums = anomaly.groupBy("yyyymm", "vendor_id").agg(
         F.count_if("is_outlier").alias("outlier_txn"), F.count_if("is_new_vendor").alias("new_vendor_txn")
     )
     names = dim_vendor.select("vendor_id", "vendor_name_clean")
-    named = attach(sums, names, "vendor_id", how="inner", stage_facts=True)
+    named = sums.join(F.broadcast(names.df) if fits_broadcast(names) else names.df, "vendor_id")
     return named.select(
         "yyyymm",
         "vendor_id",

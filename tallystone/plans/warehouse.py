@@ -34,6 +34,8 @@ _CORE = [
 _TOLD = ["transaction_id", "agency_name_clean", "vendor_name_clean", "mcc_description", "description", "transaction_date", "amount"]
 # What rows get from their vendor.
 _VENDOR = ["first_seen_month", gold.MATCHED]
+# Rows of all months together that come to one share of each month's vendors.
+_SHARE_ROWS = 20_000_000
 # Layers that, if given, may hold other rows or vendors than silver does.
 _ELSEWHERE = {"anomaly", "first_seen", "vendor_monthly", "cleaned"}
 
@@ -317,11 +319,24 @@ class Warehouse:
     @cached_property
     def mart_vendor_monthly(self) -> DataFrame:
         if self._has("placed") and not self._has("vendor_monthly"):  # rows carry their vendors' ids
-            monthly = gold.vendor_monthly_spend(gold_columns(self.placed, carried=[gold.MATCHED]))
-            staged = serving.stage_vendor_monthly(monthly)
+            rows = gold_columns(self.placed, carried=[gold.MATCHED])
+            shares = self._shares() if self._dealt else 0
+            if shares:
+                rows = rows.withColumn(gold.SHARE, F.pmod(F.hash("vendor_name"), F.lit(shares))).repartition("year", "month", gold.SHARE)
+            staged = serving.stage_vendor_monthly(gold.vendor_monthly_spend(rows))
         else:
-            staged = self.stage_vendor_monthly
-        return self._kept("mart_vendor_monthly", serving.load_vendor_monthly(staged, self.dim_vendor))
+            shares, staged = 0, self.stage_vendor_monthly
+        return self._kept("mart_vendor_monthly", serving.load_vendor_monthly(staged, self.dim_vendor), dealt=shares > 0)
+
+    def _shares(self) -> int:
+        """Into how many shares of its vendors a month is dealt, so that sums are written from where they are made.
+
+        None if a vendor holds more than a hundredth of the rows: they are combined before the shuffle then.
+        """
+        if self._rows_per_vendor("vendor_name") is None:
+            return 0
+        rows, most = self.vendors.df.agg(F.sum("n"), F.max("n")).first()
+        return 0 if not rows or most * 100 > rows else 1 + rows // _SHARE_ROWS
 
     @cached_property
     def mart_agency_category(self) -> DataFrame:
