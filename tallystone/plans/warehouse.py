@@ -171,7 +171,12 @@ class Warehouse:
         if self._has("placed"):
             return gold.transaction_anomaly(gold_columns(self.placed, carried=_VENDOR), self.category_stats, self.first_seen)
         lookup = self.vendor_lookup if self._has("vendor_lookup") else self.first_seen
-        rows = gold.join_first_seen(self.cleaned, lookup, rows_per_key=self._rows_per_vendor("vendor_name"))
+        told = not self._given and not fits_broadcast(lookup)  # rows cleaned here travel without what follows from the rest
+        rows = self.cleaned.drop("year", "month", "category_group") if told else self.cleaned
+        rows = gold.join_first_seen(rows, lookup, rows_per_key=self._rows_per_vendor("vendor_name"))
+        if told:
+            got = [name for name in _VENDOR if name in rows.columns]
+            rows = gold_columns(silver.derive(rows.withColumnRenamed("merchant_category", "mcc_description")), carried=got)
         return gold.transaction_anomaly(rows, self.category_stats, lookup)
 
     def _rows_per_vendor(self, key: str) -> DataFrame | None:
