@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallystone.functions import flags, money, rules
+from tallystone.functions import flags, money, rules, text
 from tallystone.functions.dates import first_of_month
 from tallystone.operators.lookup import attach
 from tallystone.sources.tables import Staged
@@ -19,6 +19,8 @@ from tallystone.sources.tables import Staged
 MATCHED = "_vendor_id"
 # The share of a month's vendors that a row was dealt to, where rows lie together by month and share already.
 SHARE = "_share"
+# What a vendor's month sums to, in one of its rows (see ``with_month_sums``).
+SUMS = "_sums"
 
 
 def spend_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -27,16 +29,49 @@ def spend_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Amounts are added as decimals, so the result does not depend on the order of addition; the
     total and its quotient are doubles.
     """
-    total = F.sum("amount").cast("double")
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("txn_count"),
-        total.alias("total_spend"),
-        F.try_divide(total, F.count("amount")).alias("avg_spend"),
+    return df.groupBy(*keys).agg(*_spend(F.count(F.lit(1)), F.sum("amount"), F.count("amount")))
+
+
+def _spend(rows: Column, total: Column, amounts: Column) -> list[Column]:
+    total = total.cast("double")
+    return [rows.alias("txn_count"), total.alias("total_spend"), F.try_divide(total, amounts).alias("avg_spend")]
+
+
+def with_month_sums(df: DataFrame, stats: Staged, within: Sequence[str], sigmas: float = rules.OUTLIER_SIGMAS) -> DataFrame:
+    """Rows with ``SUMS``: what their vendor's month sums to, in one row of each vendor and month, NULL in the others.
+
+    ``df`` has the columns of ``gold_columns`` with each vendor's first month, and lies together by ``within``, the month
+    among it, so that nothing is moved. A total that is the row's own amount is left out. Flags are counted over the
+    rows that the anomaly mart keeps: those whose vendor and agency have names.
+    """
+    month = Window.partitionBy(*within, "vendor_name").orderBy("vendor_name")
+    whole = month.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    outlier = flags.is_outlier(money.amount_num(F.col("amount")), F.col("mean_amount"), F.col("std_amount"), sigmas) == 1
+    new_vendor = flags.is_new_vendor_month(txn_month(), F.col("first_seen_month")) == 1
+    known = ~text.is_blank(F.col("vendor_name")) & ~text.is_blank(F.col("agency_name"))
+    rows = F.count(F.lit(1)).over(whole)
+    sums = F.struct(
+        rows.alias("rows"),
+        F.count("amount").over(whole).alias("amounts"),
+        F.when(rows > 1, F.sum("amount").over(whole)).alias("total"),
+        F.count_if(known).over(whole).alias("known"),
+        F.count_if(known & outlier).over(whole).alias("outlier_txn"),
+        F.count_if(known & new_vendor).over(whole).alias("new_vendor_txn"),
     )
+    joined = join_category_stats(df, stats)
+    return joined.select(*df.columns, F.when(F.row_number().over(month) == 1, sums).alias(SUMS))
 
 
 def vendor_monthly_spend(df: DataFrame) -> DataFrame:
-    """Rows that carry their vendor's id (``MATCHED``) keep it, and those dealt to shares (``SHARE``) are not moved again."""
+    """Rows that carry their vendor's id (``MATCHED``) keep it, and those dealt to shares (``SHARE``) are not moved again.
+
+    Of rows with their months' ``SUMS`` nothing is left to add.
+    """
+    if SUMS in df.columns:
+        sums = F.col(SUMS)
+        total = F.when(sums["rows"] == 1, F.col("amount")).otherwise(sums["total"])
+        spent = df.filter(sums.isNotNull())
+        return spent.select("year", "month", "vendor_name", MATCHED, *_spend(sums["rows"], total, sums["amounts"]))
     return spend_summary(df, ["year", "month", "vendor_name", *[name for name in df.columns if name in (MATCHED, SHARE)]])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystone.functions import flags, money, rules, text
 from tallystone.functions.dates import yyyymm
-from tallystone.operators.gold import MATCHED
+from tallystone.operators.gold import MATCHED, SUMS
 from tallystone.operators.lookup import attach, fits_broadcast
 from tallystone.operators.ranking import dense_ids
 from tallystone.sources.tables import Staged, stage
@@ -251,12 +251,23 @@ def vendor_risk_monthly(anomaly: DataFrame, dim_vendor: Staged) -> DataFrame:
     """Score per vendor and month. Flags are summed by id first; names are attached to the few sums.
 
     A vendor has at most one sum a month, so no vendor's sums are many and a large dimension is joined as it is.
+    Rows with their months' ``SUMS`` have names and ids already, and nothing is left to add.
     """
-    sums = anomaly.groupBy("yyyymm", "vendor_id").agg(
-        F.count_if("is_outlier").alias("outlier_txn"), F.count_if("is_new_vendor").alias("new_vendor_txn")
-    )
-    names = dim_vendor.select("vendor_id", "vendor_name_clean")
-    named = sums.join(F.broadcast(names.df) if fits_broadcast(names) else names.df, "vendor_id")
+    if SUMS in anomaly.columns:
+        flagged = anomaly.filter(F.col(MATCHED).isNotNull() & (F.col(SUMS)["known"] > 0))
+        named = flagged.select(
+            yyyymm(F.col("year"), F.col("month")).alias("yyyymm"),
+            F.col(MATCHED).alias("vendor_id"),
+            text.normalize_vendor(F.col("vendor_name")).alias("vendor_name_clean"),
+            f"{SUMS}.outlier_txn",
+            f"{SUMS}.new_vendor_txn",
+        )
+    else:
+        sums = anomaly.groupBy("yyyymm", "vendor_id").agg(
+            F.count_if("is_outlier").alias("outlier_txn"), F.count_if("is_new_vendor").alias("new_vendor_txn")
+        )
+        names = dim_vendor.select("vendor_id", "vendor_name_clean")
+        named = sums.join(F.broadcast(names.df) if fits_broadcast(names) else names.df, "vendor_id")
     return named.select(
         "yyyymm",
         "vendor_id",

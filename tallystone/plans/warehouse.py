@@ -8,6 +8,7 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallystone.functions import text
 from tallystone.operators import activity, gold, reports, risk, serving, silver, views
 from tallystone.operators.lookup import attach, fits_broadcast
 from tallystone.sources.columns import gold_columns
@@ -36,6 +37,8 @@ _TOLD = ["transaction_id", "agency_name_clean", "vendor_name_clean", "mcc_descri
 _VENDOR = ["first_seen_month", gold.MATCHED]
 # Columns of few values, by which written rows lie together: alike neighbours are short in files and shuffles.
 _ALIKE = ["mcc_description", "agency_name_clean", "description"]
+# Texts that travel as one.
+_TEXTS = ["mcc_description", "agency_name_clean", "description", "vendor_name_clean", "transaction_id"]
 # Rows of all months together that come to one share of each month's vendors.
 _SHARE_ROWS = 20_000_000
 # Layers that, if given, may hold other rows or vendors than silver does.
@@ -59,6 +62,7 @@ class Warehouse:
         self._folder: VersionFolder | None = None
         self._by_month: set[str] = set()
         self._dealt = False  # whether the placed rows lie in a folder per month
+        self._month_sums: DataFrame | None = None  # placed rows that hold what a vendor's month sums to
 
     @classmethod
     def from_tables(cls, published: Mapping[str, DataFrame] | None = None, **tables: DataFrame) -> Warehouse:
@@ -215,10 +219,39 @@ class Warehouse:
             rows = stage(rows, "placed").df
         else:
             path = scratch_path(spark, "placed")
-            write_table(rows if self._given else silver.derive(rows).select(*rows.columns, "yyyymm"), path, ["yyyymm"])
+            if self._given:
+                write_table(rows, path, ["yyyymm"])
+            else:
+                write_table(self._dealt_rows(rows), path, ["yyyymm"], dealt=True)
             self._dealt = True
             rows = read_table(spark, path)
-        return rows if self._given else silver.derive(rows).select(*_CORE, *_VENDOR)
+        if self._given:
+            return rows
+        derived = silver.derive(rows)
+        if gold.SUMS in rows.columns:
+            summed = derived.filter(F.col(gold.SUMS).isNotNull())
+            self._month_sums = gold_columns(summed, carried=[gold.MATCHED, gold.SUMS])
+        return derived.select(*_CORE, *_VENDOR)
+
+    def _dealt_rows(self, rows: DataFrame) -> DataFrame:
+        """The rows moved to their month, their texts as one, so that they can be written as they lie.
+
+        Unless a vendor holds too many of them, a month's rows are dealt to shares of its vendors, and one row of each
+        vendor and month holds what they sum to: months' spend and scores are written from that without a shuffle.
+        """
+        texts = [name for name in rows.columns if name in _TEXTS]
+        others = [name for name in rows.columns if name not in _TEXTS]
+        moved = silver.derive(rows).select(text.pack(texts).alias("_texts"), *others, "yyyymm")
+        shares = self._shares()
+        if not shares:
+            return text.unpack(moved.hint("rebalance", "yyyymm"), "_texts", texts).select(*rows.columns, "yyyymm")
+        within = ["_month", gold.SHARE]  # not a name that ``derive`` gives anew, which Spark would take for another column
+        moved = moved.withColumnRenamed("yyyymm", "_month").withColumn(gold.SHARE, F.pmod(F.hash(gold.MATCHED), F.lit(shares)))
+        moved = text.unpack(moved.repartition(*within), "_texts", texts)
+        named = gold_columns(silver.derive(moved), carried=["description", *_VENDOR, *within])
+        summed = gold.with_month_sums(named, self.category_stats, within)
+        back = {"vendor_name": "vendor_name_clean", "agency_name": "agency_name_clean", "merchant_category": "mcc_description"}
+        return summed.withColumnsRenamed(back).select(*rows.columns, gold.SUMS, F.col("_month").alias("yyyymm"))
 
     def place(self, always: bool = False) -> None:
         """Bring the rows to their vendors once, before fact (or its calendar) and anomalies are both asked for.
@@ -327,9 +360,9 @@ class Warehouse:
     @cached_property
     def mart_vendor_monthly(self) -> DataFrame:
         if self._has("placed") and not self._has("vendor_monthly"):  # rows carry their vendors' ids
-            rows = gold_columns(self.placed, carried=[gold.MATCHED])
+            rows = gold_columns(self.placed, carried=[gold.MATCHED]) if self._month_sums is None else self._month_sums
             shares = self._shares() if self._dealt else 0
-            if shares:
+            if shares and self._month_sums is None:
                 rows = rows.withColumn(gold.SHARE, F.pmod(F.hash("vendor_name"), F.lit(shares))).repartition("year", "month", gold.SHARE)
             staged = serving.stage_vendor_monthly(gold.vendor_monthly_spend(rows))
         else:
@@ -374,7 +407,9 @@ class Warehouse:
 
     @cached_property
     def mart_vendor_risk(self) -> DataFrame:
-        return self._kept("mart_vendor_risk", serving.vendor_risk_monthly(self.mart_anomaly, self.dim_vendor), always=False)
+        summed = self._month_sums is not None
+        scored = serving.vendor_risk_monthly(self._month_sums if summed else self.mart_anomaly, self.dim_vendor)
+        return self._kept("mart_vendor_risk", scored, always=False, dealt=summed)
 
     def marts(self) -> dict[str, DataFrame]:
         """Fact and marts by table name."""
