@@ -12,7 +12,7 @@ from tallystone.functions import text
 from tallystone.operators import activity, gold, reports, risk, serving, silver, views
 from tallystone.operators.lookup import attach, fits_broadcast
 from tallystone.sources.columns import gold_columns
-from tallystone.sources.tables import Staged, observe_size, read_table, scratch_path, stage, write_table
+from tallystone.sources.tables import Staged, observe_size, read_table, release_shuffles, scratch_path, stage, write_table
 from tallystone.sources.versions import VersionFolder
 
 
@@ -63,6 +63,7 @@ class Warehouse:
         self._by_month: set[str] = set()
         self._dealt = False  # whether the placed rows lie in a folder per month
         self._month_sums: DataFrame | None = None  # placed rows that hold what a vendor's month sums to
+        self._monthly_ids: DataFrame | None = None  # monthly spend with the vendors' ids
 
     @classmethod
     def from_tables(cls, published: Mapping[str, DataFrame] | None = None, **tables: DataFrame) -> Warehouse:
@@ -127,7 +128,9 @@ class Warehouse:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return stage(silver.build_silver(self.bronze), "silver").df
+        cleaned = stage(silver.build_silver(self.bronze).sortWithinPartitions(*_ALIKE), "silver").df
+        release_shuffles(cleaned.sparkSession)  # of the raw rows
+        return cleaned
 
     @cached_property
     def core(self) -> DataFrame:
@@ -147,7 +150,12 @@ class Warehouse:
 
     @cached_property
     def vendor_monthly(self) -> DataFrame:
-        return stage(gold.vendor_monthly_spend(self.cleaned), "vendor-monthly").df
+        if not self._has("placed"):
+            return stage(gold.vendor_monthly_spend(self.cleaned), "vendor-monthly").df
+        # Rows carry their vendors' ids, so the mart is made of these sums as well.
+        rows = gold_columns(self.placed, carried=[gold.MATCHED])
+        self._monthly_ids = stage(gold.vendor_monthly_spend(rows), "vendor-monthly").df
+        return self._monthly_ids.drop(gold.MATCHED)
 
     @cached_property
     def agency_category(self) -> DataFrame:
@@ -365,6 +373,8 @@ class Warehouse:
             if shares and self._month_sums is None:
                 rows = rows.withColumn(gold.SHARE, F.pmod(F.hash("vendor_name"), F.lit(shares))).repartition("year", "month", gold.SHARE)
             staged = serving.stage_vendor_monthly(gold.vendor_monthly_spend(rows))
+        elif self._monthly_ids is not None:
+            shares, staged = 0, serving.stage_vendor_monthly(self._monthly_ids)
         else:
             shares, staged = 0, self.stage_vendor_monthly
         return self._kept("mart_vendor_monthly", serving.load_vendor_monthly(staged, self.dim_vendor), dealt=shares > 0)
